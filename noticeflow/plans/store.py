@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +28,12 @@ class Store:
 
     def _table(self, name: str, schema: T.StructType) -> DataFrame:
         full = T.StructType([*schema.fields, _BATCH])
-        folder = f"{self.root}/{name}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(hadoop):
+        try:
+            return self.spark.read.schema(full).parquet(f"{self.root}/{name}")
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(folder)
 
     def _write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/ingest_batch={batch}")

@@ -7,10 +7,17 @@ struct, and everything after that is Column expressions.
 from __future__ import annotations
 
 import html
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The readers travel to the executors inside the function, so that these need no copy of
+# the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements that are looked for, per field in order of precedence. A test is
 # (tag or None, attribute or None, how, value).
@@ -187,14 +194,23 @@ class _DetailReader(_Reader):
                 "metas": self.metas}
 
 
-@F.pandas_udf("array<struct<href: string, name: string>>")
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+_S, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
+_LINKS_TYPE = T.ArrayType(_struct(href=_S, name=_S))
+_FIELDS_TYPE = _struct(name=_S, funeral_home=_S, text=_S, date_texts=_TEXTS,
+                       metas=T.ArrayType(_struct(key=_S, content=_S)))
+
+
+@F.pandas_udf(_LINKS_TYPE)
 def page_links(pages: pd.Series) -> pd.Series:
     """Record links of a listing page in page order."""
     return pages.map(lambda p: None if p is None else _LinkReader().read(p).links())
 
 
-@F.pandas_udf("struct<name: string, funeral_home: string, text: string, "
-              "date_texts: array<string>, metas: array<struct<key: string, content: string>>>")
+@F.pandas_udf(_FIELDS_TYPE)
 def detail_fields(pages: pd.Series) -> pd.DataFrame:
     """Raw fields of a detail page; absent ones are null."""
     columns = ["name", "funeral_home", "text", "date_texts", "metas"]
@@ -204,7 +220,7 @@ def detail_fields(pages: pd.Series) -> pd.DataFrame:
         columns=columns, dtype=object)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(_TEXTS)
 def unescaped(payloads: pd.Series) -> pd.Series:
     """Character references in embedded payloads replaced."""
     return payloads.map(lambda ps: None if ps is None else [html.unescape(p) for p in ps])

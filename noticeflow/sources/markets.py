@@ -24,10 +24,12 @@ def markets_scan(spark: SparkSession, path: str) -> DataFrame:
     return decode_markets(spark.read.text(path, wholetext=True))
 
 
-def decode_markets(texts: DataFrame) -> DataFrame:
-    items = F.from_json("value", T.ArrayType(MARKET), {"mode": "FAILFAST"})
-    rows = texts.select(F.posexplode(items).alias("market_seq", "m"))
-    return rows.select("market_seq", "m.*").to(MARKET_ROW)
+def decode_markets(texts: DataFrame, text: str = "value") -> DataFrame:
+    """One row per array element; other columns of ``texts`` stay."""
+    items = F.from_json(F.col(text), T.ArrayType(MARKET), {"mode": "FAILFAST"})
+    carried = [c for c in texts.columns if c != text]
+    rows = texts.select(*carried, F.posexplode(items).alias("market_seq", "m"))
+    return rows.select(*carried, "market_seq", "m.*")
 
 
 def encode_markets(markets: DataFrame, ascii_only: bool = False) -> DataFrame:
