@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,7 +32,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore avoids a name clash."""
+    REGISTRY[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -127,7 +129,7 @@ def report_rows(spark, d):
 
 @query
 def report_page(spark, d):
-    return report.report_page(dedup.mark_duplicates(_obits(spark, d)), page=2,
+    return report.report_page(dedup.mark_duplicates(_obits(spark, d)), page=1,
                               search="Funeral nation", county="county 7")
 
 
@@ -177,7 +179,7 @@ def _date_spellings(obits: DataFrame) -> DataFrame:
 
 
 @query
-def parse_date_field(spark, d):
+def parse_date_(spark, d):
     return _date_spellings(_obits(spark, d)).select("id", "s", parse_date(F.col("s")).alias("d"))
 
 
@@ -210,7 +212,7 @@ def listing_url(spark, d):
 # --- markets --------------------------------------------------------------------------------
 
 @query
-def county_slug_rows(spark, d):
+def county_slug_(spark, d):
     census = load(spark, d, "census")[0]
     name = F.col("COUNTYNAME")
     return census.select("STATE", "COUNTYNAME", display_name(name).alias("county"),
@@ -221,7 +223,7 @@ def county_slug_rows(spark, d):
 
 def _census_file(spark, d) -> DataFrame:
     """The county file written and scanned; fields padded as in a fixed-width export."""
-    path = f"{staging_root(spark)}/census-{F.__name__}-{id(object())}"
+    path = f"{staging_root(spark)}/census-{uuid.uuid4().hex}"
     census = load(spark, d, "census")[0]
     census.select(*[F.concat(F.lit(" "), c, F.lit("  ")).alias(c) for c in census.columns]) \
         .write.mode("overwrite").csv(path, sep="|", header=True, ignoreLeadingWhiteSpace=False,
@@ -308,7 +310,7 @@ def attach_market(spark, d):
 
 
 @query
-def keep_first_row(spark, d):
+def keep_first_(spark, d):
     candidates = _run(spark, d)[0]
     return keep_first(candidates, [F.lower("url")], [F.col("market_seq"), F.col("pos")]) \
         .select("market_seq", "pos", "url")
@@ -475,8 +477,6 @@ def _run_inputs(spark, d):
 
 
 def _fresh_store(spark, label: str) -> Store:
-    import uuid
-
     return Store(spark, f"{staging_root(spark)}/store-{label}-{uuid.uuid4().hex}")
 
 
@@ -490,7 +490,7 @@ def daily_run(spark, d):
 
 
 @query
-def ingest_stream_rows(spark, d):
+def ingest_stream_(spark, d):
     pages, details, markets = _run_inputs(spark, d)
     store = _fresh_store(spark, "stream")
     folder = store.root + "-pages"
