@@ -25,7 +25,7 @@ from noticeflow.sources import tables
 from noticeflow.sources.html import page_links
 from noticeflow.streaming.page_stream import ingest_stream, page_stream
 
-from .inputs import AS_OF, BASE_URL, detail_pages, load, payload_pages
+from .inputs import AS_OF, BASE_URL, STORED_UNTIL, detail_pages, load, payload_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -78,11 +78,13 @@ def dupe_groups(spark, d):
 
 
 def _second_run(spark, d) -> DataFrame:
-    """Records after a run over the earlier ones and a run over all."""
+    """Records after a run over the earlier ones and a run over all. As between two days,
+    the table is written in between."""
     everything, stored = load(spark, d, "obits", "stored")
     first = dedup.mark_duplicates(stored.select(*OBITS.names))
-    later = everything.select(*OBITS.names).join(stored.select("id"), "id", "left_anti")
-    return dedup.mark_duplicates(first.unionByName(later))
+    later = everything.where(f"scraped_at >= timestamp_ntz '{STORED_UNTIL} 00:00:00'")
+    table = stage(first.unionByName(later.select(*OBITS.names)), "first-run")
+    return dedup.mark_duplicates(table)
 
 
 @query
@@ -92,7 +94,7 @@ def dedup_incremental(spark, d):
 
 @query
 def dup_with_primary(spark, d):
-    return dedup.with_primary(_second_run(spark, d))
+    return dedup.with_primary(stage(_second_run(spark, d), "second-run"))
 
 
 # --- report -------------------------------------------------------------------------------

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -45,14 +47,15 @@ def attach(
     meeting in one; the others share salt zero with the lookup.
     """
     payload = [c for c in lookup.columns if c not in keys and c != weight]
+    usable = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    # Stated here, as the join implies it: both uses of the lookup then are the same plan
+    # up to its shuffle, which Spark runs once.
+    lookup = lookup.where(usable)
     heavy = (
         lookup.where(F.col(weight) >= hot_rows)
         .orderBy(F.col(weight).desc(), *keys).limit(HOT_KEYS)
         .select(*keys, F.struct(*payload).alias("_hot"))
     )
-    usable = F.lit(True)
-    for k in keys:
-        usable = usable & F.col(k).isNotNull()
     salt = F.when(F.col("_hot").isNull() & usable, F.lit(0)) \
         .otherwise(1 + F.pmod(F.xxhash64(spread), F.lit(_SPREAD)))
     tagged = rows.join(F.broadcast(heavy), list(keys), "left").withColumn("_salt", salt)
