@@ -29,7 +29,7 @@ _OPENING = rf"(?is)^<script\b({_ATTRS})>"
 _JSON_TYPE = r"""(?:^|\s)(?i:type)\s*=\s*(?:"application/json"|'application/json'|application/json(?:\s|/?$))"""
 _BODY = rf"(?is)^<script\b{_ATTRS}>(.*)</script$"
 # Fixed value: the assignment that carries the state object.
-_STATE = r"(?s)window\.__INITIAL_STATE__\s*=\s*(\{.*?\})\s*;"
+_ASSIGNED = r"(?s)window\.__INITIAL_STATE__\s*=\s*(\{.*?\})\s*;"
 
 _JSON = {"allowSingleQuotes": "false"}
 
@@ -135,9 +135,19 @@ def _first_outcome(payloads: Column) -> Column:
                           lambda o: _has_rows(o["items"]) | o["error"].isNotNull()), F.lit(0))
 
 
-def _state_items(html: Column) -> Column:
-    state = F.from_json(F.nullif(F.regexp_extract(html, _STATE, 1), F.lit("")),
-                        STATE_PAYLOAD, _JSON)
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that several later columns use. As the output of a generator it
+    is computed once per row; a plain column would be copied into each use."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _state(html: Column) -> Column:
+    """The decoded state object of a page."""
+    return F.from_json(F.nullif(F.regexp_extract(html, _ASSIGNED, 1), F.lit("")),
+                       STATE_PAYLOAD, _JSON)
+
+
+def _state_items(state: Column) -> Column:
     deep = state["BrowseStore"]["data"]["obituaries"]["obituaries"]["edges"]
     return F.transform(F.when(_has_rows(deep), deep).otherwise(state["obituaries"]["edges"]),
                        _state_item)
@@ -148,9 +158,10 @@ def page_items(pages: DataFrame) -> DataFrame:
     found = pages.withColumn("_payloads", script_payloads(F.col("html")))
     escaped = F.exists("_payloads", lambda p: F.contains(p, F.lit("&")))
     found = found.withColumn("_plain", unescaped(F.when(escaped, F.col("_payloads"))))
-    found = found.withColumn(
-        "_json", _first_outcome(F.coalesce("_plain", "_payloads"))).drop("_payloads", "_plain")
-    found = found.withColumn("_state", F.when(F.col("_json").isNull(), _state_items(F.col("html"))))
+    found = _once(found, "_json", _first_outcome(F.coalesce("_plain", "_payloads")))
+    found = _once(found, "_state",
+                  F.when(F.col("_json").isNull(), _state(F.col("html"))))
+    found = found.withColumn("_state", _state_items(F.col("_state")))
     needs_links = F.col("_json").isNull() & ~_has_rows(F.col("_state"))
     found = found.withColumn("_links", page_links(F.when(needs_links, F.col("html"))))
     error = F.col("_json")["error"]
@@ -160,7 +171,7 @@ def page_items(pages: DataFrame) -> DataFrame:
             F.when(_has_rows(F.col("_state")), F.col("_state")),
             F.transform("_links", _link_item))),
         "error": error,
-    }).drop("html", "_json", "_state", "_links")
+    }).drop("html", "_payloads", "_plain", "_json", "_state", "_links")
 
 
 def _record(base_url: str) -> dict[str, Column]:

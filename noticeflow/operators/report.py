@@ -109,12 +109,13 @@ def facet(obits: DataFrame, column: str) -> DataFrame:
     """Distinct non-blank values, one spelling per case-insensitive value.
 
     The exact spellings are reduced first by a hash aggregate in each task, so what is
-    then grouped ignoring case is small however often a value occurs.
+    then grouped ignoring case is small however often a value occurs. The count is used in
+    both steps to keep them apart: the optimizer would merge them and sort all rows.
     """
-    spellings = obits.where(F.col(column) != "").select(column).distinct()
+    spellings = obits.where(F.col(column) != "").groupBy(column).agg(F.count("*").alias("_n"))
     values = (
         spellings.groupBy(ci_key(F.col(column)).alias("_k"))
-        .agg(F.min(column).alias(column))
+        .agg(F.min(column).alias(column), F.sum("_n").alias("_n")).where("_n > 0")
         .orderBy(F.col("_k").asc()).select(column)
     )
     limit = FACET_ROWS.get(column)
