@@ -88,6 +88,17 @@ def _has_rows(c: Column) -> Column:
     return F.coalesce(F.size(c) > 0, F.lit(False))
 
 
+def _as_array(text: Column, kind: T.DataType) -> Column:
+    """The text decoded as the only element of an array: text that goes on after the first
+    value does not decode, which it would on its own."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind), _JSON)
+
+
+def _decoded(text: Column, kind: T.DataType) -> Column:
+    single = F.filter(F.array(_as_array(text, kind)), lambda a: F.size(a) == 1)
+    return F.get(F.get(single, F.lit(0)), F.lit(0))
+
+
 def _other_list(payload: Column) -> Column:
     """Items below the first top-level key whose object lists record-like items."""
     def record_like(entry: Column) -> Column:
@@ -97,7 +108,7 @@ def _other_list(payload: Column) -> Column:
         return F.coalesce(
             F.array_contains(keys, "personId") | F.array_contains(keys, "name"), F.lit(False))
 
-    entries = F.map_values(F.from_json(payload, T.MapType(T.StringType(), T.StringType()), _JSON))
+    entries = F.map_values(_decoded(payload, T.MapType(T.StringType(), T.StringType())))
     chosen = F.get(F.filter(entries, record_like), F.lit(0))
     return F.from_json(chosen, ITEM_LIST, _JSON)["obituaries"]
 
@@ -106,28 +117,30 @@ _NOT_AN_OBJECT = "TypeError: listing payload is not an object"
 _NOT_A_LIST = "AttributeError: listing entries are not objects"
 
 
+def _error(payload: Column, items: Column) -> Column:
+    """Why a payload cannot be read; null for payloads with items and for those that are
+    no JSON or hold no listing, which are passed over."""
+    def valid(text: Column) -> Column:
+        return F.coalesce(F.size(_as_array(text, T.StringType())) == 1, F.lit(False))
+
+    at_path = F.get_json_object(payload, "$.obituaryList.obituaries")
+    nothing = at_path.isNull() | at_path.isin("", "[]", "{}", "0", "0.0", "false", "null")
+    return (
+        F.when(_has_rows(items), F.when(F.exists(items, lambda e: e.isNull()), F.lit(_NOT_A_LIST)))
+        .when(payload.startswith("{"), F.when(~nothing & valid(payload), F.lit(_NOT_A_LIST)))
+        .when(~payload.isin("[]", '""') & valid(payload), F.lit(_NOT_AN_OBJECT))
+    )
+
+
 def _outcomes(payloads: Column) -> Column:
     """Per script either items, an error, or nothing."""
     main = F.transform(payloads, lambda p: F.struct(
-        p.alias("p"),
-        F.from_json(p, LISTING_PAYLOAD, _JSON)["obituaryList"]["obituaries"].alias("main")))
+        p.alias("p"), _decoded(p, LISTING_PAYLOAD)["obituaryList"]["obituaries"].alias("main")))
     both = F.transform(main, lambda x: F.struct(
         x["p"].alias("p"),
         F.when(_has_rows(x["main"]), x["main"]).otherwise(_other_list(x["p"])).alias("items")))
-    # What remains without items is either no listing at all or a malformed one.
-    def error(x: Column) -> Column:
-        p = x["p"]
-        at_path = F.get_json_object(p, "$.obituaryList.obituaries")
-        empty = at_path.isin("", "[]", "{}", "0", "false", "null", "0.0")
-        bad_list = at_path.isNotNull() & ~empty
-        bare = ~p.startswith("{") & F.get_json_object(p, "$").isNotNull() \
-            & ~p.isin("[]", '""')
-        return F.when(_has_rows(x["items"]), F.when(
-            F.exists(x["items"], lambda e: e.isNull()), F.lit(_NOT_A_LIST))) \
-            .when(bare, F.lit(_NOT_AN_OBJECT)).when(bad_list, F.lit(_NOT_A_LIST))
-
-    return F.transform(both, lambda x: F.struct(x["items"].alias("items"),
-                                                error(x).alias("error")))
+    return F.transform(both, lambda x: F.struct(
+        x["items"].alias("items"), _error(x["p"], x["items"]).alias("error")))
 
 
 def _first_outcome(payloads: Column) -> Column:
@@ -143,8 +156,7 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def _state(html: Column) -> Column:
     """The decoded state object of a page."""
-    return F.from_json(F.nullif(F.regexp_extract(html, _ASSIGNED, 1), F.lit("")),
-                       STATE_PAYLOAD, _JSON)
+    return _decoded(F.nullif(F.regexp_extract(html, _ASSIGNED, 1), F.lit("")), STATE_PAYLOAD)
 
 
 def _state_items(state: Column) -> Column:
