@@ -46,7 +46,7 @@ def encode_markets(markets: DataFrame, ascii_only: bool = False) -> DataFrame:
 
 def _escaped(text: Column) -> Column:
     """Characters outside ASCII as UTF-16 escapes."""
-    units = F.split(F.hex(F.encode(text, "UTF-16BE")), "(?<=\\G.{4})")
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
     written = F.transform(units, lambda u: F.when(
         u.rlike("^00[0-7]"), F.decode(F.unhex(u), "UTF-16BE"))
         .otherwise(F.concat(F.lit("\\u"), F.lower(u))))

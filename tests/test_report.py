@@ -1,0 +1,106 @@
+"""Report, facets and view."""
+
+import datetime as dt
+
+import pytest
+
+from noticeflow.operators.report import (
+    display_rows, facet, facets, latest_report, record_count, report_filter, report_page,
+)
+from noticeflow.schemas import OBITS, REPORT_COLUMNS, VIEW_COLUMNS
+from noticeflow.sources.tables import (
+    newest_first, register_view, scan_obits, upgrade_schema, v_obituaries, write_obits,
+)
+
+D = dt.date
+
+
+def table(spark, *rows):
+    return spark.createDataFrame([tuple(r.get(c) for c in OBITS.names) for r in rows], OBITS)
+
+
+@pytest.fixture(scope="module")
+def obits(spark):
+    t = dt.datetime(2026, 3, 5, 10)
+    return table(
+        spark,
+        dict(id=1, deceased_name="Ann", funeral_home="Oak & Elm Home", city="Dayton", county="Clark",
+             state="OH", death_date=D(2026, 3, 1), published_date=D(2026, 3, 9), scraped_at=t, legacy_url="u1"),
+        dict(id=2, first_name="Bo", last_name="Lee", funeral_home="oak_home", city="DAYTON North", county="clark",
+             state="oh", published_date=D(2026, 3, 3), scraped_at=t),
+        dict(id=3, deceased_name="Cy", funeral_home="", city="", county="", state="", scraped_at=t),
+        dict(id=4, deceased_name="Dup", city="Dayton", state="OH", death_date=D(2026, 3, 1), duplicate_of=1),
+        dict(id=5, deceased_name="Di", city="Bend", county="Clark", state="OR", death_date=D(2026, 3, 3), scraped_at=t),
+    )
+
+
+def ids(df):
+    return [r.id for r in df.collect()]
+
+
+@pytest.mark.parametrize("filters, want", [
+    ({}, [1, 2, 3, 5]),
+    ({"city": "dayton"}, [1, 2]), ({"city": " DAYTON N "}, [2]), ({"city": "d%n"}, [1, 2]),
+    ({"funeral_home": "oak_home"}, [2]), ({"funeral_home": "oak%home"}, [1, 2]),
+    ({"funeral_home": r"oak\_home"}, [2]), ({"funeral_home": r"o\ak"}, [1, 2]),
+    ({"county": "CLARK"}, [1, 2, 5]), ({"county": "Cl"}, []),
+    ({"state": "oh"}, [1, 2]), ({"state": "  "}, [1, 2, 3, 5]),
+    ({"death_date": "2026-03-01"}, [1]), ({"death_date": D(2026, 3, 3)}, [5]),
+    ({"state": "OH", "county": "clark", "city": "north"}, [2]),
+])
+def test_filters(obits, filters, want):
+    assert sorted(ids(report_filter(obits, **filters))) == want
+
+
+def test_bad_date_is_refused(obits):
+    with pytest.raises(ValueError):
+        report_filter(obits, death_date="March 1")
+
+
+def test_order_and_limit(obits):
+    report = latest_report(obits)
+    assert report.columns == ["id", *REPORT_COLUMNS]
+    assert ids(report) == [3, 2, 5, 1]
+    assert ids(latest_report(obits, limit=2)) == [3, 2]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
+def test_report_does_not_read_the_text(spark, obits, tmp_path):
+    write_obits(obits, str(tmp_path / "t"))
+    again = scan_obits(spark, str(tmp_path / "t"))
+    assert sorted(ids(again)) == [1, 2, 3, 4, 5]
+    plan = latest_report(again, state="OH")._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema"):].splitlines()[0]
+    assert "obit_text" not in read and "PartitionFilters: [isnotnull(state" in plan
+
+
+def test_display_and_page(obits):
+    rows = {r.id: r for r in display_rows(latest_report(obits)).collect()}
+    assert (rows[2].name, rows[2].death_date, rows[2].legacy_url) == ("Bo Lee", "", "")
+    assert rows[3].name == "Cy" and rows[1].death_date == "2026-03-01"
+    assert ids(report_page(obits)) == [5, 1, 3, 2]
+    assert ids(report_page(obits, page=1, size=3)) == [2]
+    assert ids(report_page(obits, search="CLARK day")) == [1, 2]
+    assert ids(report_page(obits, search="2026-03-03", state="or")) == [5]
+
+
+def test_facets(spark, obits):
+    assert [r.state for r in facet(obits, "state").collect()] == ["OH", "OR"]
+    assert [r.city for r in facet(obits, "city").collect()] == ["Bend", "Dayton", "DAYTON North"]
+    assert set(facets(obits)) == {"state", "county", "city", "funeral_home"}
+    many = table(spark, *[dict(id=i, city=f"C{i:04}", state=f"{i % 700:03}") for i in range(900)])
+    assert [r.city for r in facet(many, "city").collect()] == [f"C{i:04}" for i in range(500)]
+    assert facet(many, "state").count() == 700
+
+
+def test_view_and_upgrade(spark, obits):
+    assert v_obituaries(obits).columns == VIEW_COLUMNS
+    register_view(obits, "shown")
+    assert spark.sql("select count(*) n from shown").first().n == 4
+    assert ids(newest_first(v_obituaries(obits))) == [1, 2, 3, 5]
+    older = obits.drop("city", "state", "county", "duplicate_of")
+    up = upgrade_schema(older)
+    assert [(f.name, f.dataType) for f in up.schema] == [(f.name, f.dataType) for f in OBITS]
+    assert up.where("city is null and duplicate_of is null").count() == 5
+    assert record_count(obits).first().obituary_count == 5
