@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from noticeflow.session import spread
+
 BASE_URL = "https://site.example"
 AS_OF = dt.datetime(2001, 8, 2, 6, 30, 15)
 #: Records dated before this day count as stored by earlier runs.
@@ -190,7 +192,8 @@ def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     def get(name: str) -> DataFrame:
         if name not in done:
             if name in SCHEMAS:
-                done[name] = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+                table = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+                done[name] = spread(table) if name in ("orders", "documents", "pages") else table
             else:
                 text = rel[name]
                 inputs = [n for n in [*SCHEMAS, *rel] if _uses(text, n)]

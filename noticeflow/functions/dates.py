@@ -1,18 +1,20 @@
 """Dates in fields and in running text, as Column expressions.
 
-Every candidate goes through one narrow chain: cut the matching piece out of the text,
-rewrite it as year-month-day, parse it. The chain refers to the text once, so nothing is
-searched twice, and ``coalesce`` stops at the first piece that is a real date.
+Every candidate goes through one narrow chain: cut the date out of the first match of a
+phrase, rewrite it as year-month-day, parse it. Each step refers to the one before it
+once, so no text is searched twice, and ``coalesce`` stops at the first real date.
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import SPACES, strip
+from .text import SPACES, bind, strip
 
 # Flags: ignore case also outside ASCII; a dot stops at line feeds only.
 _FLAGS = "(?iud)"
@@ -20,7 +22,7 @@ _WS = f"[{SPACES}]"
 _NWS = f"[^{SPACES}]"
 _WORD = r"[\p{L}\p{N}_]"
 _WORD_OR_WS = rf"[\p{{L}}\p{{N}}_{SPACES}]"
-_DIGIT = r"\p{Nd}"
+_DIGIT = "[0-9]"
 
 # Month names and short forms accepted in text.
 _MONTH = (
@@ -31,8 +33,9 @@ _WEEKDAY = (
     "(?:(?:Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday)"
     rf",?{_WS}+)?"
 )
-_LONG = rf"{_MONTH}{_WS}+{_DIGIT}{{1,2}}(?:st|nd|rd|th)?,?{_WS}+{_DIGIT}{{4}}"
-_SLASHED = rf"{_DIGIT}{{1,2}}/{_DIGIT}{{1,2}}/{_DIGIT}{{4}}"
+# The date of a phrase is its only group.
+_LONG = rf"({_MONTH}{_WS}+{_DIGIT}{{1,2}}(?:st|nd|rd|th)?,?{_WS}+{_DIGIT}{{4}})"
+_SLASHED = rf"({_DIGIT}{{1,2}}/{_DIGIT}{{1,2}}/{_DIGIT}{{4}})"
 _ON = rf"(?:on{_WS}+)?"
 # Any words, as few as possible. One character loop instead of a repeated group, which
 # would recurse once per word in the JVM's matcher and overflow its stack on long runs.
@@ -67,36 +70,46 @@ BIRTH_PATTERNS = [
     ("n", _BORN, "slashed", rf"born{_WS}+{_ON}{_SLASHED}"),
 ]
 
-# Decimal digits of all scripts, derived from the character database.
+# Decimal digits of other scripts, derived from the character database.
 _OTHER_DIGITS = [
     chr(i) for i in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd"
 ]
 _DIGITS_FROM = "".join(_OTHER_DIGITS)
 _DIGITS_TO = "".join(str(unicodedata.digit(c)) for c in _OTHER_DIGITS)
 
+_SHORT_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
 _NOT_YEAR_ZERO = "(?!0000)"
-_LONG_TAIL = (
-    r"(?isd)^.*?(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?"
-    rf"{_WS}+([0-9]{{1,2}})(?:st|nd|rd|th)?,?{_WS}+{_NOT_YEAR_ZERO}([0-9]{{4}})$"
+_LONG_PARTS = (
+    rf"(?i)^([a-z]{{3}})[a-z]*\.?{_WS}+([0-9]{{1,2}})(?:st|nd|rd|th)?,?{_WS}+"
+    rf"{_NOT_YEAR_ZERO}([0-9]{{4}})$"
 )
-_SLASHED_TAIL = rf"(?isd)^.*?([0-9]{{1,2}})/([0-9]{{1,2}})/{_NOT_YEAR_ZERO}([0-9]{{4}})$"
+_SLASHED_PARTS = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/{_NOT_YEAR_ZERO}([0-9]{{4}})$"
+
+
+def _numbered_date(c: Column) -> Column:
+    return F.replace(c, F.lit(" "), F.lit("")).try_cast("date")
 
 
 def _named_date(c: Column) -> Column:
-    return F.try_to_date(c, "yyyy-MMM-d")
+    """Date of ``2026-Mar-4``. A cast tells a wrong date by null, without the exception
+    and its cost that parsing by a date pattern has."""
+    number = F.lower(c)
+    for i, name in enumerate(_SHORT_MONTHS, start=1):
+        number = F.replace(number, F.lit(name), F.lit(str(i)))
+    return _numbered_date(number)
 
 
-def _numbered_date(c: Column) -> Column:
-    return F.replace(c, F.lit(" "), F.lit("")).try_cast("date")
+def _first_group(text: Column, pattern: str) -> Column:
+    """Group of the first match; null without a match, which ends the chain."""
+    return F.get(F.regexp_extract_all(text, F.lit(_FLAGS + pattern), F.lit(1)), F.lit(0))
 
 
 def _dated(text: Column, form: str, pattern: str) -> Column:
-    """Date ending the first match of ``pattern``; null when absent or not a real date."""
-    piece = F.nullif(F.regexp_extract(text, _FLAGS + pattern, 0), F.lit(""))
-    piece = F.translate(piece, _DIGITS_FROM, _DIGITS_TO)
+    """Date of the first match of ``pattern``; null when absent or not a real date."""
+    piece = _first_group(text, pattern)
     if form == "long":
-        return _named_date(F.regexp_replace(piece, _LONG_TAIL, "$3-$1-$2"))
-    return _numbered_date(F.regexp_replace(piece, _SLASHED_TAIL, "$3-$1-$2"))
+        return _named_date(F.regexp_replace(piece, _LONG_PARTS, "$3-$1-$2"))
+    return _numbered_date(F.regexp_replace(piece, _SLASHED_PARTS, "$3-$1-$2"))
 
 
 def _by_precedence(text: Column, triggers: dict[str, Column], patterns, wrap) -> Column:
@@ -114,15 +127,26 @@ def _labelled(label: str, date: Column) -> Column:
     return F.concat(F.lit(label), date.cast("string"))
 
 
-def _with_triggers(df: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]:
-    """Flags for the words a pattern cannot match without: substring tests are far
-    cheaper than regex searches and most text has none of the words."""
+def _prepared(df: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The text with plain digits as ``_plain``, and flags for the words a pattern cannot
+    match without: substring tests are far cheaper than regex searches and most text has
+    none of the words."""
+    beyond_ascii = F.octet_length(text) != F.char_length(text)
+    plain = F.when(beyond_ascii & F.col(text).rlike(r"[\p{Nd}&&[^0-9]]"),
+                   F.translate(text, _DIGITS_FROM, _DIGITS_TO)).otherwise(F.col(text))
     words = {w: f"_has_{w}" for w in (_PASSED, _WENT, _ENTERED, _DIED, _DEATH, _BORN)}
-    upper = F.col("_upper")
-    flags = {name: F.contains(upper, F.lit(word)) for word, name in words.items()}
-    flags[f"_has_{_DASH}"] = F.col(text).rlike(r"[-–—]")
-    out = df.withColumn("_upper", F.upper(text)).withColumns(flags).drop("_upper")
-    return out, {w: F.col(f"_has_{w}") for w in [*words, _DASH]}
+    flags = {name: F.contains(F.col("_upper"), F.lit(word)) for word, name in words.items()}
+    flags[f"_has_{_DASH}"] = reduce(or_, [F.contains(text, F.lit(d)) for d in "-–—"])
+    out = df.withColumns({"_plain": plain, "_upper": F.upper(text)}).withColumns(flags)
+    return out.drop("_upper"), {w: F.col(f"_has_{w}") for w in [*words, _DASH]}
+
+
+def _found(df: DataFrame, text: str, death: str, birth: str, wrap) -> DataFrame:
+    ready, triggers = _prepared(df, text)
+    return ready.withColumns({
+        death: _by_precedence(F.col("_plain"), triggers, DEATH_PATTERNS, wrap),
+        birth: _by_precedence(F.col("_plain"), triggers, BIRTH_PATTERNS, wrap),
+    }).drop("_plain", *[f"_has_{w}" for w in triggers])
 
 
 def with_dates_from_text(
@@ -133,22 +157,14 @@ def with_dates_from_text(
     Per pattern only the first match counts; if that is no real date the next pattern is
     tried.
     """
-    flagged, triggers = _with_triggers(df, text)
-    return flagged.withColumns({
-        death: _by_precedence(F.col(text), triggers, DEATH_PATTERNS, _plain),
-        birth: _by_precedence(F.col(text), triggers, BIRTH_PATTERNS, _plain),
-    }).drop(*[f"_has_{w}" for w in triggers])
+    return _found(df, text, death, birth, _plain)
 
 
 def with_deciding_patterns(df: DataFrame, text: str) -> DataFrame:
     """Add the labels of the patterns the death and birth dates come from."""
-    flagged, triggers = _with_triggers(df, text)
-    return flagged.withColumns({
-        "death_pattern": F.left(
-            _by_precedence(F.col(text), triggers, DEATH_PATTERNS, _labelled), F.lit(1)),
-        "birth_pattern": F.left(
-            _by_precedence(F.col(text), triggers, BIRTH_PATTERNS, _labelled), F.lit(1)),
-    }).drop(*[f"_has_{w}" for w in triggers])
+    labelled = _found(df, text, "death_pattern", "birth_pattern", _labelled)
+    return labelled.withColumns({
+        c: F.left(F.col(c), F.lit(1)) for c in ("death_pattern", "birth_pattern")})
 
 
 # --- date fields -------------------------------------------------------------------------
@@ -165,28 +181,30 @@ _MONTH_FIRST = (
     "(?i)^(?:(Jan)(?:uary|\\.)?|(Feb)(?:ruary|\\.)?|(Mar)(?:ch|\\.)?|(Apr)(?:il|\\.)?|(May)\\.?"
     "|(Jun)(?:e|\\.)?|(Jul)(?:y|\\.)?|(Aug)(?:ust|\\.)?|(Sep)(?:tember|\\.)?|(Oct)(?:ober|\\.)?"
     "|(Nov)(?:ember|\\.)?|(Dec)(?:ember|\\.)?)"
-    rf" {_D}, {_Y}$"
+    rf"{_WS}+{_D},{_WS}+{_Y}$"
 )
 _NUMERIC = rf"^{_M}([/-]){_D}\2{_Y}$"
 
 
-def parse_date(c: Column) -> Column:
-    """Date of a field value in one of the accepted forms, else null."""
-    value = strip(c)
-    value = F.when(F.lower(F.left(value, F.lit(3))) == "on ",
-                   strip(F.substring(value, 4, 2147483647))).otherwise(value)
-    spaced = F.regexp_replace(value, f"[{SPACES}]+", " ")
+def _field_date(value: Column) -> Column:
+    """Date of a trimmed value."""
     months = "".join(f"${i}" for i in range(1, 13))
     return F.coalesce(
         F.when(value.rlike(_ISO),
                _numbered_date(F.regexp_replace(value, _ISO, "$1-$2-$3"))),
-        F.when(spaced.rlike(_MONTH_FIRST),
-               _named_date(F.regexp_replace(spaced, _MONTH_FIRST, f"$14-{months}-$13"))),
+        F.when(value.rlike(_MONTH_FIRST),
+               _named_date(F.regexp_replace(value, _MONTH_FIRST, f"$14-{months}-$13"))),
         F.when(value.rlike(_NUMERIC),
                _numbered_date(F.regexp_replace(value, _NUMERIC, "$4-$1-$3"))),
     )
 
 
+def parse_date(c: Column) -> Column:
+    """Date of a field value in one of the accepted forms, else null."""
+    trimmed = F.regexp_replace(strip(c), f"(?i)^on [{SPACES}]*", "")
+    return bind(trimmed, _field_date)
+
+
 # Range separators, in order of precedence.
 RANGE_SEPARATORS = [" - ", " — ", " – ", " to "]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .text import or_blank, squeeze
 
@@ -14,20 +14,19 @@ PARTS = ["first_name", "middle_name", "last_name", "name_suffix"]
 _SUFFIX_AT_END = rf"(?i) ((?:{'|'.join(SUFFIXES)})\.*)$"
 
 
-def split_name(full: Column) -> Column:
-    """Struct of first, middle, last name and suffix; absent parts are blank."""
-    tidy = or_blank(squeeze(F.translate(full, ",", " ")))
-    core = F.regexp_replace(tidy, _SUFFIX_AT_END, "")
-    return F.struct(
-        F.substring_index(core, " ", 1).alias("first_name"),
-        F.regexp_extract(core, r"^[^ ]+ (.+) [^ ]+$", 1).alias("middle_name"),
-        F.when(F.contains(core, F.lit(" ")), F.substring_index(core, " ", -1))
-        .otherwise("").alias("last_name"),
-        F.regexp_extract(tidy, _SUFFIX_AT_END, 1).alias("name_suffix"),
-    )
-
-
 def with_split_name(df: DataFrame, source: str) -> DataFrame:
-    """Add the four name parts of ``source`` to the table."""
-    parts = split_name(F.col(source))
-    return df.withColumns({p: parts[p] for p in PARTS})
+    """Add first, middle, last name and suffix of ``source``; absent parts are blank.
+
+    The tidied name and the name without its suffix are steps of their own, as several
+    parts are cut from them.
+    """
+    tidy, core = F.col("_tidy"), F.col("_core")
+    steps = df.withColumn("_tidy", or_blank(squeeze(F.translate(source, ",", " ")))) \
+        .withColumn("_core", F.regexp_replace(tidy, _SUFFIX_AT_END, ""))
+    return steps.withColumns({
+        "first_name": F.substring_index(core, " ", 1),
+        "middle_name": F.regexp_extract(core, r"^[^ ]+ (.+) [^ ]+$", 1),
+        "last_name": F.when(F.contains(core, F.lit(" ")), F.substring_index(core, " ", -1))
+        .otherwise(""),
+        "name_suffix": F.regexp_extract(tidy, _SUFFIX_AT_END, 1),
+    }).drop("_tidy", "_core")

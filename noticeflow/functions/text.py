@@ -12,6 +12,11 @@ SPACE_CHARS = "".join(
 SPACES = "".join(rf"\x{{{ord(c):x}}}" for c in SPACE_CHARS)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACE_CHARS))
 

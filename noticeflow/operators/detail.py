@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import is_date_range, parse_date, range_end
-from ..functions.names import PARTS, split_name
+from ..functions.names import PARTS, with_split_name
 from ..functions.text import first_present, or_blank, present
 from ..sources.html import detail_fields
 from .keyed import keep_first
@@ -45,13 +45,13 @@ def merge_details(records: DataFrame, details: DataFrame) -> DataFrame:
     page stays as it is. ``details`` has one row per link."""
     side = details.select(
         "url", F.struct("name", "text", "funeral_home", "published", "death").alias("_d"))
-    joined = records.join(side, "url", "left")
+    old = {p: f"_old_{p}" for p in PARTS}
+    joined = records.join(side, "url", "left").withColumnsRenamed(old)
     d, seen = F.col("_d"), F.col("_d").isNotNull()
     joined = joined.withColumn("_name", first_present(d["name"], F.col("deceased_name")))
-    parts = split_name(F.col("_name"))
+    joined = with_split_name(joined, "_name")
     merged = {
         "deceased_name": F.col("_name"),
-        **{p: parts[p] for p in PARTS},
         "obit_text": first_present(d["text"], F.col("obit_text")),
         "published_date": F.coalesce(d["published"], "published_date"),
         "death_date": F.coalesce(d["death"], "death_date"),
@@ -59,9 +59,9 @@ def merge_details(records: DataFrame, details: DataFrame) -> DataFrame:
         "city": or_blank(F.col("city")),
         "state": or_blank(F.col("state")),
     }
-    return joined.withColumns({
-        c: F.when(seen, v).otherwise(F.col(c)) for c, v in merged.items()
-    }).select(*records.columns)
+    kept = {c: F.when(seen, v).otherwise(F.col(c)) for c, v in merged.items()}
+    kept |= {p: F.when(seen, F.col(p)).otherwise(F.col(o)) for p, o in old.items()}
+    return joined.withColumns(kept).select(*records.columns)
 
 
 def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:

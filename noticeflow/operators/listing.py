@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date, with_dates_from_text
-from ..functions.names import PARTS, split_name
+from ..functions.names import PARTS, with_split_name
 from ..functions.text import first_present, or_blank, present, strip
 from ..functions.urls import absolutise
 from ..schemas import EDGES, ITEM_LIST, LISTING_PAYLOAD, RECORD_FIELDS, STATE_PAYLOAD
@@ -218,13 +218,13 @@ def extract_records(pages: DataFrame, base_url: str) -> DataFrame:
     dated = with_dates_from_text(
         rows.withColumn("_t", F.when(F.col("_i.layout") == 1, F.col("_obit_text"))),
         "_t", "_death", "_birth")
-    parts = split_name(F.col("_deceased_name"))
+    dated = with_split_name(dated, "_deceased_name")
     structured = F.col("_i.layout") == 1
     given = dict(zip(PARTS, ("first", "middle", "last", "suffix")))
     values = {f: F.col(f"_{f}") for f in _record(base_url)}
     for part in PARTS:
         values[part] = F.when(structured, or_blank(F.col("_i")[given[part]])) \
-            .otherwise(parts[part])
+            .otherwise(F.col(part))
     values["death_date"] = F.when(F.col("_i.layout") == 2, parse_date(F.col("_i.death"))) \
         .otherwise(F.col("_death"))
     values["birth_date"] = F.col("_birth")

@@ -14,7 +14,9 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Generated methods over this size are not compiled by the JVM; the extraction columns
+    # then run faster as separately generated projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -43,6 +45,13 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with at least one task per core. Text and page work is bound by the CPU, so
+    an input of few splits is cut up first; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh table under the shared folder and read it back.
 
