@@ -242,7 +242,13 @@ SQL |= {
     "markets_by_state": with_census("SELECT state, count(*) AS markets FROM built GROUP BY state"),
     "market_totals": with_census(
         "SELECT count(*) AS markets, count(DISTINCT state) AS states FROM built"),
-    "markets_scan": with_census("SELECT site_id, state, legacy_slug, type, county FROM built"),
+    "markets_scan": with_relations(
+        f"""SELECT seq // {PAGE_SPAN} AS block, cast(row_number() OVER (PARTITION BY seq // {PAGE_SPAN}
+    ORDER BY seq) - 1 AS integer) AS market_seq,
+  lower(abbrev) || '-' || replace(string_split(line, chr(9))[2], '-county', '') AS site_id, state,
+  string_split(line, chr(9))[2] AS legacy_slug, 'county' AS type,
+  string_split(line, chr(9))[1] AS county
+FROM lines WHERE len(string_split(line, chr(9))) = 2""", "lines"),
     "county_lines": with_relations(
         """SELECT seq, abbrev, state, string_split(line, chr(9))[1] AS name,
   string_split(line, chr(9))[2] AS slug FROM lines WHERE len(string_split(line, chr(9))) = 2""",

@@ -25,7 +25,7 @@ from noticeflow.sources import tables
 from noticeflow.sources.html import page_links
 from noticeflow.streaming.page_stream import ingest_stream, page_stream
 
-from .inputs import AS_OF, BASE_URL, STORED_UNTIL, detail_pages, load, payload_pages
+from .inputs import AS_OF, BASE_URL, PAGE_SPAN, STORED_UNTIL, detail_pages, load, payload_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -260,15 +260,14 @@ def _markets(spark, d) -> DataFrame:
 
 @query
 def markets_scan(spark, d):
-    """Market arrays, one per state, encoded and decoded again; places start at zero."""
-    rows = market_build.market_rows(load(spark, d, "census")[0])
-    objects = rows.select("STATE", "COUNTYNAME", F.floor(F.crc32("COUNTYNAME") / 2**26).alias("part"),
-                          F.to_json(F.struct("site_id", F.col("state_slug").alias("state"),
-                                             "legacy_slug", "type", "county")).alias("o"))
-    arrays = objects.groupBy("STATE", "part").agg(F.concat(F.lit("["), F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("COUNTYNAME", "o"))), lambda x: x["o"]), ","),
-        F.lit("]")).alias("value")).drop("STATE", "part")
-    return market_io.decode_markets(arrays).drop("market_seq")
+    """Market arrays of at most ``PAGE_SPAN`` markets, decoded with their places."""
+    listed = market_build.from_county_lines(
+        market_io.county_lines(load(spark, d, "lines")[0], "line"))
+    item = F.struct("seq", F.to_json(F.struct(*MARKET.names)).alias("o"))
+    objects = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["o"])
+    arrays = listed.groupBy(F.floor(F.col("seq") / PAGE_SPAN).alias("block")).agg(
+        F.concat(F.lit("["), F.array_join(objects, ",\n"), F.lit("]")).alias("value"))
+    return market_io.decode_markets(arrays)
 
 
 @query

@@ -7,8 +7,8 @@ struct, and everything after that is Column expressions.
 from __future__ import annotations
 
 import html
+import re
 import sys
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -68,65 +68,97 @@ def _fits(test, tag, attrs) -> bool:
     return {"is": have == value, "part": value in have, "token": value in have.split()}[how]
 
 
-class _Reader(HTMLParser):
+# A comment, a declaration, or a tag with its attributes; quoted values may hold ">".
+_TOKEN = re.compile(
+    r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    re.DOTALL)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+# Elements whose content is no markup run to their own end tag.
+_RAW_END = {tag: re.compile(rf"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
+_HINT = re.compile("class|data-testid", re.IGNORECASE)
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    found = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        value = "".join(values)
+        found.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
+    return found
+
+
+class _Reader:
     """Tracks open elements and gathers the text of those a page kind asks for."""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open, self.pending = [], []
+    #: Tags whose attributes are always looked at; others only with a class or test id.
+    tags: set[str] = set()
 
-    def read(self, page: str):
-        self.feed(page)
-        self.close()
-        self._flush()
-        return self
+    def __init__(self):
+        self.open = []  # per open element: tag, attributes or None, text lists
+        self.sinks = 0
 
-    def wanted(self, tag, attrs) -> list[list[str]]:
+    def wanted(self, tag: str, attrs: dict[str, str]) -> list[list[str]]:
         """Text lists that collect the text below this element."""
         raise NotImplementedError
 
-    def _flush(self):
-        text = "".join(self.pending).strip()
-        self.pending.clear()
-        if text and not any(tag in _SILENT for tag, _, _ in self.open):
+    def read(self, page: str):
+        at = start = 0
+        while token := _TOKEN.search(page, at):
+            at = token.end()
+            self._text(page, start, token.start())
+            start = at
+            closing, tag, raw = token.groups()
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if closing:
+                self._end(tag)
+                continue
+            self._start(tag, raw)
+            if tag in _RAW_END:
+                end = _RAW_END[tag].search(page, at)
+                at = start = end.start() if end else len(page)
+        self._text(page, start, len(page))
+        return self
+
+    def _text(self, page: str, start: int, end: int) -> None:
+        if not self.sinks or start >= end or any(tag in _SILENT for tag, _, _ in self.open):
+            return
+        text = html.unescape(page[start:end]).strip()
+        if text:
             for _, _, sinks in self.open:
                 for sink in sinks:
                     sink.append(text)
 
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
+    def _start(self, tag: str, raw: str) -> None:
         while self.open and self.open[-1][0] in _ENDS.get(tag, ()):
-            self.open.pop()
-        first = {}
-        for key, value in attrs:
-            first.setdefault(key, value or "")
-        sinks = self.wanted(tag, first)
+            self._pop(len(self.open) - 1)
+        attrs, sinks = None, []
+        if tag in self.tags or _HINT.search(raw):
+            attrs = _attributes(raw)
+            sinks = self.wanted(tag, attrs)
         if tag not in _VOID:
-            self.open.append((tag, first, sinks))
+            self.open.append((tag, attrs, sinks))
+            self.sinks += len(sinks)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        self._flush()
+    def _end(self, tag: str) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
             held = self.open[depth][0]
             if held == tag:
-                del self.open[depth:]
+                self._pop(depth)
                 return
             if _HOLD.get(held, 100) > _HOLD.get(tag, 100):
                 return
 
+    def _pop(self, depth: int) -> None:
+        self.sinks -= sum(len(sinks) for _, _, sinks in self.open[depth:])
+        del self.open[depth:]
+
 
 class _LinkReader(_Reader):
     """Links of a listing page, by the rule that finds them."""
 
+    tags = {"a", "h3", "h4"}
+
     def __init__(self):
         super().__init__()
         self.found = [[] for _ in LINKS]  # per rule: [href, link text, label text or None]
@@ -141,7 +173,9 @@ class _LinkReader(_Reader):
                 if link[2] is None:
                     link[2] = []
                     sinks.append(link[2])
-        listed = any(_fits(LINK_LIST, t, a) for t, a, _ in self.open)
+        if tag != "a":
+            return sinks
+        listed = any(a is not None and _fits(LINK_LIST, t, a) for t, a, _ in self.open)
         for rule, test in enumerate(LINKS):
             if _fits(test, tag, attrs) and (rule < 3 or listed):
                 link = [attrs.get("href", ""), [], None]
@@ -163,6 +197,8 @@ class _LinkReader(_Reader):
 class _DetailReader(_Reader):
     """Fields of a detail page: for each rule its first element's text."""
 
+    tags = {"h1", "article", "meta", "a"}
+
     def __init__(self):
         super().__init__()
         self.texts = {(field, i): None for field, tests in DETAIL.items()
