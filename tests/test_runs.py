@@ -60,7 +60,7 @@ def test_two_days(spark, markets, details, tmp_path):
     got = by_url(store)
     assert [(u, got[u].id, got[u].site_id, got[u].county) for u in ("/1", "/thin", "/2")] == [
         ("/1", 1, "a", "Alpha"), ("/thin", 2, "a", "Alpha"), ("/2", 3, "b", "")]
-    assert got["/thin"].deceased_name == "James MWilsonJr." and got["/thin"].city == "Dayton"
+    assert got["/thin"].deceased_name == "Otto MDunneJr." and got["/thin"].city == "Dayton"
     assert (got["/1"].death_date, got["/1"].duplicate_of, got["/2"].duplicate_of) == (dt.date(2020, 5, 1), None, 1)
 
     # Running the batch again changes nothing.
