@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from noticeflow.functions.dates import (
     is_date_range, parse_date, range_end, with_dates_from_text, with_deciding_patterns,
 )
-from noticeflow.functions.names import PARTS, with_split_name
+from noticeflow.functions.names import with_split_name
 from noticeflow.functions.places import county_slug, display_name, overridden_slug, site_id
 from noticeflow.functions.urls import absolutise, with_listing_url
 from noticeflow.operators import backfill, dedup, detail, ingest, listing, report
@@ -22,7 +22,6 @@ from noticeflow.schemas import LISTING_PAGES, MARKET, OBITS, RECORD_FIELDS
 from noticeflow.session import stage, staging_root
 from noticeflow.sources import markets as market_io
 from noticeflow.sources import tables
-from noticeflow.sources.html import page_links
 from noticeflow.streaming.page_stream import ingest_stream, page_stream
 
 from .inputs import AS_OF, BASE_URL, PAGE_SPAN, STORED_UNTIL, detail_pages, load, payload_pages

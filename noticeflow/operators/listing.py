@@ -14,7 +14,7 @@ from ..functions.dates import parse_date, with_dates_from_text
 from ..functions.names import PARTS, with_split_name
 from ..functions.text import first_present, or_blank, present, strip
 from ..functions.urls import absolutise
-from ..schemas import EDGES, ITEM_LIST, LISTING_PAYLOAD, RECORD_FIELDS, STATE_PAYLOAD
+from ..schemas import ITEM_LIST, LISTING_PAYLOAD, RECORD_FIELDS, STATE_PAYLOAD
 from ..sources.html import page_links, unescaped
 
 # Shortest script considered, comment marks around its payload.

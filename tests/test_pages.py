@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from noticeflow.operators.detail import enrich, extract_details
 from noticeflow.operators.listing import extract_records
