@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm import bpe
 from noticeflow.llm.common import stage, table
+from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
-from noticeflow.llm.queries import VOCABULARY
+from noticeflow.llm.queries import VOCABULARY, quality_scores
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,10 +25,19 @@ def keep_ids(docs: DataFrame, decisions: DataFrame, keep) -> DataFrame:
     return docs.join(decisions.filter(keep).select("doc_id"), "doc_id", "left_semi")
 
 
+def drop_poor_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_ids(docs, quality_scores(spark, sf_dir, docs), F.col("predicted") == 1)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_ids(docs, exact_dedup(docs), F.col("kept"))
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, VOCABULARY).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -35,7 +45,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", drop_poor_text),
     ("exact_dedup", drop_exact_copies),
+    ("decontaminate", drop_leaks),
     ("bpe", tokenize),
 ]
 

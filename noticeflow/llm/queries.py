@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe
-from noticeflow.llm.common import table
+from noticeflow.llm import bpe, quality
+from noticeflow.llm.common import held_out, table
+from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +27,15 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+#: A document is kept as good text from this score on.
+QUALITY_CUT = 0.3
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -33,6 +43,19 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted; learned from the rows that are not held out."""
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), exclude=out)
+    return quality.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, sf_dir, table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
