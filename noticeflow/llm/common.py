@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def drop_staged(df: DataFrame) -> None:
 def pieces(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts in a piece have at most ``limit`` bytes together; a
     longer text is a piece of its own."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
     for i, n in enumerate(lengths):
         if i > start and total + n > limit:
