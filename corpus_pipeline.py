@@ -15,6 +15,7 @@ from noticeflow.llm import bpe
 from noticeflow.llm.common import stage, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
+from noticeflow.llm.ngram_join import ngram_join
 from noticeflow.llm.queries import VOCABULARY, quality_scores
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,6 +34,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return keep_ids(docs, exact_dedup(docs), F.col("kept"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_ids(docs, ngram_join(docs), F.col("kept"))
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
@@ -47,6 +52,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("quality", drop_poor_text),
     ("exact_dedup", drop_exact_copies),
+    ("ngram_join", drop_near_copies),
     ("decontaminate", drop_leaks),
     ("bpe", tokenize),
 ]

@@ -15,6 +15,7 @@ from noticeflow.llm import bpe, quality
 from noticeflow.llm.common import held_out, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
+from noticeflow.llm.ngram_join import ngram_join
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,6 +57,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, sf_dir, table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
