@@ -7,7 +7,7 @@ vertical tab, form feed and carriage return. Three narrow passes cut the rows do
 2. among those, (length, hash of the first characters) pairs that occur more than once,
 3. among those, SHA-256 of the whole stripped text.
 
-A pass hands its surviving keys to the next as a bitmap of fixed size (``BITS`` bits), so
+A pass hands its surviving keys to the next as a bitmap of fixed size, so
 what is broadcast never grows with the data. Two keys that share a bit only let a text
 through that the full hash then tells apart; the result does not depend on the bitmap.
 
@@ -23,9 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeflow.llm.common import drop_staged, stage
+from noticeflow.llm.membership import bitmap, probe
 
-#: Bits of a membership bitmap: 64 rows of 4 KB.
-BITS = 1 << 21
 #: Code points of the stripped text that the prefix hash covers.
 PREFIX_CHARS = 128
 
@@ -34,29 +33,6 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
-def _slot(*cols: str) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(BITS))
-
-
-def _bitmap(keys: DataFrame, name: str, *cols: str) -> DataFrame:
-    """The keys as at most BITS / 32768 rows (block number, bitmap)."""
-    slot = _slot(*cols)
-    return keys.groupBy(F.bitmap_bucket_number(slot).alias(f"{name}_block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias(f"{name}_bits"))
-
-
-def _probe(df: DataFrame, bitmap: DataFrame, name: str, *cols: str) -> DataFrame:
-    """Add the boolean column ``name``: the row's bit is set."""
-    slot = _slot(*cols)
-    place = F.bitmap_bit_position(slot)
-    joined = df.withColumn("_block", F.bitmap_bucket_number(slot)).withColumn("_place", place).join(
-        F.broadcast(bitmap), F.col("_block") == F.col(f"{name}_block"), "left")
-    bit = F.expr(f"shiftright(cast(conv(hex(substring({name}_bits, cast(_place div 8 as int) + 1, 1)),"
-                 " 16, 10) as int), cast(_place % 8 as int)) & 1 = 1")
-    return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop(
-        "_block", "_place", f"{name}_block", f"{name}_bits")
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                 digest_all: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
@@ -70,14 +46,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS)).alias("_prefix"))
 
     narrow = stage(keyed.select("_len", "_prefix"), "dedup-keys")
-    lengths = stage(_bitmap(narrow.groupBy("_len").count().filter("count > 1"), "_by_length", "_len"),
+    lengths = stage(bitmap(narrow.groupBy("_len").count().filter("count > 1"), "_by_length", "_len"),
                     "dedup-lengths")
-    pairs = (_probe(narrow, lengths, "_by_length", "_len").filter("_by_length")
+    pairs = (probe(narrow, lengths, "_by_length", "_len").filter("_by_length")
              .groupBy("_len", "_prefix").count().filter("count > 1"))
-    prefixes = stage(_bitmap(pairs, "_by_prefix", "_len", "_prefix"), "dedup-prefixes")
+    prefixes = stage(bitmap(pairs, "_by_prefix", "_len", "_prefix"), "dedup-prefixes")
     drop_staged(narrow)
 
-    probed = _probe(_probe(keyed, lengths, "_by_length", "_len"), prefixes, "_by_prefix", "_len", "_prefix")
+    probed = probe(probe(keyed, lengths, "_by_length", "_len"), prefixes, "_by_prefix", "_len", "_prefix")
     survives = F.col("_by_length") & F.col("_by_prefix")
     digest = F.sha2(F.col("_norm").cast("binary"), 256)
     rows = stage(probed.select(

@@ -16,6 +16,7 @@ from noticeflow.llm.common import held_out, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.ngram_join import ngram_join
+from noticeflow.llm.suffix_dedup import suffix_dedup
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -37,6 +38,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
