@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe, quality
+from noticeflow.llm import bpe, language, quality
 from noticeflow.llm.common import held_out, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
@@ -44,6 +44,14 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
+    models = language.train(docs, exclude=out)
+    found = language.identify(docs, models)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted", "bits_per_char")
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
