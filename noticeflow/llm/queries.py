@@ -15,6 +15,7 @@ from noticeflow.llm import bpe, language, quality
 from noticeflow.llm.common import held_out, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
+from noticeflow.llm.html_text import main_text
 from noticeflow.llm.ngram_join import ngram_join
 from noticeflow.llm.suffix_dedup import suffix_dedup
 
@@ -77,6 +78,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
