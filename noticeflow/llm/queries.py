@@ -17,7 +17,9 @@ from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.html_text import main_text
 from noticeflow.llm.ngram_join import ngram_join
+from noticeflow.llm.shards import training_order
 from noticeflow.llm.suffix_dedup import suffix_dedup
+from noticeflow.llm.token_counts import count_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -60,6 +62,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted; learned from the rows that are not held out."""
     out = held_out(F.col("doc_id"), 5, 0)
@@ -83,6 +90,11 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"), VOCABULARY, key=2024)
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
