@@ -1,7 +1,7 @@
 """A set of keys as a bitmap of fixed size, to let most other rows go before a join.
 
 Two keys may share a bit, so a row that passes has to be settled exactly by what follows. The
-bitmap has ``BITS`` bits (64 rows of 4 KB) however many keys there are.
+bitmap has ``BITS`` bits (256 rows of 4 KB) however many keys there are.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 21
+BITS = 1 << 23
 
 
 def _slot(*cols: str) -> Column:

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm.common import by_pieces, drop_staged, stage, texts_of, words
 from noticeflow.llm.components import components
+from noticeflow.llm.membership import bitmap, probe
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -272,12 +273,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = stage(blocks.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "blocks")
     wanted = stage(blocks.join(sizes, "label").join(texts.select(F.col("key").alias("node"), "first_id"), "node").select(
         F.col("label").alias("block"), "size", F.col("node").alias("key"), "first_id"), "wanted")
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
+    # Only documents that may be wanted move for the join; most texts have no neighbour.
+    known = stage(bitmap(wanted, "_known", "first_id"), "ids")
+    read = probe(docs.select(F.col(id_col).alias("first_id"), F.col(text_col).alias("text")), known, "_known", "first_id")
+    read = read.filter("_known").withColumnRenamed("first_id", "doc_id").select("doc_id", "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("block", "size", "key", "text")
     sets = read.mapInArrow(by_pieces(wanted_sets, "text"), "block binary, size long, key binary, shingles binary")
     dealt = tiled(sets, "block", "size").repartition("block", "x", "y").sortWithinPartitions("block", "x", "y")
     linked = stage(dealt.mapInArrow(lambda batches: true_links(batches, threshold), "key binary, links long, root binary"), "links")
     drop_staged(wanted)
+    drop_staged(known)
     drop_staged(sizes)
     drop_staged(blocks)
 
