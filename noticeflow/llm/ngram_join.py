@@ -8,10 +8,10 @@ prefix starts at full depth and is shortened until the expected recall at the th
 
 1. sketch: one pass over the documents gives the key of the words and the signature,
 2. forest: prefixes that one text has alone go; texts under a shared prefix are compared by
-   signature, in tiles of ``TILE`` texts so that no prefix is one task, and each tile
+   signature, in tiles of ``SKETCH_TILE`` texts so that no prefix is one task, and each tile
    returns a spanning forest (as many rows as texts) of those that look alike,
 3. blocks: connected components of these forests; only their texts are read again,
-4. verification: within a block, again by tiles, the exact sets of five-grams are compared; a
+4. verification: within a block, by tiles of ``TILE``, the exact sets of five-grams are compared; a
    tile returns each text's number of links and a spanning forest of the true links. Pairs are
    never written out, and no number of partners is cut off.
 
@@ -44,6 +44,8 @@ THRESHOLD = 0.8
 TREES, DEPTH = 16, 8
 RECALL = 0.999
 TILE = 256
+#: Texts under one prefix that are compared by signature in one piece.
+SKETCH_TILE = 1024
 #: Signature agreement from which texts are put in one block, and from which a pair in a
 #: block is compared exactly: 0.8 less 5 and 8 standard deviations of the estimate.
 BLOCK_CUT, PAIR_CUT = 0.62, 0.5
@@ -176,10 +178,10 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(by_pieces(work, "text"), f"doc_id {kind}, key binary, signature binary")
 
 
-def tiled(rows: DataFrame, by: str, size: str) -> DataFrame:
+def tiled(rows: DataFrame, by: str, size: str, tile: int) -> DataFrame:
     """Deal the members of each group to pairs of tiles: a row for every tile that a member's
     tile is compared with. ``tile`` is the member's own, (x, y) the pair."""
-    count = F.greatest(F.lit(1), F.ceil(F.col(size) / TILE)).cast("int")
+    count = F.greatest(F.lit(1), F.ceil(F.col(size) / tile)).cast("int")
     own = rows.withColumn("tile", F.pmod(F.xxhash64("key"), count).cast("int"))
     return own.withColumn("_other", F.explode(F.sequence(F.lit(0), count - 1))).select(
         by, F.least("tile", "_other").alias("x"), F.greatest("tile", "_other").alias("y"),
@@ -265,8 +267,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = stage(prefixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "prefixes")
     members = stage(prefixes.join(shared, "prefix"), "members")
     drop_staged(shared)
-    met = tiled(members.join(texts.select("key", "signature"), "key"), "prefix", "size")
-    met = met.repartition("prefix", "x", "y").sortWithinPartitions("prefix", "x", "y")
+    met = tiled(members.join(texts.select("key", "signature"), "key"), "prefix", "size", SKETCH_TILE)
+    met = met.repartition("prefix", "x", "y").sortWithinPartitions("prefix", "x", "y", "key")
     blocks = components(met.mapInArrow(look_alike, "a binary, b binary"))
     drop_staged(members)
 
@@ -279,7 +281,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     read = read.filter("_known").withColumnRenamed("first_id", "doc_id").select("doc_id", "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("block", "size", "key", "text")
     sets = read.mapInArrow(by_pieces(wanted_sets, "text"), "block binary, size long, key binary, shingles binary")
-    dealt = tiled(sets, "block", "size").repartition("block", "x", "y").sortWithinPartitions("block", "x", "y")
+    dealt = tiled(sets, "block", "size", TILE).repartition("block", "x", "y").sortWithinPartitions("block", "x", "y", "key")
     linked = stage(dealt.mapInArrow(lambda batches: true_links(batches, threshold), "key binary, links long, root binary"), "links")
     drop_staged(wanted)
     drop_staged(known)
