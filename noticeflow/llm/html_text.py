@@ -37,7 +37,7 @@ from noticeflow.llm.common import by_pieces, drop_staged, stage, texts_of
 
 MIN_PAGES, PAGE_SHARE, LINK_SHARE = 4, 0.2, 0.5
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
+INLINE = {"script", "style", "template", "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
           "sup", "time", "tt", "u", "var", "wbr", "img"}
 #: A start tag of the key ends an open element of the value before it.

@@ -62,14 +62,15 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for r, f in zip(raw, (first[:-1] * BLOCK).tolist()):
         data[f:f + len(r)] = np.frombuffer(r, np.uint8)
         real[f:f + len(r)] = True
-    copied = np.zeros(len(data), bool)
+    before = np.concatenate([np.zeros(MAX_LAG + RUN, np.uint8), data])  # padding, as between two texts
+    copied = np.zeros(len(before), bool)
     for lag in range(1, MAX_LAG + 1):
-        same = data[lag:] == data[:-lag]
+        same = before[lag:] == before[:-lag]
         for step in (1, 2, 4):
             same = same[step:] & same[:-step]
         copied[lag + RUN - 1:] |= same
     out = data.astype(np.int16)
-    out[copied] += 256
+    out[copied[MAX_LAG + RUN:]] += 256
     out[~real] = PAD
     return out, first
 

@@ -52,24 +52,23 @@ def token_spans(text: str, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarr
 
 def attribute(first: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]], rule: str) -> tuple[np.ndarray, float]:
     """Tokens of each section, and tokens of none."""
-    starts = np.array([s for s, _ in spans], np.int64)
-    ends = np.array([e for _, e in spans], np.int64)
     out = np.zeros(len(spans))
+    real = np.array([k for k, (s, e) in enumerate(spans) if e > s], np.int64)  # an empty one holds nothing
+    starts = np.array([spans[k][0] for k in real], np.int64)
+    ends = np.array([spans[k][1] for k in real], np.int64)
     low, high = np.searchsorted(ends, first, "right"), np.searchsorted(starts, end, "left")
-    one = high - low == 1
-    np.add.at(out, low[one], (np.minimum(end, ends[low])[one] - np.maximum(first, starts[low])[one]) / (end - first)[one]
+    one = np.flatnonzero(high - low == 1)
+    own = low[one]
+    np.add.at(out, real[own], (np.minimum(end[one], ends[own]) - np.maximum(first[one], starts[own])) / (end - first)[one]
               if rule == "share" else 1)
     outside = float((high <= low).sum())
     for t in np.flatnonzero(high - low > 1):
         own = np.arange(low[t], high[t])
         shares = np.maximum(np.minimum(end[t], ends[own]) - np.maximum(first[t], starts[own]), 0) / (end[t] - first[t])
-        own, shares = own[shares > 0], shares[shares > 0]
-        if not len(own):
-            outside += 1
-        elif rule == "share":
-            out[own] += shares
+        if rule == "share":
+            out[real[own]] += shares
         else:
-            out[own[{"most": shares.argmax(), "first": 0, "last": len(own) - 1}[rule]]] += 1
+            out[real[own[{"most": shares.argmax(), "first": 0, "last": len(own) - 1}[rule]]]] += 1
     return out, outside
 
 
