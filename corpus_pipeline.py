@@ -11,36 +11,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe
+from noticeflow.llm import bpe, quality
 from noticeflow.llm.common import stage, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
+from noticeflow.llm.membership import bitmap, probe
 from noticeflow.llm.ngram_join import ngram_join
-from noticeflow.llm.queries import VOCABULARY, quality_scores
+from noticeflow.llm.queries import QUALITY_CUT, VOCABULARY, quality_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def keep_ids(docs: DataFrame, decisions: DataFrame, keep) -> DataFrame:
-    """The documents whose decision says keep; only ids and flags move beside them."""
-    return docs.join(decisions.filter(keep).select("doc_id"), "doc_id", "left_semi")
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``dropped`` (doc_id). Only documents that share a bit
+    with a dropped id move for the join; all others stay where they are. Rows that repeat an id
+    share its fate."""
+    gone = stage(dropped.select("doc_id").distinct(), "dropped")
+    probed = probe(docs, stage(bitmap(gone, "_gone", "doc_id"), "dropped-bits"), "_gone", "doc_id")
+    doubtful = probed.filter("_gone").join(
+        gone.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    return probed.filter("not _gone").unionByName(doubtful).select(*docs.columns)
 
 
 def drop_poor_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_ids(docs, quality_scores(spark, sf_dir, docs), F.col("predicted") == 1)
+    scored = quality.score(docs, quality_model(spark, sf_dir), into="_quality")
+    return scored.filter(F.col("_quality") >= QUALITY_CUT).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_ids(docs, exact_dedup(docs), F.col("kept"))
+    return without(docs, exact_dedup(docs).filter("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_ids(docs, ngram_join(docs), F.col("kept"))
+    return without(docs, ngram_join(docs).filter("not kept"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    return without(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -200,15 +200,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return net
 
 
-def score(docs: DataFrame, model: ByteNet | ShareOnly, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score for each row."""
+def score(docs: DataFrame, model: ByteNet | ShareOnly, text_col: str = "text", into: str = "score") -> DataFrame:
+    """``docs`` with the score of each text in the column ``into``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in docs.columns if c != into]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sent.value.scores(texts_of(batch, "text")), pa.float64())],
-            ["doc_id", "score"])
+        scores = pa.array(sent.value.scores(texts_of(batch, text_col)), pa.float64())
+        return pa.RecordBatch.from_arrays([*batch.columns, scores], [*kept, into])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(by_pieces(work, "text", SCORE_BYTES), f"doc_id {kind}, score double")
+    rows = docs.select(*kept)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(by_pieces(work, text_col, SCORE_BYTES), f"{schema}, `{into}` double")

@@ -67,17 +67,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted; learned from the rows that are not held out."""
-    out = held_out(F.col("doc_id"), 5, 0)
-    model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), exclude=out)
-    return quality.score(docs, model).select(
-        "doc_id", out.alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+def quality_model(spark: SparkSession, sf_dir: str):
+    """Learned from the labelled rows that are not held out."""
+    return quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                         exclude=held_out(F.col("doc_id"), 5, 0))
 
 
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(spark, sf_dir, table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality_model(spark, sf_dir)).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 @query

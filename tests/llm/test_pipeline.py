@@ -9,7 +9,8 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from noticeflow.llm import decontaminate as dc
-from noticeflow.llm.queries import REGISTRY, VOCABULARY, quality_scores
+from noticeflow.llm import quality
+from noticeflow.llm.queries import QUALITY_CUT, REGISTRY, VOCABULARY, quality_model
 from tests.llm.test_text_dedup import exact_loop, join_loop
 
 DIR = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def test_registered():
 def test_stages(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     columns = docs.columns
-    good = {r.doc_id for r in quality_scores(spark, DIR, docs).collect() if r.predicted == 1}
+    good = {r.doc_id for r in quality.score(docs, quality_model(spark, DIR)).collect() if r.score >= QUALITY_CUT}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in good}
     texts = {i: texts[i] for i, *_, kept, _ in exact_loop(texts.items()) if kept}
     texts = {i: texts[i] for i, *_, kept in join_loop(list(texts.items())) if kept}
