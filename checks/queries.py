@@ -44,7 +44,11 @@ def _obits(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scan_obits(spark, d):
-    return _obits(spark, d)
+    """Written and read back; blank and missing states stay apart."""
+    path = f"{staging_root(spark)}/obits-{uuid.uuid4().hex}"
+    states = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("state"))
+    tables.write_obits(_obits(spark, d).withColumn("state", states), path)
+    return tables.scan_obits(spark, path)
 
 
 @query
@@ -325,7 +329,7 @@ def insert_ignore(spark, d):
 def _run_log(spark, d) -> DataFrame:
     candidates, stored, sites = _run(spark, d)
     failed = sites.where("county = 'County 3'").select(
-        "site_id", F.lit("ValueError: bad page").alias("error"))
+        F.col("market_seq").alias("market_no"), F.lit("ValueError: bad page").alias("error"))
     return ingest.run_log(sites, candidates, stored, failed, AS_OF)
 
 

@@ -101,7 +101,7 @@ def _named_date(c: Column) -> Column:
 
 def _first_group(text: Column, pattern: str) -> Column:
     """Group of the first match; null without a match, which ends the chain."""
-    return F.get(F.regexp_extract_all(text, F.lit(_FLAGS + pattern), F.lit(1)), F.lit(0))
+    return F.nullif(F.regexp_extract(text, _FLAGS + pattern, 1), F.lit(""))
 
 
 def _dated(text: Column, form: str, pattern: str) -> Column:

@@ -68,10 +68,12 @@ def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Complete records that came without text from their detail pages.
 
     Pages are cut down to the wanted links before they are parsed, so the parse runs only
-    for unseen, thin records. ``records`` has one row per link.
+    for unseen, thin records. ``records`` has one row per link. Of several pages of a link
+    the latest by ``fetched_at`` counts, where the pages have it; then a hash decides.
     """
     thin = F.coalesce(F.col("obit_text"), F.lit("")) == ""
     wanted = records.where(thin)
-    needed = pages.select("url", "html").join(wanted.select("url"), "url", "left_semi")
-    single = keep_first(needed, [F.col("url")], [F.char_length("html").desc(), F.xxhash64("html")])
-    return merge_details(wanted, extract_details(single)).unionByName(records.where(~thin))
+    fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp_ntz")
+    needed = pages.select("url", "html", fetched.alias("_fetched")).join(wanted.select("url"), "url", "left_semi")
+    single = keep_first(needed, [F.col("url")], [F.col("_fetched").desc_nulls_last(), F.xxhash64("html")])
+    return merge_details(wanted, extract_details(single.drop("_fetched"))).unionByName(records.where(~thin))

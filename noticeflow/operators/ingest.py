@@ -56,16 +56,19 @@ def new_links(
 
 
 def with_market(candidates: DataFrame, markets: DataFrame) -> DataFrame:
-    """County of the source on every candidate. The source list is a small dimension;
-    Spark broadcasts it when its size allows."""
-    return candidates.join(
-        markets.select("site_id", or_blank(F.col("county")).alias("county")), "site_id")
+    """County of the source on every candidate, by the source's place in the list: a
+    ``site_id`` may be there twice. The list is a small dimension; Spark broadcasts it when
+    its size allows."""
+    places = markets.select(F.col("market_seq").alias("market_no"), or_blank(F.col("county")).alias("county"))
+    return _with_market_no(candidates).join(places, "market_no").select(*candidates.columns, "county")
 
 
 def first_new(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     """The candidates an insert keeps: per unseen link the first one."""
     keyed = _keyed(candidates)
-    firsts = keep_first(keyed, [F.col("_key")], [F.col("market_seq"), F.col("pos")])
+    # Two pages of one source have equal places; the row itself then decides.
+    tie = F.xxhash64(*[F.col(c) for c in sorted(candidates.columns)])
+    firsts = keep_first(keyed, [F.col("_key")], [F.col("market_seq"), F.col("pos"), tie])
     known = _stored_among(stored, keyed)
     return firsts.join(known, "_key", "left_anti").drop("_key", "_long")
 
@@ -115,6 +118,13 @@ def insert_ignore(
     return with_ids(as_records(first_new(candidates, stored), as_of), last_id(stored))
 
 
+def _with_market_no(candidates: DataFrame) -> DataFrame:
+    """The place of the source in the market list. ``market_seq`` may hold the day as well."""
+    if "market_no" in candidates.columns:
+        return candidates
+    return candidates.withColumn("market_no", F.col("market_seq"))
+
+
 def link_counts(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     """Found and new records per source.
 
@@ -123,17 +133,17 @@ def link_counts(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     both are partial aggregates, so neither a link on all pages nor a page with most of
     the rows meets in one task.
     """
-    keyed = _keyed(candidates)
-    per_source = keyed.groupBy("_key", "market_seq", "site_id").agg(
+    keyed = _keyed(_with_market_no(candidates))
+    per_source = keyed.groupBy("_key", "market_seq", "market_no", "site_id").agg(
         F.count_if(~F.col("_long")).alias("n"))
     per_link = per_source.groupBy("_key").agg(
-        F.min(F.struct("market_seq", "site_id", "n")).alias("_first"))
+        F.min(F.struct("market_seq", "market_no", "site_id", "n")).alias("_first"))
     fresh = per_link.join(_stored_among(stored, per_link), "_key", "left_anti")
-    counted = fresh.select(F.col("_first.site_id").alias("site_id"),
+    counted = fresh.select(F.col("_first.market_no").alias("market_no"), F.col("_first.site_id").alias("site_id"),
                            F.col("_first.n").alias("found"), F.lit(1).alias("new"))
     long_links = keyed.where("_long").select(
-        "site_id", F.lit(1).cast("bigint").alias("found"), F.lit(0).alias("new"))
-    return counted.unionByName(long_links).groupBy("site_id").agg(
+        "market_no", "site_id", F.lit(1).cast("bigint").alias("found"), F.lit(0).alias("new"))
+    return counted.unionByName(long_links).groupBy("market_no", "site_id").agg(
         F.sum("found").alias("found"), F.sum("new").alias("new"))
 
 
@@ -144,13 +154,17 @@ def run_log(
     errors: DataFrame,
     as_of: dt.datetime,
 ) -> DataFrame:
-    """One row per source of the run, also for failed ones, which count as zero."""
-    counts = link_counts(candidates, stored)
-    failed = errors.groupBy("site_id").agg(F.min("error").alias("errors"))
+    """One row per source of the run, also for failed ones, which count as zero.
+
+    A source is a row of ``markets``, told by its place: a repeated ``site_id`` has a row for
+    each place with that place's counts. ``errors`` has the place as ``market_no``.
+    """
+    counts = link_counts(candidates, stored).drop("site_id")
+    failed = errors.groupBy("market_no").agg(F.min("error").alias("errors"))
     ok = F.col("errors").isNull()
     return (
-        markets.select("site_id").join(counts, "site_id", "left")
-        .join(failed, "site_id", "left")
+        markets.select("site_id", F.col("market_seq").alias("market_no")).join(counts, "market_no", "left")
+        .join(failed, "market_no", "left")
         .select(
             F.coalesce("site_id", F.lit("unknown")).alias("site_id"),
             F.lit(as_of.date()).alias("run_date"),

@@ -59,17 +59,17 @@ def sort_time() -> Column:
                         for c in ("death_date", "published_date", "scraped_at")])
 
 
-def _latest(obits: DataFrame, limit: int, filters: dict) -> DataFrame:
-    return (
+def _latest(obits: DataFrame, limit: int | None, filters: dict) -> DataFrame:
+    rows = (
         report_filter(obits, **filters)
         .select("id", *REPORT_COLUMNS, sort_time().alias("_at"))
         .orderBy(F.col("_at").desc_nulls_last(), F.col("id").asc())
-        .limit(limit)
     )
+    return rows.limit(limit) if limit is not None else rows
 
 
-def latest_report(obits: DataFrame, limit: int = REPORT_ROWS, **filters) -> DataFrame:
-    """Newest matching records. Order and limit form one top-k, no full sort."""
+def latest_report(obits: DataFrame, limit: int | None = REPORT_ROWS, **filters) -> DataFrame:
+    """Newest matching records; None for all. Order and limit form one top-k, no full sort."""
     return _latest(obits, limit, filters).drop("_at")
 
 
@@ -89,11 +89,13 @@ _SEARCHED = ["name", "birth_date", "death_date", "published_date", "funeral_home
 
 
 def report_page(
-    obits: DataFrame, page: int = 0, search: str = "", size: int = PAGE_ROWS, **filters,
+    obits: DataFrame, page: int = 0, search: str = "", size: int = PAGE_ROWS,
+    limit: int | None = REPORT_ROWS, **filters,
 ) -> DataFrame:
     """One shown page of the listing: newest death date first, ties as in the listing,
-    optionally only rows holding all searched words."""
-    listing = _latest(obits, REPORT_ROWS, filters)
+    optionally only rows holding all searched words. ``limit`` bounds the listing that is
+    paged through; None takes all records."""
+    listing = _latest(obits, limit, filters)
     rows = display_rows(listing, "_at")
     cells = F.lower(F.concat_ws(" ", *_SEARCHED))
     for word in search.lower().split():
@@ -105,11 +107,16 @@ def report_page(
     )
 
 
-def facet(obits: DataFrame, column: str) -> DataFrame:
+#: Stands for the usual limit of a column.
+USUAL = -1
+
+
+def facet(obits: DataFrame, column: str, limit: int | None = USUAL) -> DataFrame:
     """Distinct non-blank values, one spelling per case-insensitive value.
 
     The exact spellings are reduced first by a hash aggregate in each task, so what is
-    then grouped ignoring case is small however often a value occurs. The count is used in
+    then grouped ignoring case is small however often a value occurs. ``limit`` None gives all
+    values. The count is used in
     both steps to keep them apart: the optimizer would merge them and sort all rows.
     """
     spellings = obits.where(F.col(column) != "").groupBy(column).agg(F.count("*").alias("_n"))
@@ -118,12 +125,12 @@ def facet(obits: DataFrame, column: str) -> DataFrame:
         .agg(F.min(column).alias(column), F.sum("_n").alias("_n")).where("_n > 0")
         .orderBy(F.col("_k").asc()).select(column)
     )
-    limit = FACET_ROWS.get(column)
-    return values.limit(limit) if limit else values
+    limit = FACET_ROWS.get(column) if limit == USUAL else limit
+    return values.limit(limit) if limit is not None else values
 
 
-def facets(obits: DataFrame) -> dict[str, DataFrame]:
-    return {column: facet(obits, column) for column in FACET_ROWS}
+def facets(obits: DataFrame, limit: int | None = USUAL) -> dict[str, DataFrame]:
+    return {column: facet(obits, column, limit) for column in FACET_ROWS}
 
 
 def record_count(obits: DataFrame) -> DataFrame:

@@ -1,8 +1,14 @@
 """Folders of the record store.
 
 ``obits`` and ``run_log`` get one partition per ingest batch and ``marks`` one per batch of
-duplicate marks. A batch is written whole under its own number, so writing it again after
-a failure replaces it; nothing already stored is rewritten.
+duplicate marks. A batch is written whole under its own number; nothing already stored is
+rewritten by another batch.
+
+``batches`` is the ledger: a row when a number is taken for (source, epoch) and one when the
+batch is complete. Numbers are never shared between sources, so a stream and daily runs can
+feed one store. A batch that was taken but not completed is not visible, and its epoch takes a
+new number when it is run again; a completed epoch keeps its number. The store has one writer
+at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +25,10 @@ from ..sources.tables import with_text_length
 _BATCH = T.StructField("ingest_batch", T.LongType())
 _MARKS = T.StructType([OBITS["id"], OBITS["duplicate_of"]])
 _STORED = T.StructType([*OBITS.fields, T.StructField("obit_text_len", T.IntegerType())])
+_LEDGER = T.StructType([T.StructField("source", T.StringType()), T.StructField("epoch", T.LongType()),
+                        T.StructField("batch", T.LongType()), T.StructField("done", T.BooleanType())])
+#: Ledger source of batches whose number the caller gives.
+NUMBERED = "numbered"
 
 
 @dataclass(frozen=True)
@@ -26,36 +36,90 @@ class Store:
     spark: SparkSession
     root: str
 
-    def _table(self, name: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType([*schema.fields, _BATCH])
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(full).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], full)
+            return self.spark.createDataFrame([], schema)
+
+    def _table(self, name: str, schema: T.StructType, own: int | None = None) -> DataFrame:
+        """The complete batches, and ``own`` whatever its state."""
+        table = self._read(name, T.StructType([*schema.fields, _BATCH]))
+        hidden = sorted(self._open_batches() - {own})
+        return table.where(~F.col("ingest_batch").isin(hidden)) if hidden else table
 
     def _write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/ingest_batch={batch}")
 
-    def records(self, before: int | None = None) -> DataFrame:
-        """Records as appended, without the marks of later runs."""
-        table = self._table("obits", _STORED)
-        return table.where(F.col("ingest_batch") < before) if before is not None else table
+    # The ledger has two rows per batch, so it is read as a whole.
+    def _ledger(self) -> list[tuple[str, int, int, bool]]:
+        return [tuple(r) for r in self._read("batches", _LEDGER).collect()]
+
+    def _note(self, source: str, epoch: int, batch: int, done: bool) -> None:
+        row = self.spark.createDataFrame([(source, epoch, batch, done)], _LEDGER)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/batches")
+
+    def _open_batches(self) -> set[int]:
+        rows = self._ledger()
+        return {r[2] for r in rows} - {r[2] for r in rows if r[3]}
+
+    def newest(self) -> int:
+        """The highest number taken or stored; -1 for an empty store."""
+        stored = self._read("obits", T.StructType([*_STORED.fields, _BATCH])).agg(F.max("ingest_batch")).first()[0]
+        return max([-1, *(r[2] for r in self._ledger()), *([] if stored is None else [stored])])
+
+    def claim(self, source: str, epoch: int) -> tuple[int, bool]:
+        """The batch number of an epoch, and whether it is complete already."""
+        done = [r[2] for r in self._ledger() if r[:2] == (source, epoch) and r[3]]
+        if done:
+            return done[0], True
+        batch = self.newest() + 1
+        self._note(source, epoch, batch, False)
+        return batch, False
+
+    def take(self, batch: int) -> None:
+        """Take a given number. The newest batch may be run again, but none below it:
+        later records and ids depend on what it stored."""
+        if batch < self.newest():
+            raise ValueError(f"batch {batch} is older than the newest, {self.newest()}")
+        known = [r for r in self._ledger() if r[2] == batch]
+        if any(r[0] != NUMBERED for r in known):
+            raise ValueError(f"batch {batch} belongs to {known[0][0]!r}")
+        if not known:
+            self._note(NUMBERED, batch, batch, False)
+
+    def complete(self, source: str, epoch: int, batch: int) -> None:
+        if (source, epoch, batch, True) not in self._ledger():
+            self._note(source, epoch, batch, True)
+
+    def records(self, other_than: int | None = None, own: int | None = None) -> DataFrame:
+        """Records as appended, without the marks of later runs. ``other_than`` leaves out a
+        batch, ``own`` shows one that is not complete."""
+        table = self._table("obits", _STORED, own)
+        return table.where(F.col("ingest_batch") != other_than) if other_than is not None else table
 
     def marks(self, before: int | None = None) -> DataFrame:
+        """One mark per id: the earliest."""
         table = self._table("marks", _MARKS)
-        return table.where(F.col("ingest_batch") < before) if before is not None else table
+        if before is not None:
+            table = table.where(F.col("ingest_batch") < before)
+        return table.groupBy("id").agg(F.min_by("duplicate_of", "ingest_batch").alias("duplicate_of"))
+
+    def marks_of(self, batch: int) -> DataFrame:
+        """The marks that one batch set."""
+        return self._table("marks", _MARKS).where(F.col("ingest_batch") == batch).drop("ingest_batch")
 
-    def obits(self, marks_before: int | None = None) -> DataFrame:
-        """Records with their marks. Marks are narrow and ids unique on both sides."""
+    def obits(self, marks_before: int | None = None, own: int | None = None) -> DataFrame:
+        """Records with their marks. Marks are narrow and have one row per id."""
         marks = self.marks(marks_before).select("id", F.col("duplicate_of").alias("_mark"))
-        joined = self.records().drop("ingest_batch").join(marks, "id", "left")
-        return joined.withColumn("duplicate_of", F.coalesce("duplicate_of", "_mark")) \
-            .drop("_mark")
+        joined = self.records(own=own).join(marks, "id", "left")
+        joined = joined.withColumn("duplicate_of", F.coalesce("duplicate_of", "_mark")).drop("_mark")
+        return joined.drop("ingest_batch") if own is None else joined
 
-    def log(self) -> DataFrame:
-        return self._table("run_log", RUN_LOG)
+    def log(self, own: int | None = None) -> DataFrame:
+        return self._table("run_log", RUN_LOG, own)
 
     def append_records(self, records: DataFrame, batch: int) -> None:
         self._write(with_text_length(records), "obits", batch)

@@ -10,22 +10,26 @@ from ..schemas import OBITS, VIEW_COLUMNS
 
 
 def scan_obits(spark: SparkSession, path: str) -> DataFrame:
-    """Record table with a declared schema: no inference pass, columns prune freely."""
-    return spark.read.schema(OBITS).parquet(path)
+    """Record table with a declared schema and order of columns: no inference pass, columns
+    prune freely, and a condition on ``state_part`` would prune folders."""
+    layout = T.StructType([*OBITS.fields, T.StructField("state_part", T.StringType())])
+    return spark.read.schema(layout).parquet(path).select(*OBITS.names)
 
 
 def write_obits(obits: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Snapshot laid out by state, newest first inside a file.
 
-    Rows are spread by state and a hash of the id, so a state with much of the table is
+    The folder is a derived column, as a folder name cannot tell a blank from a missing
+    state; the state itself stays in the rows. Rows are spread by state and a hash of the id, so a state with much of the table is
     written by several tasks, and each task writes few states.
     """
     parts = int(obits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slice_ = F.pmod(F.xxhash64("id"), F.lit(max(1, parts // 8)))
     (
-        obits.repartition(parts, "state", slice_)
-        .sortWithinPartitions("state", F.col("published_date").desc())
-        .write.mode(mode).partitionBy("state").parquet(path)
+        obits.withColumn("state_part", F.when(F.col("state") != "", F.upper("state")).otherwise("none"))
+        .repartition(parts, "state_part", slice_)
+        .sortWithinPartitions("state_part", F.col("published_date").desc())
+        .write.mode(mode).partitionBy("state_part").parquet(path)
     )
 
 

@@ -100,8 +100,8 @@ def test_stored_form(spark):
 def test_run_log_lists_every_source(spark):
     rows = [candidate("a", 0, 0, "u1"), candidate("b", 1, 0, "u1"), candidate("b", 1, 1, "u2"),
             candidate("c", 2, 0, "u3")]
-    markets = spark.createDataFrame([("a",), ("b",), ("c",), ("quiet",), ("broken",)], "site_id string")
-    errors = spark.createDataFrame([("broken", "TypeError: x"), ("c", "ValueError: y")], "site_id string, error string")
+    markets = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "quiet"), (4, "broken")], "market_seq int, site_id string")
+    errors = spark.createDataFrame([(4, "TypeError: x"), (2, "ValueError: y")], "market_no int, error string")
     log = run_log(markets, spark.createDataFrame(rows, SCHEMA), stored_table(spark, []), errors, AS_OF)
     assert log.schema.names == RUN_LOG.names
     got = {r.site_id: (r.obits_found, r.obits_new, r.errors) for r in log.collect()}
@@ -115,5 +115,22 @@ def test_run_log_lists_every_source(spark):
 
 def test_market_county(spark):
     df = spark.createDataFrame([candidate("a", 0, 0, "u")], SCHEMA).drop("county")
-    markets = spark.createDataFrame([("a", None), ("b", "B")], "site_id string, county string")
+    markets = spark.createDataFrame([(0, "a", None), (1, "b", "B"), (2, "a", "Again")], "market_seq int, site_id string, county string")
     assert [(r.site_id, r.county) for r in with_market(df, markets).collect()] == [("a", "")]
+
+
+def test_repeated_site(spark):
+    """Each place of a repeated source has its own counts, and a link is stored once."""
+    rows = [candidate("a", 0, 0, "u1"), candidate("a", 2, 0, "u1"), candidate("a", 2, 1, "u2"), candidate("b", 1, 0, "u1")]
+    markets = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a")], "market_seq int, site_id string")
+    errors = spark.createDataFrame([], "market_no int, error string")
+    df = spark.createDataFrame(rows, SCHEMA)
+    log = run_log(markets, df, stored_table(spark, []), errors, AS_OF).collect()
+    assert sorted((r.site_id, r.obits_found, r.obits_new) for r in log) == [("a", 1, 1), ("a", 1, 1), ("b", 0, 0)]
+    assert [r.legacy_url for r in insert_ignore(df, stored_table(spark, []), AS_OF).orderBy("id").collect()] == ["u1", "u2"]
+
+
+def test_equal_places_have_a_fixed_winner(spark):
+    rows = [candidate("a", 0, 0, "u1", deceased_name=f"n{i}") for i in range(20)]
+    pick = lambda r: insert_ignore(spark.createDataFrame(r, SCHEMA).repartition(5), stored_table(spark, []), AS_OF).first().deceased_name
+    assert pick(rows) == pick(rows[::-1])

@@ -9,39 +9,18 @@ from noticeflow.operators.detail import enrich, extract_details
 from noticeflow.operators.listing import extract_records
 from noticeflow.schemas import RECORD_FIELDS
 
-BASE = "https://site.example"
-PAD = " " * 100
-
-ITEMS = [
-    {"personId": 1, "name": {"firstName": "Abe", "middleName": "Allan", "lastName": "Gray", "suffix": "",
-                             "fullName": 'Abe Allan "Ace" Gray', "nickName": "Ace"},
-     "funeralHome": {"id": 1, "name": "Oak Home"}, "obitSnippet": "Abe passed away on March 1, 2026.",
-     "links": {"obituaryUrl": {"href": BASE + "/us/obituaries/name/abe?id=1", "path": "/x"}},
-     "datePostedFrom": "2026-03-04T00:00:00", "publisherName": "Paper",
-     "location": {"city": {"fullName": "Marlow"}, "state": {"code": "TX"}}},
-    {"personId": 2, "name": {"firstName": "Nora", "middleName": None, "lastName": "Quist", "suffix": "Sr."},
-     "funeralHome": None, "obitSnippet": None, "links": {"obituaryUrl": {"href": "/rel"}},
-     "datePostedFrom": None, "publisherName": "Paper", "location": None},
-]
-STATE = {"BrowseStore": {"data": {"obituaries": {"obituaries": {"edges": [
-    {"node": {"name": {"firstName": "Karl", "lastName": "Voss Jr."}, "obituaryNoHtml": "died May 1, 2020",
-              "publishedDate": "Mar. 1, 2026", "deathDate": "2026-02-28", "funeralHomeName": "Elm",
-              "links": {"obituaryUrl": {"path": "/p"}}}},
-    {"node": {"name": {"firstName": None, "lastName": "Solo"}, "links": None}}]}}}}}
-LINKS = """<div class="obituary-list">
- <a href="/us/obituaries/name/jane?id=1"><h3> Jane <b>Ann</b> Doe </h3><p>1940</p></a>
- <a href="/us/obituaries/name/bob?id=2">Bob <i>Ross</i> III</a>
- <a href="/us/obituaries/name/jane?id=1">again</a>
- <a href="https://site.example/us/obituaries/name/jane?id=1">absolute twin</a>
- <a class="obit-card" href="/other">not this rule</a></div>"""
-
-
-def script(payload, kind="application/json"):
-    return f'<html><script type="{kind}"><!--{payload}--></script></html>'
-
-
-def listing(items, key="obituaryList", **extra):
-    return script(json.dumps({"adMap": {"pad": PAD}, **extra, key: {"obituaries": items}}))
+from .samples import BASE, PAD, detail_sample, link_people, listing, listing_people, script, state_page, state_people
+
+PEOPLE = listing_people(40, 1)
+ITEMS = [item for item, _ in PEOPLE]
+EDGES = state_people(13, 2)
+ANCHORS = link_people(9, 3)
+STATE = state_page([edge for edge, _ in EDGES])
+LINKS = ('<div class="obituary-list">' + "".join(a for a, _ in ANCHORS) + ANCHORS[0][0] + ANCHORS[0][0].replace('href="', f'href="{BASE}')
+         + '<a class="obit-card" href="/other">not this rule</a></div>')
+DETAIL, FIELDS = detail_sample(4)
+FROM_JSON, FROM_OTHER = PEOPLE[0][1]["deceased_name"], PEOPLE[1][1]["deceased_name"]
+FROM_STATE, FROM_LINK = EDGES[0][1]["deceased_name"], ANCHORS[0][1][1]
 
 
 def records(spark, *pages):
@@ -50,38 +29,23 @@ def records(spark, *pages):
 
 
 def test_json_layout(spark):
-    abe, nora = records(spark, listing(ITEMS))
-    assert abe.asDict() | {"page_id": 0} == {
-        "page_id": 0, "pos": 0, "url": BASE + "/us/obituaries/name/abe?id=1",
-        "deceased_name": 'Abe Allan "Ace" Gray', "first_name": "Abe", "middle_name": "Allan",
-        "last_name": "Gray", "name_suffix": "", "obit_text": "Abe passed away on March 1, 2026.",
-        "published_date": dt.date(2026, 3, 4), "death_date": dt.date(2026, 3, 1), "birth_date": None,
-        "funeral_home": "Oak Home", "city": "Marlow", "state": "TX", "error": None}
-    assert (nora.url, nora.deceased_name, nora.middle_name, nora.name_suffix) == (
-        BASE + "/rel", "Nora Quist", "", "Sr.")
-    assert (nora.obit_text, nora.published_date, nora.funeral_home, nora.city, nora.state) == (
-        "", None, "Paper", "", "")
+    got = records(spark, listing(ITEMS))
+    assert [r.asDict() for r in got] == [
+        {"page_id": 0, "pos": i, **want, "error": None} for i, (_, want) in enumerate(PEOPLE)]
 
 
 def test_state_layout(spark):
-    page = f"<script>window.__INITIAL_STATE__ = {json.dumps(STATE, indent=1)}\n;</script>"
-    a, b = records(spark, page)
-    assert (a.url, a.deceased_name, a.first_name, a.last_name, a.name_suffix) == (
-        BASE + "/p", "Karl Voss Jr.", "Karl", "Voss", "Jr.")
-    assert (a.published_date, a.death_date, a.birth_date, a.funeral_home, a.city) == (
-        dt.date(2026, 3, 1), dt.date(2026, 2, 28), None, "Elm", "")
-    assert (b.url, b.deceased_name, b.first_name, b.last_name, b.obit_text) == ("", "Solo", "Solo", "", "")
+    got = records(spark, state_page([edge for edge, _ in EDGES], indent=1))
+    assert [{k: r[k] for k in EDGES[0][1]} for r in got] == [want for _, want in EDGES]
     other = 'x<script>window.__INITIAL_STATE__={"obituaries":{"edges":[{"node":{"name":{"firstName":"A"}}}]}};'
     assert [r.deceased_name for r in records(spark, other)] == ["A"]
 
 
 def test_link_layout(spark):
-    got = [(r.url, r.deceased_name, r.first_name, r.last_name, r.name_suffix) for r in records(spark, LINKS)]
-    jane = BASE + "/us/obituaries/name/jane?id=1"
-    assert got == [
-        (jane, "JaneAnnDoe", "JaneAnnDoe", "", ""),
-        (BASE + "/us/obituaries/name/bob?id=2", "BobRossIII", "BobRossIII", "", ""),
-        (jane, "absolute twin", "absolute", "twin", "")]
+    got = [(r.url, r.deceased_name, r.first_name, r.last_name) for r in records(spark, LINKS)]
+    want = [(url, name, name, "") for _, (url, name) in ANCHORS]
+    # A repeated address counts once; its absolute form is another address.
+    assert got == want + [want[0]]
 
 
 @pytest.mark.parametrize("page, names", [
@@ -102,24 +66,23 @@ def test_link_rules(spark, page, names):
 
 
 def test_layout_order_and_payload_choice(spark):
-    good = listing(ITEMS[:1])
-    state = f"<script>window.__INITIAL_STATE__ = {json.dumps(STATE)};</script>"
+    good, other = listing(ITEMS[:1]), listing(ITEMS[1:])
     empty = listing([])
-    first = lambda page: (records(spark, page)[0].deceased_name or "")[:4]
-    assert first(LINKS + state + good) == "Abe "
-    assert first(LINKS + state) == "Karl"
-    assert first(empty + state + LINKS) == "Karl"
-    assert first(empty + LINKS) == "Jane"
-    assert first(script("{not json" + PAD) + good) == "Abe "
-    assert first(script('{"a":1}') + listing(ITEMS[1:]) + good) == "Nora"
-    assert first(f"<!-- {listing(ITEMS[1:]).replace('-->', '')} -->" + good) == "Abe "
-    assert first(listing(ITEMS[1:]).replace("application/json", "application/ld+json") + good) == "Abe "
+    first = lambda page: records(spark, page)[0].deceased_name
+    assert first(LINKS + STATE + good) == FROM_JSON
+    assert first(LINKS + STATE) == FROM_STATE
+    assert first(empty + STATE + LINKS) == FROM_STATE
+    assert first(empty + LINKS) == FROM_LINK
+    assert first(script("{not json" + PAD) + good) == FROM_JSON
+    assert first(script('{"a":1}') + other + good) == FROM_OTHER
+    assert first(f"<!-- {other.replace('-->', '')} -->" + good) == FROM_JSON
+    assert first(other.replace("application/json", "application/ld+json") + good) == FROM_JSON
     unquoted = good.replace('type="application/json"', "id=x type=application/json")
-    assert first(unquoted.replace("<script", "<SCRIPT")) == "Abe "
+    assert first(unquoted.replace("<script", "<SCRIPT")) == FROM_JSON
     # Short payloads are skipped, single quotes are no JSON.
-    assert first(script('{"obituaryList":{"obituaries":[{"name":{"fullName":"S"}}]}}') + LINKS) == "Jane"
-    assert first(script(json.dumps({"obituaryList": {"obituaries": ITEMS}}) + " more") + LINKS) == "Jane"
-    assert first(script(str({"obituaryList": {"obituaries": [{"name": {"fullName": "S"}}]}, "p": PAD})) + LINKS) == "Jane"
+    assert first(script('{"obituaryList":{"obituaries":[{"name":{"fullName":"S"}}]}}') + LINKS) == FROM_LINK
+    assert first(script(json.dumps({"obituaryList": {"obituaries": ITEMS}}) + " more") + LINKS) == FROM_LINK
+    assert first(script(str({"obituaryList": {"obituaries": [{"name": {"fullName": "S"}}]}, "p": PAD})) + LINKS) == FROM_LINK
 
 
 def test_unescape_before_decoding(spark):
@@ -132,7 +95,7 @@ def test_unescape_before_decoding(spark):
 
 def test_truncated_state_falls_through(spark):
     state = '<script>window.__INITIAL_STATE__ = {"obituaries":{"edges":[{"node":{"obituaryNoHtml":"a};b"}}]}};</script>'
-    assert records(spark, state + LINKS)[0].deceased_name == "JaneAnnDoe"
+    assert records(spark, state + LINKS)[0].deceased_name == FROM_LINK
 
 
 @pytest.mark.parametrize("payload, names, failed", [
@@ -155,24 +118,16 @@ def test_other_paths_and_malformed_payloads(spark, payload, names, failed):
     assert [r.error is not None for r in rows if r.pos is None] == ([failed] if not names else [])
 
 
-DETAIL = """<html><body><h1 class="top">Other</h1><h1 data-testid="obit-name">Otto M <b>Dunne</b> Jr.</h1>
-<div data-testid="obit-dates">April 7, 1941 - March 1, 2026</div>
-<div class="fh-name">Last</div><a href="/funeral-home/1">Green <i>View</i></a>
-<article>whole</article><div class="big obituary-body"><p>He <b>passed</b> away.</p><!-- c -->
-<div>Nested&nbsp;&amp; kept</div><script>no()</script><style>no</style><p>End</div>after</body></html>"""
-
-
 def details(spark, *pages):
     df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
     return extract_details(df).orderBy("i").collect()
 
 
 def test_detail_fields(spark):
-    row = details(spark, DETAIL)[0]
-    assert row.asDict() == {
-        "i": 0, "name": "Otto MDunneJr.", "text": "He passed away. Nested\xa0& kept End",
-        "funeral_home": "GreenView", "published": None, "death": dt.date(2026, 3, 1)}
-    bare = details(spark, "<div>No information.</div>")[0]
+    samples = [detail_sample(n) for n in range(20)]
+    got = details(spark, *[page for page, _ in samples])
+    assert [r.asDict() for r in got] == [{"i": i, **want} for i, (_, want) in enumerate(samples)]
+    bare = details(spark, "<p>empty page</p>")[0]
     assert (bare.name, bare.text, bare.funeral_home, bare.published, bare.death) == ("", "", None, None, None)
 
 
@@ -201,14 +156,14 @@ def test_enrich(spark):
     schema = ", ".join(f"{f} {'date' if f.endswith('_date') else 'string'}" for f in RECORD_FIELDS)
     df = spark.createDataFrame([tuple(r[f] for f in RECORD_FIELDS) for r in rows], schema)
     pages = spark.createDataFrame(
-        [("u1", DETAIL), ("u3", DETAIL), ("u4", "<p>nothing</p>"), ("u1", "<h1>short copy</h1>"), ("u9", DETAIL)],
-        "url string, html string")
+        [("u1", DETAIL, day), ("u3", DETAIL, day), ("u4", "<p>nothing</p>", day), ("u1", "<h1>older</h1>" + PAD * 99, born),
+         ("u1", "<h1>undated</h1>", None), ("u9", DETAIL, day)], "url string, html string, fetched_at date")
     got = {r.url: r for r in enrich(df, pages).collect()}
     assert len(got) == 4
     u1 = got["u1"]
-    assert (u1.deceased_name, u1.first_name, u1.last_name, u1.obit_text[:9], u1.funeral_home) == (
-        "Otto MDunneJr.", "Otto", "MDunneJr.", "He passed", "GreenView")
-    assert (u1.death_date, u1.published_date, u1.birth_date, u1.city) == (dt.date(2026, 3, 1), day, born, "C")
+    assert (u1.deceased_name, u1.first_name, u1.last_name, u1.obit_text, u1.funeral_home) == (
+        FIELDS["name"], FIELDS["name"], "", FIELDS["text"], FIELDS["funeral_home"])
+    assert (u1.death_date, u1.published_date, u1.birth_date, u1.city) == (FIELDS["death"], day, born, "C")
     assert (got["u2"].deceased_name, got["u2"].first_name) == ("List Name", "")
     assert (got["u3"].deceased_name, got["u3"].obit_text) == ("List Name", "has text")
     # A page without fields still leads to the name being split.

@@ -70,18 +70,25 @@ def test_report_does_not_read_the_text(spark, obits, tmp_path):
     write_obits(obits, str(tmp_path / "t"))
     again = scan_obits(spark, str(tmp_path / "t"))
     assert sorted(ids(again)) == [1, 2, 3, 4, 5]
+    assert again.columns == OBITS.names
     plan = latest_report(again, state="OH")._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema"):].splitlines()[0]
-    assert "obit_text" not in read and "PartitionFilters: [isnotnull(state" in plan
+    assert "obit_text" not in read
+    odd = table(spark, dict(id=1, state=""), dict(id=2, state=None), dict(id=3, state="oh"))
+    write_obits(odd, str(tmp_path / "odd"))
+    assert {r.id: r.state for r in scan_obits(spark, str(tmp_path / "odd")).collect()} == {1: "", 2: None, 3: "oh"}
 
 
-def test_display_and_page(obits):
+def test_display_and_page(spark, obits):
     rows = {r.id: r for r in display_rows(latest_report(obits)).collect()}
     assert (rows[2].name, rows[2].death_date, rows[2].legacy_url) == ("Bo Lee", "", "")
     assert rows[3].name == "Cy" and rows[1].death_date == "2026-03-01"
     assert ids(report_page(obits)) == [5, 1, 3, 2]
     assert ids(report_page(obits, page=1, size=3)) == [2]
     assert ids(report_page(obits, search="CLARK day")) == [1, 2]
+    assert sorted(ids(report_page(obits, limit=2))) == [2, 3]
+    many = table(spark, *[dict(id=i, city=f"C{i}") for i in range(2100)])
+    assert len(ids(report_page(many, page=41, size=50))) == 0 and len(ids(report_page(many, page=41, size=50, limit=None))) == 50
     assert ids(report_page(obits, search="2026-03-03", state="or")) == [5]
 
 
@@ -91,6 +98,8 @@ def test_facets(spark, obits):
     assert set(facets(obits)) == {"state", "county", "city", "funeral_home"}
     many = table(spark, *[dict(id=i, city=f"C{i:04}", state=f"{i % 700:03}") for i in range(900)])
     assert [r.city for r in facet(many, "city").collect()] == [f"C{i:04}" for i in range(500)]
+    assert facet(many, "city", limit=None).count() == 900 and facet(many, "state", limit=3).count() == 3
+    assert facets(many, None)["city"].count() == 900
     assert facet(many, "state").count() == 700
 
 

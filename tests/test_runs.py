@@ -4,12 +4,14 @@ import datetime as dt
 
 import pytest
 
-from noticeflow.plans.daily import run_day
+from noticeflow.plans.daily import ingest, marked_count, run_day, run_epoch
 from noticeflow.plans.store import Store
 from noticeflow.schemas import DETAIL_PAGES, LISTING_PAGES, MARKET_ROW
 from noticeflow.streaming.page_stream import ingest_stream, page_stream
 
-from .test_pages import BASE, DETAIL, listing
+from .samples import BASE, detail_sample, listing
+
+DETAIL, FIELDS = detail_sample(1)
 
 DAY1, DAY2 = dt.datetime(2026, 3, 4, 11), dt.datetime(2026, 3, 5, 11)
 
@@ -60,7 +62,7 @@ def test_two_days(spark, markets, details, tmp_path):
     got = by_url(store)
     assert [(u, got[u].id, got[u].site_id, got[u].county) for u in ("/1", "/thin", "/2")] == [
         ("/1", 1, "a", "Alpha"), ("/thin", 2, "a", "Alpha"), ("/2", 3, "b", "")]
-    assert got["/thin"].deceased_name == "Otto MDunneJr." and got["/thin"].city == "Dayton"
+    assert got["/thin"].deceased_name == FIELDS["name"] and got["/thin"].city == "Dayton"
     assert (got["/1"].death_date, got["/1"].duplicate_of, got["/2"].duplicate_of) == (dt.date(2020, 5, 1), None, 1)
 
     # Running the batch again changes nothing.
@@ -77,6 +79,11 @@ def test_two_days(spark, markets, details, tmp_path):
     # The longer of the two dated rows is kept as primary; earlier marks stay.
     assert {u: r.duplicate_of for u, r in got.items() if r.duplicate_of} == {"/2": 1, "/3": 1}
     assert store.log().count() == 10
+    assert marked_count(store, 1).first().marked == 1
+    # An older batch is refused, and nothing has changed.
+    with pytest.raises(ValueError):
+        run_day(store, pages(spark, DAY1, **FIRST), details, markets, DAY1, 0, BASE)
+    assert {u: (r.id, r.duplicate_of) for u, r in by_url(store).items()} == {u: (r.id, r.duplicate_of) for u, r in got.items()}
 
 
 def test_stream_equals_batches(spark, markets, details, tmp_path):
@@ -105,3 +112,59 @@ def test_pages_of_two_days_in_one_run(spark, markets, details, tmp_path):
         pages(spark, DAY1, b=listing([item("Early Name", "/1")])))
     run_day(store, both, details, markets, DAY2, 0, BASE)
     assert [(r.site_id, r.deceased_name) for r in store.obits().collect()] == [("b", "Early Name")]
+
+
+def sound(store):
+    """Each link and id once, one row per record however often marks were written."""
+    rows = store.obits().collect()
+    assert len({r.legacy_url for r in rows}) == len({r.id for r in rows}) == len(rows)
+    return {r.legacy_url.removeprefix(BASE) for r in rows}
+
+
+def test_stream_on_a_store_with_batches_and_a_new_checkpoint(spark, markets, details, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    run_day(store, pages(spark, DAY1, a=listing([item("Ann Lee", "/1")])), details, markets, DAY1, 0, BASE)
+    run_day(store, pages(spark, DAY2, c=listing([item("Cy Fox", "/c")])), details, markets, DAY2, 1, BASE)
+    kept = by_url(store)
+
+    def stream(folder, progress):
+        ingest_stream(page_stream(spark, folder, 1), store, lambda: details, markets, DAY2, BASE,
+                      str(tmp_path / progress)).awaitTermination()
+
+    folder = str(tmp_path / "arriving")
+    pages(spark, DAY2, b=listing([item("Cy Fox", "/c"), item("New Person", "/2")])).coalesce(1).write.parquet(folder)
+    stream(folder, "first")
+    assert sound(store) == {"/1", "/c", "/2"}
+    assert {u: r.id for u, r in by_url(store).items() if u in kept} == {u: r.id for u, r in kept.items()}
+    # A new checkpoint starts at its own epoch 0 and reads the same page again.
+    stream(folder, "second")
+    assert sound(store) == {"/1", "/c", "/2"}
+    run_day(store, pages(spark, DAY2, a=listing([item("More Folk", "/9")])), details, markets, DAY2, store.newest() + 1, BASE)
+    assert sound(store) == {"/1", "/c", "/2", "/9"}
+    with pytest.raises(ValueError):
+        run_day(store, pages(spark, DAY2), details, markets, DAY2, 2, BASE)
+
+
+def test_an_unfinished_batch_is_not_seen_and_its_epoch_starts_anew(spark, markets, details, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    page = pages(spark, DAY1, a=listing([item("Ann Lee", "/1")]))
+    batch, done = store.claim("feed", 0)
+    assert (batch, done) == (0, False)
+    ingest(store, page, details, markets, DAY1, batch, BASE)  # and no more: the driver is lost
+    assert store.obits().count() == store.log().count() == 0
+    run_day(store, pages(spark, DAY1, b=listing([item("Ann Lee", "/1"), item("Bo Kay", "/2")])), details, markets, DAY1, 1, BASE)
+    assert run_epoch(store, page, details, markets, DAY1, "feed", 0, BASE) == 2
+    assert sound(store) == {"/1", "/2"}
+    assert run_epoch(store, page, details, markets, DAY1, "feed", 0, BASE) == 2
+    assert sound(store) == {"/1", "/2"}
+    assert run_epoch(store, page, details, markets, DAY1, "other", 0, BASE) == 3
+    assert sound(store) == {"/1", "/2"}
+
+
+def test_repeated_site(spark, details, tmp_path):
+    markets = spark.createDataFrame(
+        [(0, "a", "ohio", "a-county", "county", "Alpha"), (1, "a", "utah", "a", "county", "Other")], MARKET_ROW)
+    store = Store(spark, str(tmp_path / "store"))
+    log = run_day(store, pages(spark, DAY1, a=listing([item("Ann Lee", "/1")])), details, markets, DAY1, 0, BASE)
+    assert sorted((r.obits_found, r.obits_new) for r in log.collect()) == [(0, 0), (1, 1)]
+    assert [(r.id, r.county) for r in store.obits().collect()] == [(1, "Alpha")]
