@@ -409,3 +409,40 @@ appended AS (SELECT row_number() OVER (ORDER BY id) AS id, 's-' || cast(id // {P
 {marked('appended', 'marked')}
 SELECT id, site_id, legacy_url, deceased_name, death_date, birth_date, city, duplicate_of FROM marked"""
 SQL |= {"daily_run": _DAY, "ingest_stream": _DAY}
+
+
+def appended(parts: int, order: str) -> str:
+    """Records of runs over shares of the pages; ``order`` tells in which run a page came."""
+    return with_relations(
+        f"""SELECT row_number() OVER (ORDER BY {order.format(page=f'(id // {PAGE_SPAN})', parts=parts)}, id) AS id,
+  's-' || cast(id // {PAGE_SPAN} AS varchar) AS site_id, legacy_url, {_FULL} AS deceased_name FROM obits""", "obits")
+
+
+_GAPS_FILLED = f"""SELECT o.id, coalesce(o.birth_date, {BIRTH_DATE}) AS birth_date,
+  coalesce(o.death_date, {DEATH_DATE}) AS death_date, s.state, c.county
+FROM obits o JOIN state_filled s ON o.id = s.id JOIN county_filled c ON o.id = c.id"""
+
+
+def _inner(name: str) -> str:
+    """The last SELECT of a registered text, to stand behind the same relations."""
+    text = SQL[name]
+    return text[text.rindex("SELECT id, site_id"):]
+
+
+SQL |= {
+    "markets_roundtrip": SQL["markets_build"],
+    "facet_all": with_relations(
+        "SELECT DISTINCT 'County ' || cast(id % 2000 AS varchar) AS county FROM obits", "obits"),
+    "stream_after_daily": appended(3, "{page} % {parts}"),
+    "repeat_batch": appended(2, "{page} % {parts}"),
+    "marked_count": f"SELECT count(*) AS marked FROM ({_DAY}) WHERE duplicate_of IS NOT NULL",
+    "backfill_store": with_relations("", "obits", "gaps").rstrip()
+    + f", state_filled AS ({_inner('backfill_state')}), county_filled AS ({_inner('backfill_county')}) {_GAPS_FILLED}",
+    "city_backfill_run": with_relations(
+        f"""SELECT id, CASE WHEN lacks AND id // {PAGE_SPAN} % 4 <> 0 AND coalesce(city, '') <> '' THEN city
+  WHEN id % 2 = 0 THEN '' WHEN id % 5 = 0 THEN NULL ELSE city END AS city
+FROM (SELECT id, city, id % 2 = 0 OR id % 5 = 0 OR coalesce(city, '') = '' AS lacks FROM obits)""", "obits"),
+}
+SQL["report_page_beyond"] = with_relations(
+    f"""SELECT * EXCLUDE (sort_at) FROM (SELECT {_SHOWN}, {_AT} AS sort_at FROM obits WHERE duplicate_of IS NULL)
+ORDER BY death_date DESC, sort_at DESC NULLS LAST, id ASC LIMIT 50 OFFSET 2250""", "obits")

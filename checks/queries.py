@@ -16,7 +16,8 @@ from noticeflow.functions.urls import absolutise, with_listing_url
 from noticeflow.operators import backfill, dedup, detail, ingest, listing, report
 from noticeflow.operators.keyed import keep_first
 from noticeflow.plans import market_build
-from noticeflow.plans.daily import run_day
+from noticeflow.plans.backfill_run import run_backfill, run_city_backfill
+from noticeflow.plans.daily import marked_count as count_marked, run_day
 from noticeflow.plans.store import Store
 from noticeflow.schemas import LISTING_PAGES, MARKET, OBITS, RECORD_FIELDS
 from noticeflow.session import stage, staging_root
@@ -146,6 +147,19 @@ for _column in report.FACET_ROWS:
     REGISTRY[f"facet_{_column}"] = _facet(_column)
 
 
+@query
+def facet_all(spark, d):
+    """A facet without a limit, over a column with many values."""
+    named = _obits(spark, d).withColumn("county", F.concat(F.lit("County "), F.col("id") % 2000))
+    return report.facet(named, "county", limit=None)
+
+
+@query
+def report_page_beyond(spark, d):
+    """A page behind the usual end of the listing."""
+    return report.report_page(_obits(spark, d), page=45, limit=None)
+
+
 # --- scalar functions -----------------------------------------------------------------------
 
 @query
@@ -246,6 +260,14 @@ def markets_build(spark, d):
     return market_build.build_markets(load(spark, d, "census")[0])
 
 
+@query
+def markets_roundtrip(spark, d):
+    """Built, written with escapes and read back; names are not ASCII."""
+    census = load(spark, d, "census")[0]
+    path = f"{staging_root(spark)}/markets-{uuid.uuid4().hex}"
+    return market_build.refresh_markets(census, path, ascii_only=True)
+
+
 @query
 def markets_by_state(spark, d):
     return market_build.markets_by_state(_markets(spark, d))
@@ -493,6 +515,84 @@ def daily_run(spark, d):
                                 "birth_date", "city", "duplicate_of")
 
 
+def _appended(store: Store) -> DataFrame:
+    return store.obits().select("id", "site_id", "legacy_url", "deceased_name")
+
+
+def _share(pages: DataFrame, parts: int, part: int) -> DataFrame:
+    return pages.where(F.regexp_extract("site_id", "[0-9]+", 0).cast("bigint") % parts == part)
+
+
+def _stream(spark, store: Store, pages: DataFrame, details: DataFrame, markets: DataFrame, progress: str) -> None:
+    folder = f"{store.root}-pages-{uuid.uuid4().hex}"
+    pages.select(*LISTING_PAGES.names).write.parquet(folder)
+    ingest_stream(page_stream(spark, folder), store, lambda: details, markets, AS_OF, BASE_URL,
+                  store.root + progress).awaitTermination()
+
+
+@query
+def stream_after_daily(spark, d):
+    """Two daily batches, then a stream of all pages, then the same under a new checkpoint."""
+    pages, details, markets = (stage(x, "run-input") for x in _run_inputs(spark, d))
+    store = _fresh_store(spark, "mixed")
+    for batch in (0, 1):
+        run_day(store, _share(pages, 3, batch), details, markets, AS_OF, batch, BASE_URL)
+    _stream(spark, store, pages, details, markets, "-first")
+    _stream(spark, store, pages, details, markets, "-second")
+    return _appended(store)
+
+
+@query
+def repeat_batch(spark, d):
+    """The newest batch is run again; an older one is refused."""
+    pages, details, markets = (stage(x, "run-input") for x in _run_inputs(spark, d))
+    store = _fresh_store(spark, "repeat")
+    run_day(store, _share(pages, 2, 0), details, markets, AS_OF, 0, BASE_URL)
+    for _ in range(2):
+        run_day(store, pages, details, markets, AS_OF, 1, BASE_URL)
+    try:
+        run_day(store, pages, details, markets, AS_OF, 0, BASE_URL)
+    except ValueError:
+        return _appended(store)
+    raise AssertionError("an older batch was run")
+
+
+@query
+def marked_count(spark, d):
+    pages, details, markets = _run_inputs(spark, d)
+    store = _fresh_store(spark, "marked")
+    run_day(store, pages, details, markets, AS_OF, 0, BASE_URL)
+    return count_marked(store, 0)
+
+
+@query
+def backfill_store(spark, d):
+    """Records without some values are stored, filled and read back."""
+    gaps = load(spark, d, "gaps")[0].select("id", F.col("site_id").alias("_site"), F.col("state").alias("_state"),
+                                            F.col("county").alias("_county"))
+    obits = _obits(spark, d).join(gaps, "id").withColumns(
+        {"site_id": F.col("_site"), "state": F.col("_state"), "county": F.col("_county")}).select(*OBITS.names)
+    store = _fresh_store(spark, "fill")
+    store.append_records(obits, 0)
+    run_backfill(store, 0)
+    return store.obits().select("id", "birth_date", "death_date", "state", "county")
+
+
+@query
+def city_backfill_run(spark, d):
+    """Stored records without cities, and listing pages that name them."""
+    pages, _, markets = _run_inputs(spark, d)
+    obits = _obits(spark, d)
+    store = _fresh_store(spark, "city")
+    store.append_records(obits.withColumn("city", F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 5 == 0, None)
+                                          .otherwise(F.col("city"))), 0)
+    excluded = F.when(F.col("market_seq") % 4 == 0, F.concat(F.lit("il-"), "site_id")).otherwise(F.col("site_id"))
+    run_city_backfill(store, 0, pages.withColumn("site_id", F.when(
+        F.regexp_extract("site_id", "[0-9]+", 0).cast("int") % 4 == 0, F.concat(F.lit("il-"), "site_id"))
+        .otherwise(F.col("site_id"))), markets.withColumn("site_id", excluded), BASE_URL)
+    return store.obits().select("id", "city")
+
+
 @query
 def ingest_stream_(spark, d):
     pages, details, markets = _run_inputs(spark, d)

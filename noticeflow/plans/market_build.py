@@ -9,6 +9,7 @@ from ..functions.places import (
 )
 from ..operators.keyed import keep_first, number_rows
 from ..schemas import MARKET, MARKET_ROW
+from ..sources.markets import read_markets, write_markets
 
 
 def select_counties(census: DataFrame) -> DataFrame:
@@ -64,3 +65,12 @@ def merge_markets(existing: DataFrame, added: DataFrame) -> DataFrame:
         .unionByName(fresh.select(F.lit(1).alias("_part"), F.col("seq").alias("_at"), *fields))
     return number_rows(both, ["_part", "_at"], "market_seq", F.lit(0)).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MARKET_ROW])
+
+
+def refresh_markets(census: DataFrame, path: str, existing: DataFrame | None = None, ascii_only: bool = False) -> DataFrame:
+    """Build the market list, append it to ``existing`` if given, write it and read it back."""
+    built = build_markets(census)
+    if existing is not None:
+        built = merge_markets(existing, built.withColumnRenamed("market_seq", "seq"))
+    write_markets(built, path, ascii_only=ascii_only)
+    return read_markets(census.sparkSession, path)

@@ -4,6 +4,9 @@
 duplicate marks. A batch is written whole under its own number; nothing already stored is
 rewritten by another batch.
 
+``fills`` has what backfills found for columns of stored records, one partition per backfill;
+reading puts it where the record lacks a value.
+
 ``batches`` is the ledger: a row when a number is taken for (source, epoch) and one when the
 batch is complete. Numbers are never shared between sources, so a stream and daily runs can
 feed one store. A batch that was taken but not completed is not visible, and its epoch takes a
@@ -16,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..schemas import OBITS, RUN_LOG
@@ -24,6 +27,9 @@ from ..sources.tables import with_text_length
 
 _BATCH = T.StructField("ingest_batch", T.LongType())
 _MARKS = T.StructType([OBITS["id"], OBITS["duplicate_of"]])
+#: Columns a backfill may fill. In the city a blank counts as missing, elsewhere it is a value.
+FILLED = ["birth_date", "death_date", "city", "state", "county"]
+_FILLS = T.StructType([OBITS["id"], *[OBITS[c] for c in FILLED]])
 _STORED = T.StructType([*OBITS.fields, T.StructField("obit_text_len", T.IntegerType())])
 _LEDGER = T.StructType([T.StructField("source", T.StringType()), T.StructField("epoch", T.LongType()),
                         T.StructField("batch", T.LongType()), T.StructField("done", T.BooleanType())])
@@ -31,6 +37,11 @@ _LEDGER = T.StructType([T.StructField("source", T.StringType()), T.StructField("
 NUMBERED = "numbered"
 
 
+def missing(column: str) -> Column:
+    value = F.col(column)
+    return value.isNull() | (value == "") if column == "city" else value.isNull()
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -44,6 +55,10 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _has(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def _table(self, name: str, schema: T.StructType, own: int | None = None) -> DataFrame:
         """The complete batches, and ``own`` whatever its state."""
         table = self._read(name, T.StructType([*schema.fields, _BATCH]))
@@ -111,11 +126,19 @@ class Store:
         """The marks that one batch set."""
         return self._table("marks", _MARKS).where(F.col("ingest_batch") == batch).drop("ingest_batch")
 
+    def fills(self) -> DataFrame:
+        """One row per filled record. A column is filled once, where it was missing."""
+        return self._table("fills", _FILLS).groupBy("id").agg(*[F.max(c).alias(f"_{c}") for c in FILLED])
+
     def obits(self, marks_before: int | None = None, own: int | None = None) -> DataFrame:
-        """Records with their marks. Marks are narrow and have one row per id."""
+        """Records with their marks and fills, which are narrow and have one row per id."""
         marks = self.marks(marks_before).select("id", F.col("duplicate_of").alias("_mark"))
         joined = self.records(own=own).join(marks, "id", "left")
         joined = joined.withColumn("duplicate_of", F.coalesce("duplicate_of", "_mark")).drop("_mark")
+        if self._has("fills"):
+            joined = joined.join(self.fills(), "id", "left").withColumns({
+                c: F.when(missing(c), F.coalesce(f"_{c}", c)).otherwise(F.col(c)) for c in FILLED}).drop(
+                    *[f"_{c}" for c in FILLED])
         return joined.drop("ingest_batch") if own is None else joined
 
     def log(self, own: int | None = None) -> DataFrame:
@@ -127,5 +150,8 @@ class Store:
     def append_marks(self, marks: DataFrame, batch: int) -> None:
         self._write(marks, "marks", batch)
 
+    def append_fills(self, fills: DataFrame, batch: int) -> None:
+        self._write(fills, "fills", batch)
+
     def append_log(self, log: DataFrame, batch: int) -> None:
         self._write(log, "run_log", batch)
