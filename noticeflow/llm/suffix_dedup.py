@@ -104,19 +104,26 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def find_segments(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The segments of each text, equal contents of a text as one row with all their starts: a
+    text that repeats a word over and over has few rows."""
     raw = [t.encode() for t in batch.column("text").to_pylist()]
     sizes = np.array([len(r) for r in raw])
     counts = np.zeros(len(raw), np.int64)
-    columns = [np.zeros(0, np.int64)] * 4
+    group = content = start = n = first = np.zeros(0, np.int64)
     long = np.flatnonzero(sizes >= LENGTH)
     if len(long):
         bounds = np.concatenate([[0], np.cumsum(sizes[long])])
-        text, *columns = segments(np.frombuffer(b"".join(raw[i] for i in long.tolist()), np.uint8), bounds)
-        counts[long] = np.bincount(text, minlength=len(long))
-    group, content, start, n = columns
+        text, group, content, start, n = segments(np.frombuffer(b"".join(raw[i] for i in long.tolist()), np.uint8), bounds)
+        order = np.lexsort((start, content, text))
+        text, group, content, start, n = (x[order] for x in (text, group, content, start, n))
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (content[1:] != content[:-1])
+        first = np.flatnonzero(new)
+        counts[long] = np.bincount(text[first], minlength=len(long))
+    starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(start)).astype(np.int32)), pa.array(start.astype(np.int32)))
     rows = pa.StructArray.from_arrays(
-        [pa.array(group), pa.array(content), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
-        ["group", "content", "start", "n"])
+        [pa.array(group[first]), pa.array(content[first]), pa.array(n[first].astype(np.int32)), starts],
+        ["group", "content", "n", "starts"])
     ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, rows)],
@@ -297,14 +304,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = base.schema["doc_id"].dataType.simpleString()
     found = stage(base.select("doc_id", "key", "text").mapInArrow(
         by_pieces(find_segments, "text", 2 << 20),
-        f"doc_id {kind}, key binary, n_bytes long, segments array<struct<group:long,content:long,start:int,n:int>>"), "segments")
-    rows = found.select("key", F.explode("segments").alias("s")).select("key", "s.*")
-    shared = stage(rows.groupBy("group").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("group"), "groups")
-    kept = stage(rows.join(shared, "group").groupBy("key", "group", "content", "start", "n").agg(
-        F.count(F.lit(1)).alias("times")), "shared-segments")
+        f"doc_id {kind}, key binary, n_bytes long, segments array<struct<group:long,content:long,n:int,starts:array<int>>>"), "segments")
+    rows = found.select("key", F.explode("segments").alias("s")).select("key", "s.*", F.size("s.starts").alias("_times"))
+    shared = stage(rows.groupBy("group").agg(F.sum("_times").alias("_all")).filter("_all > 1").select("group"), "groups")
+    kept = stage(rows.join(shared, "group").groupBy("key", "group", "content", "n", "starts").agg(
+        F.sum("_times").alias("times")), "shared-segments")
     drop_staged(shared)
     contents = stage(kept.groupBy("group", "content").agg(
-        F.sum("times").alias("times"), F.min(F.struct("key", "start", "n")).alias("at")), "contents")
+        F.sum("times").alias("times"), F.min(F.struct("key", F.col("starts")[0].alias("start"), "n")).alias("at")), "contents")
     several = stage(contents.groupBy("group").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1"), "variants")
 
     known = stage(bitmap(kept.select("key"), "_known", "key"), "keys")
@@ -329,7 +336,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         hits = hits.unionByName(starts.join(twice, ["h1", "h2"]).select(
             "group", "content", "first", (F.col("first") + 1).alias("last")))
     hits = stage(hits, "hits")
-    spans = kept.join(hits, ["group", "content"]).groupBy("key").agg(F.collect_set(F.struct(
+    spans = kept.join(hits, ["group", "content"]).select("key", "first", "last", F.explode("starts").alias("start")).groupBy("key").agg(F.collect_set(F.struct(
         (F.col("start") + F.col("first")).alias("start"),
         (F.col("start") + F.col("last") - 1 + LENGTH).alias("end"))).alias("spans"))
     result = stage(texts.join(spans, "key").mapInArrow(
