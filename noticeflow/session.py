@@ -52,14 +52,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to a fresh table under the shared folder and read it back.
 
     Used where a result feeds several later steps or its partition layout must not
     change: lineage ends here, a lost executor re-reads files, and later steps prune
-    columns as on any parquet table.
+    columns as on any parquet table. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/noticeflow-{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
