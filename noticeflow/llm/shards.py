@@ -101,7 +101,7 @@ def training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """A row for each sequence, dealt to partitions by shard and sorted by slot: shard, slot,
     byte_offset, doc_id, seq_no, n_tokens (without filling), record (the ids, little-endian)."""
     spark, stride = docs.sparkSession, 2 * sequence
-    texts = stage(encoded(docs, path, id_col, text_col, sequence), "sequences")
+    texts = stage(encoded(docs, path, id_col, text_col, sequence), "sequences", compression="zstd")
     count = (F.octet_length("ids") / stride).cast("long")
     parts = sorted(texts.groupBy("part").agg(F.max(F.col("first") + count).alias("n")).collect())
     bases, total = [], 0
