@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm import bpe, quality
-from noticeflow.llm.common import stage, table
+from noticeflow.llm.common import ship, stage, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.membership import bitmap, probe
@@ -69,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, work) in enumerate(STAGES):
         docs = work(spark, docs, sf_dir)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -70,9 +73,23 @@ def held_out(id_col: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, as ``--py-files`` would, once per application. The
+    operators' functions are imported there, whatever the folder the driver was started in."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(context, "_noticeflow_sent", False):
+        return
+    path = Path(tempfile.mkdtemp(prefix="noticeflow-")) / "noticeflow.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._noticeflow_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["BATCH_BYTES", "by_pieces", "drop_staged", "held_out", "pieces", "stage", "table",
+__all__ = ["BATCH_BYTES", "by_pieces", "drop_staged", "held_out", "pieces", "ship", "stage", "table",
            "texts_of", "words"]

@@ -5,6 +5,7 @@ Oracle SQL is given where SQL can express a query; the others are tested in ``te
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm import bpe, language, quality
-from noticeflow.llm.common import held_out, table
+from noticeflow.llm.common import held_out, ship, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.html_text import main_text
@@ -28,8 +29,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    REGISTRY[run.__name__] = run
-    return run
+    @functools.wraps(run)
+    def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    REGISTRY[run.__name__] = sent
+    return sent
 
 
 #: A document is kept as good text from this score on.
