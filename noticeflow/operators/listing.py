@@ -15,7 +15,7 @@ from ..functions.names import PARTS, with_split_name
 from ..functions.text import first_present, or_blank, present, strip
 from ..functions.urls import absolutise
 from ..schemas import ITEM_LIST, LISTING_PAYLOAD, RECORD_FIELDS, STATE_PAYLOAD
-from ..sources.html import page_links, unescaped
+from ..sources.html import may_have_links, page_links, unescaped
 
 # Shortest script considered, comment marks around its payload.
 MIN_PAYLOAD = 100
@@ -175,7 +175,8 @@ def page_items(pages: DataFrame) -> DataFrame:
                   F.when(F.col("_json").isNull(), _state(F.col("html"))))
     found = found.withColumn("_state", _state_items(F.col("_state")))
     needs_links = F.col("_json").isNull() & ~_has_rows(F.col("_state"))
-    found = found.withColumn("_links", page_links(F.when(needs_links, F.col("html"))))
+    found = found.withColumn("_links", page_links(
+        F.when(needs_links & may_have_links(F.col("html")), F.col("html"))))
     error = F.col("_json")["error"]
     return found.withColumns({
         "items": F.when(error.isNull(), F.coalesce(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,10 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+#: Temporary folders of local sessions without the setting, which cannot be set later.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names.
 
@@ -40,9 +46,10 @@ def staging_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="noticeflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="noticeflow-")
+    return _LOCAL_ROOTS[app]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -52,6 +59,31 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def staged_scope() -> Iterator[None]:
+    """Delete, at the end, the tables staged inside: for work whose result is written."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for df in _SCOPES.pop():
+            unstage(df)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a table made by ``stage`` once nothing reads it any more."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("noticeflow-"):
+            files.delete(path, True)
+
+
 def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to a fresh table under the shared folder and read it back.
 
@@ -62,4 +94,7 @@ def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/noticeflow-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(staged)
+    return staged

@@ -9,9 +9,12 @@ from __future__ import annotations
 import html
 import re
 import sys
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,6 +243,14 @@ _FIELDS_TYPE = _struct(name=_S, funeral_home=_S, text=_S, date_texts=_TEXTS,
                        metas=T.ArrayType(_struct(key=_S, content=_S)))
 
 
+def may_have_links(page: Column) -> Column:
+    """False where no link rule can fit: none of the rules' words occurs, and no tag has a
+    character reference that could hide one. Such pages need not be sent to Python."""
+    lower = F.lower(page)
+    marks = [value for _, _, _, value in LINKS[:3]] + [LINK_LIST[3]]
+    return reduce(or_, [F.contains(lower, F.lit(m)) for m in marks]) | page.rlike("<[^>]*&")
+
+
 @F.pandas_udf(_LINKS_TYPE)
 def page_links(pages: pd.Series) -> pd.Series:
     """Record links of a listing page in page order."""

@@ -4,10 +4,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticeflow.operators.detail import enrich, extract_details
 from noticeflow.operators.listing import extract_records
 from noticeflow.schemas import RECORD_FIELDS
+from noticeflow.sources.html import may_have_links
 
 from .samples import BASE, PAD, detail_sample, link_people, listing, listing_people, script, state_page, state_people
 
@@ -65,6 +67,13 @@ def test_link_rules(spark, page, names):
     assert rows, "a page without records still has a row"
 
 
+def test_pages_without_a_rules_word_are_not_read(spark):
+    pages = ["<a href='/obituary/2'>Out</a>", "<p>text</p>", LINKS, "<a href='/us/obituaries&#x2f;name/1'>A</a>",
+             "<A CLASS='Obit-Card' href=x>B</A>", "a & b", ""]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    assert [r[0] for r in df.select(may_have_links(F.col("html"))).collect()] == [False, False, True, True, True, False, False]
+
+
 def test_layout_order_and_payload_choice(spark):
     good, other = listing(ITEMS[:1]), listing(ITEMS[1:])
     empty = listing([])

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from noticeflow import session
 from noticeflow.plans.daily import ingest, marked_count, run_day, run_epoch
 from noticeflow.plans.store import Store
 from noticeflow.schemas import DETAIL_PAGES, LISTING_PAGES, MARKET_ROW
@@ -86,6 +87,15 @@ def test_two_days(spark, markets, details, tmp_path):
     assert {u: (r.id, r.duplicate_of) for u, r in by_url(store).items()} == {u: (r.id, r.duplicate_of) for u, r in got.items()}
 
 
+def test_staged_tables_go_with_the_run(spark, markets, details, tmp_path, monkeypatch):
+    folder = tmp_path / "staging"
+    monkeypatch.setattr(session, "staging_root", lambda _: str(folder))
+    store = Store(spark, str(tmp_path / "store"))
+    run_day(store, pages(spark, DAY1, **FIRST), details, markets, DAY1, 0, BASE)
+    assert folder.exists() and list(folder.iterdir()) == []
+    assert store.obits().count() == 3 and store.log().count() == 5
+
+
 def test_stream_equals_batches(spark, markets, details, tmp_path):
     folder = str(tmp_path / "arriving")
     pages(spark, DAY1, **FIRST).coalesce(1).write.parquet(folder)
