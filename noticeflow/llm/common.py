@@ -13,7 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.session import stage, staging_root
+from noticeflow.session import stage
+from noticeflow.session import unstage as drop_staged
 
 #: Bytes of text that one step of a Python task works on, beside a single longer text.
 BATCH_BYTES = 4 << 20
@@ -21,17 +22,6 @@ BATCH_BYTES = 4 << 20
 WORD = re.compile(r"\w+")
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files of a table made by ``stage`` once nothing reads it any more."""
-    spark = df.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
-    conf = spark._jsc.hadoopConfiguration()
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        if path.getName().startswith("noticeflow-"):
-            root.getFileSystem(conf).delete(path, True)
-
-
 def pieces(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts in a piece have at most ``limit`` bytes together; a
     longer text is a piece of its own."""
@@ -73,6 +63,12 @@ def held_out(id_col: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def among_lowest(hashed: Column, wanted: int, total: Column) -> Column:
+    """True for hashes low enough that about four times ``wanted`` of ``total`` rows pass. A
+    sample of the lowest ``wanted`` is then taken from a few rows, however many tasks there are."""
+    return (hashed.cast("double") + 2.0 ** 63) / 2.0 ** 64 < F.lit(4.0 * wanted) / total
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, as ``--py-files`` would, once per application. The
     operators' functions are imported there, whatever the folder the driver was started in."""
@@ -91,5 +87,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["BATCH_BYTES", "by_pieces", "drop_staged", "held_out", "pieces", "ship", "stage", "table",
+__all__ = ["BATCH_BYTES", "among_lowest", "by_pieces", "drop_staged", "held_out", "pieces", "ship", "stage", "table",
            "texts_of", "words"]

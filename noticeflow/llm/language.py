@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeflow.llm.common import by_pieces, texts_of
+from noticeflow.llm.common import among_lowest, by_pieces, texts_of
 
 ORDER = 4
 SAMPLE_ROWS = 500
@@ -211,7 +211,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.filter(F.col(lang_col).isNotNull() & (F.length(text_col) <= sample_chars) & F.col(id_col).isNotNull())
     rows = rows.filter(~exclude) if exclude is not None else rows
     ids = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(5)), "_id")
+    hashed = F.xxhash64("_id", F.lit(5))
+    sizes = ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    ids = ids.join(sizes, "_lang").filter(among_lowest(hashed, sample_rows, F.col("_n")))
+    order = Window.partitionBy("_lang").orderBy(hashed, "_id")
     ids = ids.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample_rows).select("_id").distinct()
     sample = rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).join(
         F.broadcast(ids), "_id").collect()

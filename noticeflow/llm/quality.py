@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeflow.llm.common import by_pieces, texts_of
+from noticeflow.llm.common import among_lowest, by_pieces, texts_of
 
 SAMPLE_ROWS = 1000
 SAMPLE_CHARS = 20_000
@@ -187,8 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     short = docs.filter(F.length(text_col) <= sample_chars).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = []
-    for label in shares:
-        ids = known.filter(F.col("_label") == label).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample_rows)
+    hashed = F.xxhash64("doc_id", F.lit(11))
+    for label, count in shares.items():
+        ids = known.filter((F.col("_label") == label) & among_lowest(hashed, sample_rows, F.lit(count)))
+        ids = ids.orderBy(hashed, "doc_id").limit(sample_rows)
         rows += short.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "_label").collect()
     rows = list({(r.doc_id, r._label): r for r in sorted(rows, key=lambda r: (r.doc_id, r._label, r.text))}.values())
     y = np.array([r._label for r in rows], dtype=np.float32)
