@@ -115,13 +115,14 @@ def training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         return pd.Series(order.walk(index.to_numpy()))
 
     known = spark.createDataFrame(bases, "part int, base long")
+    # Cut before the slots are computed, so that a row of the numbering holds one record only.
+    cut = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.struct(
+        i.alias("seq_no"), F.substring(F.col("ids"), (i * stride + 1).cast("int"), F.lit(stride)).alias("record")))
     each = texts.join(F.broadcast(known), "part").select(
-        "doc_id", (F.col("base") + F.col("first")).alias("_from"), "n_tokens", "ids",
-        F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("seq_no"))
-    rows = each.select(
-        "doc_id", "seq_no", F.least(F.col("n_tokens") - F.col("seq_no") * sequence, F.lit(sequence)).cast("int").alias("n_tokens"),
-        F.substring("ids", (F.col("seq_no") * stride + 1).cast("int"), F.lit(stride)).alias("record"),
-        slot_of(F.col("_from") + F.col("seq_no")).alias("slot"))
+        "doc_id", (F.col("base") + F.col("first")).alias("_from"), "n_tokens", F.explode(cut).alias("s"))
+    rows = each.select("doc_id", "n_tokens", F.col("s.seq_no").alias("seq_no"), F.col("s.record").alias("record"),
+                       slot_of(F.col("_from") + F.col("s.seq_no")).alias("slot"))
+    rows = rows.withColumn("n_tokens", F.least(F.col("n_tokens") - F.col("seq_no") * sequence, F.lit(sequence)).cast("int"))
     return rows.select(
         F.floor(F.col("slot") / shard_records).alias("shard"), "slot",
         (F.col("slot") % shard_records * stride).alias("byte_offset"), "doc_id", "seq_no", "n_tokens", "record",
