@@ -37,7 +37,7 @@ LONG_WORD = 64
 #: Characters that the split pattern joins to one word when they follow letters.
 MARKS = ".,;:!?"
 #: Pieces (and, beside them, words) that a worker keeps; when full, the cache starts anew.
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 250_000
 NO_RANK = np.int32(2**31 - 1)
 
 

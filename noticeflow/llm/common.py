@@ -17,7 +17,7 @@ from noticeflow.session import stage
 from noticeflow.session import unstage as drop_staged
 
 #: Bytes of text that one step of a Python task works on, beside a single longer text.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 WORD = re.compile(r"\w+")
 

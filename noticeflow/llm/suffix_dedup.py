@@ -303,7 +303,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     kind = base.schema["doc_id"].dataType.simpleString()
     found = stage(base.select("doc_id", "key", "text").mapInArrow(
-        by_pieces(find_segments, "text", 2 << 20),
+        by_pieces(find_segments, "text"),
         f"doc_id {kind}, key binary, n_bytes long, segments array<struct<group:long,content:long,n:int,starts:array<int>>>"), "segments")
     rows = found.select("key", F.explode("segments").alias("s")).select("key", "s.*", F.size("s.starts").alias("_times"))
     shared = stage(rows.groupBy("group").agg(F.sum("_times").alias("_all")).filter("_all > 1").select("group"), "groups")
