@@ -1,13 +1,15 @@
 """Corpus preparation: each stage takes the documents its predecessor kept.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir). All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. What a stage decides holds for a row, not for its id: of
+equal or near rows one stays, also where ids are null or repeat.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +24,36 @@ from noticeflow.llm.queries import QUALITY_CUT, VOCABULARY, quality_model
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id is not in ``dropped`` (doc_id). Only documents that share a bit
-    with a dropped id move for the join; all others stay where they are. Rows that repeat an id
-    share its fate."""
+#: Columns that tell rows apart: the id first, so that the smallest row of a group has its smallest id.
+FILE, PLACE = "_file", "_place_in_file"
+
+
+def rows_of(docs: DataFrame, nulls_last: bool = False) -> DataFrame:
+    """``docs`` with the column ``_row``, which no two rows share: id, file and place in the file.
+    Ids may be null or repeat. Every stage reads a written table; other data is written first.
+    With ``nulls_last`` a null id comes after all others."""
+    try:
+        read = docs.select("*", docs.metadataColumn("_metadata").alias("_meta"))
+        read.select("_meta.row_index").schema  # noqa: B018 - analysed here: no such field without parquet files
+    except AnalysisException:
+        docs = stage(docs, "rows")
+        read = docs.select("*", docs.metadataColumn("_metadata").alias("_meta"))
+    order = [F.col("doc_id").isNull().alias("_no_id")] if nulls_last else []
+    return read.select(*docs.columns, F.struct(
+        *order, "doc_id", F.unhex(F.md5(F.col("_meta.file_path").cast("binary"))).alias(FILE),
+        F.col("_meta.row_index").alias(PLACE)).alias("_row"))
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose ``_row`` is not in ``dropped`` (doc_id). Only documents that share a bit
+    with a dropped row move for the join; all others stay where they are. A row's fate is its own,
+    whatever other rows have its id."""
+    columns = [c for c in rows.columns if c != "_row"]
     gone = stage(dropped.select("doc_id").distinct(), "dropped")
-    probed = probe(docs, stage(bitmap(gone, "_gone", "doc_id"), "dropped-bits"), "_gone", "doc_id")
+    probed = probe(rows, stage(bitmap(gone, "_gone", "doc_id"), "dropped-bits"), "_gone", "_row")
     doubtful = probed.filter("_gone").join(
-        gone.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
-    return probed.filter("not _gone").unionByName(doubtful).select(*docs.columns)
+        gone.withColumnRenamed("doc_id", "_dropped"), F.col("_row").eqNullSafe(F.col("_dropped")), "left_anti")
+    return probed.filter("not _gone").unionByName(doubtful).select(*columns)
 
 
 def drop_poor_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +62,18 @@ def drop_poor_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, exact_dedup(docs).filter("not kept"))
+    rows = rows_of(docs)
+    return without(rows, exact_dedup(rows, "_row").filter("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, ngram_join(docs).filter("not kept"))
+    rows = rows_of(docs, nulls_last=True)
+    return without(rows, ngram_join(rows, "_row").filter("not kept"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    rows = rows_of(docs)
+    return without(rows, find_leaks(rows, table(spark, sf_dir, "benchmark"), "_row"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,24 @@ def test_stages(spark):
         docs = work(spark, docs, DIR)
         assert docs.columns == columns
     assert re.fullmatch("[0-9a-f]{64}", got[0].ids_sha256)
+
+
+def test_null_and_repeated_ids_have_fates_of_their_own(spark):
+    own = {n: " ".join(f"{w}{k}" for k in range(60)) for n, w in enumerate(["red", "blue", "green", "grey", "pink"])}
+    near = own[1] + " end"
+    leak = spark.read.parquet(f"{DIR}/benchmark.parquet").filter("length(text) > 60").first().text
+    rows = [(1, own[0]), (None, own[0]), (None, own[2]), (None, own[3]), (7, own[0]), (7, own[4]), (7, own[4]),
+            (None, own[3]), (2, own[1]), (None, near), (None, leak), (9, leak), (9, "clean text of a repeated id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda found: sorted(((r.doc_id, r.text) for r in found), key=str)
+    exact = corpus_pipeline.drop_exact_copies(spark, df, DIR)
+    best = [(None, own[0]), (None, own[2]), (None, own[3]), (7, own[4]), (2, own[1]), (None, near), (None, leak),
+            (9, "clean text of a repeated id")]
+    assert key(exact.collect()) == sorted(best, key=str)
+    after = corpus_pipeline.drop_near_copies(spark, exact, DIR)
+    assert key(after.collect()) == sorted((r for r in best if r[1] != near), key=str)
+    twice = spark.createDataFrame([(3, own[0]), (3, own[0]), (None, own[2]), (None, own[2])], df.schema)
+    assert key(corpus_pipeline.drop_near_copies(spark, twice, DIR).collect()) == [(3, own[0]), (None, own[2])]
+    clean = corpus_pipeline.drop_leaks(spark, after, DIR)
+    assert clean.columns == df.columns
+    assert key(clean.collect()) == sorted((r for r in best if r[1] not in (near, leak)), key=str)
