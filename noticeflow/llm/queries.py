@@ -6,6 +6,7 @@ Oracle SQL is given where SQL can express a query; the others are tested in ``te
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,9 +19,10 @@ from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.html_text import main_text
 from noticeflow.llm.ngram_join import ngram_join
-from noticeflow.llm.shards import training_order
+from noticeflow.llm.shards import write_order
 from noticeflow.llm.suffix_dedup import suffix_dedup
 from noticeflow.llm.token_counts import count_tokens
+from noticeflow.session import staging_root
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -99,7 +101,8 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(table(spark, sf_dir, "documents"), VOCABULARY, key=2024)
+    shards = f"{staging_root(spark).rstrip('/')}/noticeflow-shards-{uuid.uuid4().hex}"
+    return write_order(table(spark, sf_dir, "documents"), VOCABULARY, shards, key=2024)
 
 
 @query

@@ -19,6 +19,8 @@ are sequences like any other. An empty table gives no rows. Extra columns are no
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm.bpe import encoder, shared
-from noticeflow.llm.common import by_pieces, stage, texts_of
+from noticeflow.llm.common import by_pieces, drop_staged, stage, texts_of
 
 SEQUENCE = 512
 SHARD_RECORDS = 8192
 END_TOKEN = "<|endoftext|>"
 ROUNDS = 6
+#: Shards that one task writes, where there are more than shuffle partitions.
+TASK_SHARDS = 16
 
 
 class Feistel:
@@ -96,49 +100,129 @@ def encoded(docs: DataFrame, path: str, id_col: str, text_col: str, sequence: in
     return rows.mapInArrow(run, f"doc_id {kind}, part int, first long, n_tokens long, ids binary")
 
 
+class Sequences:
+    """The encoded texts, staged, and the order of their sequences."""
+
+    def __init__(self, docs: DataFrame, path: str, id_col: str, text_col: str, key: int, sequence: int, shard_records: int):
+        spark, self.stride, self.sequence, self.shard_records = docs.sparkSession, 2 * sequence, sequence, shard_records
+        self.texts = stage(encoded(docs, path, id_col, text_col, sequence), "sequences", compression="zstd")
+        count = (F.floor((F.col("n_tokens") - 1) / sequence) + 1).cast("long")
+        parts = sorted(self.texts.groupBy("part").agg(F.max(F.col("first") + count).alias("n")).collect())
+        bases, self.total = [], 0
+        for part, n in parts:  # one row per task of the scan
+            bases.append((part, self.total))
+            self.total += n
+        self.key, self.count, self.bases = key, count, spark.createDataFrame(bases, "part int, base long")
+
+    def rows(self, *wanted: str) -> DataFrame:
+        """Those of shard, slot, byte_offset, doc_id, seq_no, n_tokens, record that are wanted, a row for each sequence."""
+        order, stride = Feistel(self.total, self.key), self.stride
+
+        @F.pandas_udf("long")
+        def slot_of(index: pd.Series) -> pd.Series:
+            return pd.Series(order.walk(index.to_numpy()))
+
+        # Cut before the slots are computed, so that a row of the numbering holds one record only.
+        cut = F.transform(F.sequence(F.lit(0).cast("long"), self.count - 1), lambda i: F.struct(i.alias("seq_no"), *[
+            F.substring(F.col("ids"), (i * stride + 1).cast("int"), F.lit(stride)).alias("record")] * ("record" in wanted)))
+        each = self.texts.join(F.broadcast(self.bases), "part").select(
+            "doc_id", (F.col("base") + F.col("first")).alias("_from"), "n_tokens", F.explode(cut).alias("s"))
+        rows = each.select("doc_id", "n_tokens", "s.*", slot_of(F.col("_from") + F.col("s.seq_no")).alias("slot"))
+        return rows.withColumn(
+            "n_tokens", F.least(F.col("n_tokens") - F.col("seq_no") * self.sequence, F.lit(self.sequence)).cast("int")).withColumns({
+                "shard": F.floor(F.col("slot") / self.shard_records), "byte_offset": F.col("slot") % self.shard_records * stride,
+            }).select(*wanted)
+
+
 def training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
                    sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
     """A row for each sequence, dealt to partitions by shard and sorted by slot: shard, slot,
     byte_offset, doc_id, seq_no, n_tokens (without filling), record (the ids, little-endian)."""
-    spark, stride = docs.sparkSession, 2 * sequence
-    texts = stage(encoded(docs, path, id_col, text_col, sequence), "sequences", compression="zstd")
-    count = (F.octet_length("ids") / stride).cast("long")
-    parts = sorted(texts.groupBy("part").agg(F.max(F.col("first") + count).alias("n")).collect())
-    bases, total = [], 0
-    for part, n in parts:  # one row per task of the scan
-        bases.append((part, total))
-        total += n
-    order = Feistel(total, key)
-
-    @F.pandas_udf("long")
-    def slot_of(index: pd.Series) -> pd.Series:
-        return pd.Series(order.walk(index.to_numpy()))
-
-    known = spark.createDataFrame(bases, "part int, base long")
-    # Cut before the slots are computed, so that a row of the numbering holds one record only.
-    cut = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.struct(
-        i.alias("seq_no"), F.substring(F.col("ids"), (i * stride + 1).cast("int"), F.lit(stride)).alias("record")))
-    each = texts.join(F.broadcast(known), "part").select(
-        "doc_id", (F.col("base") + F.col("first")).alias("_from"), "n_tokens", F.explode(cut).alias("s"))
-    rows = each.select("doc_id", "n_tokens", F.col("s.seq_no").alias("seq_no"), F.col("s.record").alias("record"),
-                       slot_of(F.col("_from") + F.col("s.seq_no")).alias("slot"))
-    rows = rows.withColumn("n_tokens", F.least(F.col("n_tokens") - F.col("seq_no") * sequence, F.lit(sequence)).cast("int"))
-    return rows.select(
-        F.floor(F.col("slot") / shard_records).alias("shard"), "slot",
-        (F.col("slot") % shard_records * stride).alias("byte_offset"), "doc_id", "seq_no", "n_tokens", "record",
-    ).repartition("shard").sortWithinPartitions("shard", "slot")
-
-
-def write_shards(rows: DataFrame, path: str) -> None:
-    """Write one file per shard. Spark's text writer puts the bytes as they are and a line feed,
-    so a record takes its own size and one byte; it also commits whole tasks only."""
-    rows.repartition("shard").sortWithinPartitions("shard", "slot").select(
-        "shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option(
-        "compression", "none").text(path)
-
-
-def read_shard(spark: SparkSession, path: str, shard: int, record_bytes: int, start: int = 0) -> list[np.ndarray]:
-    """The sequences of a shard from its record ``start`` on."""
-    found = spark.read.format("binaryFile").load(f"{path}/shard={shard}").select("content").collect()
-    data, stride = b"".join(bytes(r.content) for r in found), record_bytes + 1
-    return [np.frombuffer(data[at:at + record_bytes], "<u2") for at in range(start * stride, len(data), stride)]
+    found = Sequences(docs, path, id_col, text_col, key, sequence, shard_records)
+    return found.rows("shard", "slot", "byte_offset", "doc_id", "seq_no", "n_tokens", "record").repartition(
+        "shard").sortWithinPartitions("shard", "slot")
+
+
+def joined(batches):
+    """The records of each shard, which come in order, as one value."""
+    held, mark = [], None
+    for batch in batches:
+        shards = batch.column("shard").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and shards[a] != mark:
+                yield whole(mark, held)
+                held = []
+            mark = int(shards[a])
+            held.append(b"".join(batch.column("record").slice(a, b - a).to_pylist()))
+    if held:
+        yield whole(mark, held)
+
+
+def whole(shard: int, held: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([b"".join(held)], pa.binary())], ["shard", "value"])
+
+
+def write_shards(rows: DataFrame, path: str, total: int | None = None, shard_records: int = SHARD_RECORDS) -> None:
+    """Write one file per shard. With the number of records, the shards are dealt to ranges of
+    slots as numbered, without a sample; else by a range of the rows given. Spark's text writer
+    puts the bytes as they are; it also commits whole tasks only."""
+    wanted = rows.select("shard", "slot", "record")
+    if total is None:
+        ranges = wanted.repartitionByRange("shard")
+    else:
+        shards = max(1, -(-total // shard_records))
+        least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(shards, max(least, -(-shards // TASK_SHARDS)))
+        ranges = wanted.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
+    blobs = ranges.sortWithinPartitions("shard", "slot").select("shard", "record").mapInArrow(joined, "shard long, value binary")
+    blobs.select("shard", F.col("value").cast("string")).write.partitionBy("shard").option("compression", "none").text(path)
+
+
+def digests(spark: SparkSession, path: str, stride: int, shard_records: int) -> DataFrame:
+    """slot and record_sha256 of each record in the files of ``path``."""
+    def work(batches):
+        for batch in batches:
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+                data = memoryview(content.as_buffer())
+                n = len(data) // stride
+                sums = [hashlib.sha256(data[at:at + stride]).hexdigest() for at in range(0, n * stride, stride)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(n) + shard * shard_records, pa.int64()), pa.array(sums, pa.string())], ["slot", "record_sha256"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    shard = F.regexp_extract("path", r"/shard=(\d+)/[^/]*$", 1).cast("long")
+    # Whole files go to Python once; cut by an expression, a file would be copied for each record.
+    return files.select(shard.alias("shard"), "content").mapInArrow(work, "slot long, record_sha256 string")
+
+
+def write_order(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
+                sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
+    """Write the shards to ``out``. A row for each sequence: shard, slot, byte_offset, doc_id, seq_no, n_tokens, and
+    record_sha256 of what the file of the shard has there (null: nothing; a record too many has no doc_id)."""
+    found = Sequences(docs, path, id_col, text_col, key, sequence, shard_records)
+    write_shards(found.rows("shard", "slot", "record"), out, found.total, shard_records)
+    index = stage(found.rows("slot", "doc_id", "seq_no", "n_tokens"), "order", compression="zstd")
+    drop_staged(found.texts)
+    both = index.join(digests(docs.sparkSession, out, 2 * sequence, shard_records), "slot", "full")
+    return both.select(F.floor(F.col("slot") / shard_records).alias("shard"), "slot",
+                       (F.col("slot") % shard_records * 2 * sequence).alias("byte_offset"),
+                       "doc_id", "seq_no", "n_tokens", "record_sha256")
+
+
+def read_shard(spark: SparkSession, path: str, shard: int, record_bytes: int, start: int = 0,
+               count: int | None = None) -> list[np.ndarray]:
+    """``count`` sequences (or all) of a shard from its record ``start`` on; only they are read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    [file] = [f for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    left = max(0, file.getLen() // record_bytes - start)
+    stream = files.open(file.getPath())
+    try:
+        stream.seek(min(start * record_bytes, file.getLen()))
+        data = bytes(stream.readNBytes(record_bytes * (left if count is None else min(left, count))))
+    finally:
+        stream.close()
+    return [np.frombuffer(data[at:at + record_bytes], "<u2") for at in range(0, len(data), record_bytes)]

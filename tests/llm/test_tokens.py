@@ -1,6 +1,8 @@
 """Token ids against the library that the vocabulary file is for, and what is built on them."""
 
+import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,7 +11,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from noticeflow.llm import bpe, shards, token_counts
-from noticeflow.llm.queries import VOCABULARY
+from noticeflow.llm.queries import REGISTRY, VOCABULARY
+from noticeflow.session import staging_root
 
 LIBRARY = Tokenizer.from_file(VOCABULARY)
 ODD = ["", " ", "a  b", "a \n b", " x<|endoftext|>  y<|endoftext|><|endoftext|>", "<|endoftext", "don't we'll I'M 's",
@@ -142,3 +145,31 @@ def test_training_order(spark, tmp_path):
     assert sorted(df.select("slot", "doc_id").collect()) == sorted((r.slot, r.doc_id) for r in got) if None not in {
         r.doc_id for r in got} else True
     assert shards.training_order(docs(spark, []), VOCABULARY).collect() == []
+
+
+def test_written_order(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate([*ODD, None, "long text of words " * 500])] + [(None, "z")]
+    out = str(tmp_path / "out")
+    got = shards.write_order(docs(spark, rows), VOCABULARY, out, key=5, sequence=16, shard_records=32).collect()
+    want = shards.training_order(docs(spark, rows), VOCABULARY, key=5, sequence=16, shard_records=32).collect()
+    cut = lambda r: (r.shard, r.slot, r.byte_offset, r.doc_id, r.seq_no, r.n_tokens)
+    assert {(*cut(r), r.record_sha256) for r in got} == {(*cut(r), hashlib.sha256(r.record).hexdigest()) for r in want}
+    assert len(got) == len(want) and len({r.shard for r in got}) > 3
+    for r in got:  # a reader that goes to the offset finds the record
+        [file] = (tmp_path / "out" / f"shard={r.shard}").glob("part-*")
+        with file.open("rb") as f:
+            f.seek(r.byte_offset)
+            assert hashlib.sha256(f.read(32)).hexdigest() == r.record_sha256
+        [one] = shards.read_shard(spark, out, r.shard, 32, r.slot % 32, 1)
+        assert hashlib.sha256(one.tobytes()).hexdigest() == r.record_sha256
+    assert shards.read_shard(spark, out, got[0].shard, 32, 32) == []
+    assert shards.write_order(docs(spark, []), VOCABULARY, str(tmp_path / "none")).collect() == []
+
+
+def test_query_writes_shards(spark):
+    before = set(Path(staging_root(spark)).glob("noticeflow-shards-*"))
+    got = REGISTRY["op9_training_order"](spark, "/root/testdata/sf0.001").collect()
+    [out] = set(Path(staging_root(spark)).glob("noticeflow-shards-*")) - before
+    size = {int(f.parent.name[6:]): f.stat().st_size for f in out.glob("shard=*/part-*")}
+    assert sum(n // 1024 for n in size.values()) == len(got)
+    assert all(r.record_sha256 and r.doc_id is not None and r.byte_offset + 1024 <= size[r.shard] for r in got)
