@@ -1,25 +1,31 @@
 """Main text of web pages: site template removal by hashed element subtrees.
 
-A page is read by the standard library's parser to a flat list of texts and breaks, and
-elements as ranges of it. Each block element outside the article has a hash of its subtree
-(tags and texts). Spark counts, per host, the pages on which a subtree occurs; one that recurs
-on many pages (``MIN_PAGES`` and ``PAGE_SHARE`` of the host's) is a template and is deleted from
-that host's pages. A page has few subtrees and a template a fixed share of the pages, so a
-host's list of templates is bounded. Elements that say what they are (navigation, page
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) go on any
-page, by element, role, class or id.
+A page is read once, by the standard library's parser, to a flat list of texts and breaks, and
+elements as ranges of it. Each block element has a hash of its subtree (tags and texts). Spark
+counts, per host, the different pages on which a subtree occurs; one that recurs on
+``MIN_PAGES`` pages, however many the host has, is a template and is deleted from that host's
+pages. The (host, hash) pairs of each page are joined with the templates, so no list of them is
+held anywhere. Elements that say what they are (navigation, page headers, footers, sidebars,
+notices, adverts, forms, scripts, styles, reader comments) go on any page, by element, role,
+class or id.
 
 The article is the ``article`` element with the most text left, else the main element, else
-the whole body. Inside it nothing is deleted for recurring unless most of it is link text, as
-a passage that many articles quote is still text.
+the whole body. What recurs by its nature needs more than a count:
+
+- headings, list items, table cells and captions (``LABELS``): ``PAGE_SHARE`` of the host's pages, as
+  "Early life" or "Yes" on a few pages of a large host is no template. A list or table
+  that recurs as a whole is one.
+- inside the article, only containers (``CONTAINERS``) and blocks that are mostly link text go by the
+  count; a passage that many articles quote is still text, unless it is on ``NEARLY_ALL`` pages.
+- what holds the article, or more than nine tenths (``MOST``) of the text left, is never a template.
 
 Character references are decoded; white space in a block becomes one space; blocks are joined
 by one space in page order.
 
 Edge cases. Null and empty pages give an empty text. Pages that end early, stray end tags and
 deep nesting are read as far as they go. A null or odd url is a host of its own (the empty
-one). Repeated rows are read alike (a repeated page counts once more for its host); an empty
-table gives no rows; extra columns are not read.
+one). Repeated rows are read alike (a page counts once for its host, however often it is
+repeated); an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm.common import by_pieces, drop_staged, stage, texts_of
 
-MIN_PAGES, PAGE_SHARE, LINK_SHARE = 4, 0.2, 0.5
+MIN_PAGES, PAGE_SHARE, LINK_SHARE, NEARLY_ALL, MOST = 4, 0.2, 0.5, 0.9, 0.9
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"script", "style", "template", "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
@@ -52,6 +58,11 @@ DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "promoted", "recommended", "related", "replies", "share", "sharing", "sidebar", "signup", "skip", "social",
               "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 ROOTS = {"html", "body", "article", "main"}
+#: Blocks that recur by their nature, and blocks that hold others.
+LABELS = {"h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "thead", "caption", "figcaption", "legend", "summary", "option"}
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "figure", "details", "fieldset", "center", "address", "header"}
+#: How a subtree is told to be a template.
+BY_COUNT, BY_SHARE, BY_NEARLY_ALL = 0, 1, 2
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -151,21 +162,45 @@ class Page(HTMLParser):
                 return best[1], best[2]
         return None
 
-    def subtrees(self) -> set[int]:
-        """Hashes of the block elements that may be templates."""
+    def candidates(self) -> list[tuple[int, int, int, int]]:
+        """Block elements that may be templates: hash, rule, first part, end part."""
         keep = self.kept(set())
-        a, b = self.article(keep) or (0, 0)
+        found = self.article(keep)
+        a, b = found or (0, 0)
         texts = list(accumulate((len(p.strip()) if p else 0 for p in self.parts), initial=0))
         links = list(accumulate((len(p.strip()) if p and k else 0 for p, k in zip(self.parts, self.linked)), initial=0))
-        out = set()
+        shown = list(accumulate((len(p.strip()) if p and k else 0 for p, k in zip(self.parts, keep)), initial=0))
+        first_shown, end_shown = found or (0, len(self.parts))
+        out = []
         for tag, first, end, _, _, _, digest in self.elements:
             size = texts[end] - texts[first]
             if tag in INLINE or tag in ROOTS or not size or not keep[first] or first <= a < b <= end:
                 continue
-            if not a <= first < b or links[end] - links[first] >= LINK_SHARE * size:
-                out.add(int.from_bytes(digest, "little", signed=True))
+            inside = a <= first < b
+            held = shown[min(end, end_shown)] - shown[max(first, first_shown)] if first < end_shown and end > first_shown else 0
+            if held > MOST * (shown[end_shown] - shown[first_shown]):
+                continue
+            if inside and tag not in CONTAINERS and links[end] - links[first] < LINK_SHARE * size:
+                rule = BY_NEARLY_ALL
+            else:
+                rule = BY_SHARE if tag in LABELS and links[end] - links[first] < LINK_SHARE * size else BY_COUNT
+            out.append((int.from_bytes(digest, "little", signed=True), rule, first, end))
         return out
 
+    def subtrees(self) -> set[int]:
+        """Hashes of the block elements that may be templates."""
+        return {c[0] for c in self.candidates()}
+
+    def pieces(self) -> tuple[str, list[tuple[int, int, int, int]]]:
+        """The text before templates are deleted, and the candidates: hash, rule, place and length in it
+        (no length where they are outside)."""
+        keep = self.kept(set())
+        a, b = self.article(keep) or (0, len(self.parts))
+        shown = [" " if p is None else p if k else "" for p, k in zip(self.parts[a:b], keep[a:b])]
+        at = list(accumulate(map(len, shown), initial=0))
+        place = lambda part: at[min(max(part, a), b) - a]
+        return "".join(shown), [(h, r, place(x), place(y) - place(x)) for h, r, x, y in self.candidates()]
+
     def text(self, templates: set[int]) -> str:
         keep = self.kept(templates & self.subtrees() if templates else set())
         a, b = self.article(self.kept(set())) or (0, len(self.parts))
@@ -176,18 +211,41 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE) -> DataFrame:
-    """host, templates (hashes of its recurring subtrees), from the columns host and html."""
+PIECES = "array<struct<hash: long, rule: int, at: int, size: int>>"
+
+
+def read_pages(rows: DataFrame) -> DataFrame:
+    """page_id, url, host, page (hash of its source), text (with all that may be a template), found (PIECES), row."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [sorted(Page(h).subtrees()) for h in texts_of(batch, "html")]
-        return pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.list_(pa.int64()))], ["host", "subtrees"])
-
-    seen = stage(pages.select("host", "html").mapInArrow(by_pieces(work, "html"), "host string, subtrees array<long>"), "subtrees")
-    counts = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    times = seen.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("times"))
-    many = times.filter(F.col("times") >= min_pages).join(counts, "host").filter(F.col("times") >= page_share * F.col("pages"))
-    out = stage(many.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
-    drop_staged(seen)
+        htmls = texts_of(batch, "html")
+        texts, found = zip(*(Page(h).pieces() for h in htmls), strict=True) if htmls else ((), ())
+        kind = pa.list_(pa.struct([("hash", pa.int64()), ("rule", pa.int32()), ("at", pa.int32()), ("size", pa.int32())]))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), batch.column("host"),
+             pa.array([hashlib.blake2b(h.encode("utf-8", "replace"), digest_size=16).digest() for h in htmls], pa.binary()),
+             pa.array([t.encode("utf-8", "replace").decode() for t in texts], pa.string()),
+             pa.array([[dict(zip(("hash", "rule", "at", "size"), x, strict=True)) for x in f] for f in found], kind)],
+            ["page_id", "url", "host", "page", "text", "found"])
+
+    kind = rows.schema["page_id"].dataType.simpleString()
+    read = rows.mapInArrow(by_pieces(work, "html"), f"page_id {kind}, url string, host string, page binary, text string, found {PIECES}")
+    return stage(read.withColumn("row", F.monotonically_increasing_id()), "pages", compression="zstd")
+
+
+def site_templates(read: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE) -> DataFrame:
+    """host, hash, rule of the subtrees that are templates by that rule, from ``read_pages``."""
+    # Only equal pages can have the same hash, so one of them stands for all.
+    pages = read.groupBy("host", "page").agg(F.min("row").alias("row"))
+    one = stage(pages.select("host", "row"), "distinct-pages")
+    counts = one.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    each = read.select("row", "host", F.explode(F.array_distinct(F.transform("found", lambda x: x["hash"]))).alias("hash"))
+    times = each.join(one.select("row"), "row", "left_semi").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("times"))
+    many = times.filter(F.col("times") >= min_pages).join(counts, "host")
+    share = F.col("times") / F.col("pages")
+    rules = F.filter(F.array(F.lit(BY_COUNT), F.when(share >= page_share, F.lit(BY_SHARE)),
+                             F.when(share >= NEARLY_ALL, F.lit(BY_NEARLY_ALL))), lambda r: r.isNotNull())
+    out = stage(many.select("host", "hash", F.explode(rules).alias("rule")), "templates")
+    drop_staged(one)
     return out
 
 
@@ -197,13 +255,29 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
     kind = rows.schema["page_id"].dataType.simpleString()
+    read = read_pages(rows)
+    templates = site_templates(read, min_pages, page_share)
+    pairs = read.select("row", "host", F.explode("found").alias("x")).select("row", "host", "x.*").filter("size > 0")
+    cuts = stage(pairs.join(templates, ["host", "hash", "rule"]).groupBy("row").agg(
+        F.collect_list(F.struct("at", "size")).alias("cuts")), "cuts")
+    drop_staged(templates)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [Page(h).text(set(t or ())) for h, t in
-                 zip(texts_of(batch, "html"), batch.column("templates").to_pylist(), strict=True)]
+        texts = [without(t, c or []) for t, c in
+                 zip(texts_of(batch, "text"), batch.column("cuts").to_pylist(), strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             ["page_id", "url", "text", "n_chars"])
 
-    known = rows.join(site_templates(rows, min_pages, page_share), "host", "left").select("page_id", "url", "html", "templates")
-    return known.mapInArrow(by_pieces(work, "html"), f"page_id {kind}, url string, text string, n_chars long")
+    known = read.select("row", "page_id", "url", "text").join(cuts, "row", "left").select("page_id", "url", "text", "cuts")
+    return known.mapInArrow(by_pieces(work, "text"), f"page_id {kind}, url string, text string, n_chars long")
+
+
+def without(text: str, cuts: list[dict]) -> str:
+    """The text less the cuts (nested or apart), with single spaces."""
+    out, until = [], 0
+    for at, size in sorted((c["at"], c["size"]) for c in cuts):
+        if at >= until:
+            out.append(text[until:at])
+        until = max(until, at + size)
+    return " ".join(" ".join([*out, text[until:]]).split())

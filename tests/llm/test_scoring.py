@@ -255,3 +255,20 @@ def test_templates(spark):
     assert texts[200] == "Subscribe now to our letter" and texts[201] == ""
     assert all(x.n_chars == len(x.text) for x in got)
     assert html_text.main_text(df.limit(0)).collect() == []
+
+
+def test_templates_by_count_on_a_large_host_and_in_the_article(spark):
+    rows = []
+    for i in range(60):
+        note = "<p>We moved to a new office</p>" if i % 10 == 0 else ""  # on a tenth of the pages
+        rows.append((i, "https://big.example/", f"<body>{note}<h2>{'Early life' if i % 10 == 1 else i}</h2><p>own words number {i}</p></body>"))
+        block = "<div><p>Sign up for our letter</p></div>" if i % 10 == 2 else ""
+        quote = "<p>a passage some articles quote</p>" if i % 10 == 3 else ""
+        rows.append((100 + i, "https://two.example/", f"<article><p>a long story with the number {i}</p>{block}{quote}"
+                     "<p>All rights reserved</p></article>"))
+    rows += [(200 + i, "https://three.example/", "<body><div><p>the same page again</p></div><p>end</p></body>") for i in range(9)]
+    got = {x.page_id: x.text for x in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(60):
+        assert got[i] == f"{'Early life' if i % 10 == 1 else i} own words number {i}"
+        assert got[100 + i] == f"a long story with the number {i}" + " a passage some articles quote" * (i % 10 == 3)
+    assert {got[200 + i] for i in range(9)} == {"the same page again end"}
