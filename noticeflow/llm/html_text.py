@@ -7,7 +7,8 @@ counts, per host, the different pages on which a subtree occurs; one that recurs
 pages. The (host, hash) pairs of each page are joined with the templates, so no list of them is
 held anywhere. Elements that say what they are (navigation, page headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) go on any page, by element, role,
-class or id.
+class or id; a name alone (whole, or a known compound) never drops what holds the main element, the only
+articles, or, on a page without these, more than half of the text.
 
 The article is the ``article`` element with the most text left, else the main element, else
 the whole body. What recurs by its nature needs more than a count:
@@ -57,6 +58,13 @@ DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo",
               "promoted", "recommended", "related", "replies", "share", "sharing", "sidebar", "signup", "skip", "social",
               "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+#: Words that may stand beside one of ``DROP_WORDS`` in a class or id: site-footer, share-buttons.
+BESIDE = {"alert", "area", "articles", "aside", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "col", "column", "container",
+          "desktop", "fixed", "form", "global", "group", "header", "heading", "icon", "icons", "id", "inner", "item", "items", "js", "large", "left", "link", "links", "list", "main",
+          "media", "message", "mobile", "outer", "overlay", "page", "panel", "policy", "post", "posts", "primary", "reader", "right", "row", "secondary", "section", "site", "slot", "small",
+          "stories", "strip", "text", "thread", "title", "top", "unit", "user", "wrap", "wrapper"}
+#: Why an element is dropped: for what it is, or for a name alone.
+BY_KIND, BY_NAME = 1, 2
 ROOTS = {"html", "body", "article", "main"}
 #: Blocks that recur by their nature, and blocks that hold others.
 LABELS = {"h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "thead", "caption", "figcaption", "legend", "summary", "option"}
@@ -66,9 +74,19 @@ BY_COUNT, BY_SHARE, BY_NEARLY_ALL = 0, 1, 2
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def named(names: str) -> bool:
+    """A class or id is one of ``DROP_WORDS``, or a compound of them and ``BESIDE`` words and numbers. So
+    with-sidebar, has-banner, content-widget or share-price say nothing."""
+    for name in names.split():
+        parts = [p for p in SPLIT.split(name) if p]
+        if any(p in DROP_WORDS for p in parts) and all(p in DROP_WORDS or p in BESIDE or p.isdigit() for p in parts):
+            return True
+    return False
+
+
 class Page(HTMLParser):
     """``parts``: texts, and None for a break. ``elements``: [tag, first part, end part, parent,
-    dropped, main, hash]."""
+    dropped (why), main, hash]."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -82,6 +100,8 @@ class Page(HTMLParser):
         self.close()
         while self.open:
             self.pop()
+        if any(e[4] == BY_NAME for e in self.elements):
+            self.clear_names()
 
     def add(self, part: str | None) -> None:
         self.parts.append(part)
@@ -121,11 +141,14 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         values = {k: (v or "").lower() for k, v in attrs}
-        names = set(SPLIT.split(f"{values.get('class', '')} {values.get('id', '')}"))
+        names = f"{values.get('class', '')} {values.get('id', '')}"
         role = values.get("role", "")
         framed = self.counts.get("article") or self.counts.get("main")
-        dropped = tag in DROP_TAGS or role in DROP_ROLES or (tag not in ROOTS or tag == "article" and bool(framed)) and bool(
-            names & DROP_WORDS) or tag == "header" and not framed or "hidden" in values
+        dropped = 0
+        if tag in DROP_TAGS or role in DROP_ROLES or tag == "header" and not framed or "hidden" in values:
+            dropped = BY_KIND
+        elif (tag not in ROOTS or tag == "article" and framed) and named(names):
+            dropped = BY_NAME
         main = tag == "main" or role == "main" or values.get("itemprop") == "articlebody"
         parent = self.open[-1] if self.open else -1
         self.open.append(len(self.elements))
@@ -143,15 +166,40 @@ class Page(HTMLParser):
         if self.inside:
             self.inside[-1].update(" ".join(data.split()).encode("utf-8", "replace"))
 
-    def kept(self, templates: set[int]) -> list[bool]:
+    def kept(self, templates: set[int], why: int = 0) -> list[bool]:
+        """Which parts are left without templates and what is dropped (for the reason ``why``, or any)."""
         keep = [True] * len(self.parts)
         until = 0
         for e in self.elements:
-            if e[1] >= until and (e[4] or templates and int.from_bytes(e[6], "little", signed=True) in templates):
+            if e[1] >= until and (e[4] and why in (0, e[4]) or templates and int.from_bytes(e[6], "little", signed=True) in templates):
                 keep[e[1]:e[2]] = [False] * (e[2] - e[1])
                 until = e[2]
         return keep
 
+    def clear_names(self) -> None:
+        """Names do not drop what holds a main element, or else the only articles, or else most of the text."""
+        def clear(at: int) -> None:
+            while at >= 0:
+                if self.elements[at][4] == BY_NAME:
+                    self.elements[at][4] = 0
+                at = self.elements[at][3]
+
+        for n, e in enumerate(self.elements):
+            if e[5] and e[4] != BY_KIND:
+                clear(n)
+        if self.article(self.kept(set())):
+            return
+        keep = self.kept(set(), BY_KIND)
+        sizes = list(accumulate((len(p.strip()) if k and p else 0 for p, k in zip(self.parts, keep)), initial=0))
+        size = lambda e: sizes[e[2]] - sizes[e[1]]
+        found = [n for n, e in enumerate(self.elements) if e[0] == "article" and size(e)]
+        if found:
+            clear(max(found, key=lambda n: (size(self.elements[n]), -n)))
+            return
+        for e in self.elements:
+            if e[4] == BY_NAME and 2 * size(e) > sizes[-1]:
+                e[4] = 0
+
     def article(self, keep: list[bool]) -> tuple[int, int] | None:
         """The range of the article, if there is one."""
         sizes = list(accumulate((len(p) if k and p else 0 for p, k in zip(self.parts, keep)), initial=0))

@@ -272,3 +272,20 @@ def test_templates_by_count_on_a_large_host_and_in_the_article(spark):
         assert got[i] == f"{'Early life' if i % 10 == 1 else i} own words number {i}"
         assert got[100 + i] == f"a long story with the number {i}" + " a passage some articles quote" * (i % 10 == 3)
     assert {got[200 + i] for i in range(9)} == {"the same page again end"}
+
+
+NAMES = [
+    *[(f"<div {n}><article><p>story</article></div>", "story") for n in (
+        "class='layout with-sidebar'", "class=no-sidebar", "class=has-banner", "class='page cookie-consent-ok'",
+        "id=content-widget", "class=sidebar", "class='widget site-footer'")],
+    ("<div class=sidebar><main><p>story</main></div>", "story"),
+    ("<article><section class=related-work>a</section><div class=share-price>b</div><p class=notice-period>c</p>"
+     "<div class=social-history>d</div><div class='share-buttons'>no</div><ul id=related_posts-2><li>no</ul></article>", "a b c d"),
+    ("<div class=widget>nearly all of the page's text is here</div><p>x</p><div class=ads>no</div>", "nearly all of the page's text is here x"),
+    ("<article>s</article><div class=comments><article>a comment longer than the story</article></div>", "s"),
+]
+
+
+@pytest.mark.parametrize("html, text", NAMES)
+def test_names(html, text):
+    assert html_text.Page(html).text(set()) == text
