@@ -19,6 +19,7 @@ from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.html_text import main_text
 from noticeflow.llm.ngram_join import ngram_join
+from noticeflow.llm.prefix_trie import conversations, key_of, prefix_trie
 from noticeflow.llm.shards import write_order
 from noticeflow.llm.suffix_dedup import suffix_dedup
 from noticeflow.llm.token_counts import count_tokens
@@ -119,3 +120,63 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
        doc_id = first_value(doc_id) OVER best AS kept, text_sha256
 FROM hashed WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 """
+
+
+def shared_starts(turns: DataFrame) -> DataFrame:
+    """conv_id and key of the conversations as the query rebuilds them: each begins with the first h turns
+    of the conversation with the next lower id divisible by 5, and goes on with its own turns after h."""
+    own = conversations(turns)
+    heads = own.filter("conv_id % 5 = 0").select(F.col("conv_id").alias("_base"), F.slice("ids", 1, 8).alias("_head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    own = own.withColumns({"_base": F.col("conv_id") - F.col("conv_id") % 5, "_h": h}).join(heads, "_base", "left")
+    head = F.coalesce(F.slice("_head", 1, F.col("_h")), F.array().cast("array<string>"))
+    return own.select("conv_id", key_of(F.concat(head, F.slice("ids", F.col("_h") + 1, F.size("ids")))).alias("key"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(shared_starts(table(spark, sf_dir, "conversations"))).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
+
+
+#: Unsigned CRC-32 of a decimal number, bit by bit.
+CRC32 = """xor(list_reduce(list_transform(range(1, strlen({0}::varchar) + 1), lambda i: ascii(substr({0}::varchar, i::int, 1))::bigint),
+  lambda c, x: list_reduce(list_concat([xor(c, x)], range(8)), lambda s, k: xor(s >> 1, 3988292384 * (s & 1))), 4294967295::bigint), 4294967295)"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC32.format('conv_id')} % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT i.conv_id, o.place, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.base AND o.place <= i.h
+  UNION ALL
+  SELECT i.conv_id, o.place, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.place > i.h),
+built AS (
+  SELECT i.conv_id, list(t.text ORDER BY t.place) FILTER (t.place IS NOT NULL) AS texts,
+         list([t.role, t.text] ORDER BY t.place) FILTER (t.place IS NOT NULL) AS path
+  FROM ids i LEFT JOIN turns t ON t.conv_id = i.conv_id GROUP BY i.conv_id),
+steps AS (
+  SELECT conv_id, d AS depth, coalesce(len(path), 0) = d AS here, coalesce(path[1:d], []) AS prefix,
+         CASE WHEN d = 0 THEN 0 ELSE strlen(texts[d]) END AS bytes
+  FROM (SELECT *, unnest(range(0, coalesce(len(path), 0) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (here), '')) AS ends_sha256
+  FROM steps GROUP BY prefix, depth),
+named AS (SELECT s.conv_id AS member, s.depth, n.conv_id FROM steps s JOIN nodes n USING (prefix, depth)),
+linked AS (
+  SELECT n.conv_id, n.depth, up.conv_id AS parent, n.n_convs, n.saved, n.ends_sha256
+  FROM nodes n LEFT JOIN named up ON up.member = n.conv_id AND up.depth = n.depth - 1),
+children AS (SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c USING (conv_id, depth)),
+below AS (
+  SELECT up.conv_id, up.depth, count(*) FILTER (c.n_children = 0) AS n_leaves, sum(c.saved) AS saved_tokens
+  FROM counted c JOIN named up ON up.member = c.conv_id AND up.depth <= c.depth GROUP BY ALL)
+SELECT c.conv_id, c.depth::bigint AS depth, c.parent AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves,
+       b.saved_tokens::bigint AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b USING (conv_id, depth)
+"""
