@@ -19,6 +19,7 @@ from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
 from noticeflow.llm.html_text import main_text
 from noticeflow.llm.ngram_join import ngram_join
+from noticeflow.llm.periodic_runs import periodic_runs
 from noticeflow.llm.prefix_trie import conversations, key_of, prefix_trie
 from noticeflow.llm.shards import write_order
 from noticeflow.llm.suffix_dedup import suffix_dedup
@@ -122,6 +123,37 @@ FROM hashed WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_i
 """
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of each tenth document, by h = crc32 of its id, the words from a on repeat with period p."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.when(hashed % 10 == 0, words).alias("_words"),
+                       F.floor(hashed / 10).alias("_g"))
+    n = F.size("_words")
+    rows = rows.withColumn("_a", (F.col("_g") % F.greatest(n, F.lit(1))).cast("int"))
+    # a + (i - a) % p for all i from a on: the p words from a on, at most 3 + g % 8 times.
+    times = (3 + F.col("_g") % 8).cast("int")
+    period = F.slice("_words", F.col("_a") + 1, 1 + F.floor((n - F.col("_a")) / times).cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), 1, n - F.col("_a"))
+    repeated = F.array_join(F.concat(F.slice("_words", 1, F.col("_a")), tail), " ")
+    return rows.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.withColumn("_best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("_best.start")).alias("start"), "_best.length",
+        (-F.col("_best.period")).alias("period"),
+        F.floor(1000 * F.col("_best.length") / -F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def shared_starts(turns: DataFrame) -> DataFrame:
     """conv_id and key of the conversations as the query rebuilds them: each begins with the first h turns
     of the conversation with the next lower id divisible by 5, and goes on with its own turns after h."""
