@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe, language, quality
+from noticeflow.llm import bpe, language, maxent, quality
 from noticeflow.llm.common import held_out, ship, table
 from noticeflow.llm.decontaminate import find_leaks
 from noticeflow.llm.exact_dedup import exact_dedup
@@ -123,6 +123,13 @@ FROM hashed WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_i
 """
 
 
+@query
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10, 0)
+    scored = maxent.score(docs, maxent.train(docs, exclude=out))
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and text; of each tenth document, by h = crc32 of its id, the words from a on repeat with period p."""
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
