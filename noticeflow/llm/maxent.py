@@ -35,6 +35,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,15 +44,17 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm.common import BATCH_BYTES, pieces, stage, texts_of
 
-HEAD, SLOTS, CLUSTERS = 2048, 64, 16
+HEAD, SLOTS, CLUSTERS = 1024, 32, 8
 VOCABULARY, KEY_BYTES = 1 << 19, 64
 NEAR = 64
 SUFFIXES = 4096
 BITS = 14
 ROWS = 1 << BITS
-ROUNDS, RATE, BATCH = 3, 0.3, 8192
+ROUNDS, RATE, BATCH = 2, 0.3, 16384
 COUNTER_WORDS = 400_000
 END = b""
+#: Tokens that a context reaches back.
+BACK = 2
 SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -150,15 +153,15 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         self.prepared = False
+        self.codes = np.array([zlib.crc32(w) for w in self.words] + [0x9E3779B9], np.uint64)
+        self.suffixes = np.array([suffix_of(w) for w in self.words], np.int64)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("numbers", "codes", "base", "share")} | {"prepared": False}
+        return {k: v for k, v in self.__dict__.items() if k not in ("numbers", "base", "share")} | {"prepared": False}
 
     def prepare(self) -> None:
         if not self.prepared:
-            self.numbers = Numbers(self.words)
-            self.codes = np.array([zlib.crc32(w) for w in self.words] + [0x9E3779B9], np.uint64)
-            self.base = self.share = None
+            self.numbers, self.base, self.share = Numbers(self.words), None, None
             self.prepared = True
 
     def log_base(self, counts: np.ndarray) -> np.ndarray:
@@ -166,9 +169,9 @@ class Lexicon:
 
     def log_share(self) -> np.ndarray:
         """log10 of the share of each word in its tail class; 0 for the head."""
-        suffixes = np.array([suffix_of(w) for w in self.words[self.head:]], np.int64)
+        tail = slice(self.head, None)
         return np.concatenate([np.zeros(self.head), np.log10(
-            (self.counts[self.head:] - self.discount) / self.tail_total[suffixes])])
+            (self.counts[tail] - self.discount) / self.tail_total[self.suffixes[tail]])])
 
     def log_unknown(self) -> np.ndarray:
         """By suffix: log10 of the share that unknown words have in the tail class."""
@@ -178,28 +181,26 @@ class Lexicon:
     def encode(self, texts: list[str]) -> Iterator[Tokens]:
         """The tokens of the texts in groups of bounded size."""
         self.prepare()
-        start, number, carry = self.numbers.start, self.numbers.__getitem__, ()
+        start, number, carry = self.numbers.start, self.numbers.__getitem__, None
         for group in units(texts):
-            flat, text, sizes = [], [], []
-            for i, words, first, last in group:
-                before = [start] * 3 if first else carry
-                ids = [*before, *map(number, words)]
-                if last:
-                    ids.append(0)
-                flat += ids
-                text.append(i)
-                sizes.append(len(ids))
-                carry = ids[-3:]
+            text, words, first, last = (list(x) for x in zip(*group, strict=True))
+            sizes = np.array([len(w) for w in words])
+            lengths = sizes + BACK + np.array(last)
+            begins = np.cumsum(lengths) - lengths
+            stream = np.zeros(int(lengths.sum()), np.int64)  # 0 is the end of a text
+            is_word, inside = np.ones(len(stream), bool), np.ones(len(stream), bool)
+            for back in range(BACK):
+                inside[begins + back] = is_word[begins + back] = False
+                stream[begins + back] = start
+            is_word[(begins + lengths - 1)[np.array(last)]] = False
+            if not first[0] and carry is not None:
+                stream[:BACK] = carry
+            stream[is_word] = np.fromiter(map(number, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+            if not last[-1]:  # the next slice goes on after this one's last words; its new words have other numbers
+                carry = np.where(stream[-BACK:] <= start, stream[-BACK:], start)
             met = [key_of(w) for w in self.numbers.met]
             self.numbers.forget()
-            if not group[-1][3]:  # the next slice meets words of its own
-                carry = [n if n <= start else start for n in carry]
-            stream = np.array(flat, np.int64)
-            begins = np.cumsum(sizes) - sizes
-            inside = np.ones(len(stream), bool)
-            for back in range(3):
-                inside[begins + back] = False
-            yield Tokens(self, stream, np.flatnonzero(inside), np.repeat(np.array(text), np.array(sizes))[inside], met)
+            yield Tokens(self, stream, np.flatnonzero(inside), np.repeat(np.array(text), lengths)[inside], met)
 
 
 class Tokens:
@@ -232,9 +233,9 @@ def bucket(kind: int, *values: np.ndarray) -> np.ndarray:
     return ((mixed * ODD[0]) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
-def added_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different rows, the sum of the values of each, and how many there were. Sums are made for all
-    rows at once, a value at a time; the few rows with more than eight values are then summed alone."""
+def add_rows(rows: np.ndarray, values: np.ndarray, into: np.ndarray) -> None:
+    """Add each value to its row of ``into``. All rows are gone through at once, a value at a time; the few
+    rows with more than eight values are then summed alone."""
     order = np.argsort(rows, kind="stable")
     rows, values = rows[order], values.take(order, axis=0)
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
@@ -245,7 +246,7 @@ def added_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
         more = more[n[more] > k + 1]
     for i in more.tolist():
         out[i] += values[starts[i] + 8:starts[i] + n[i]].sum(0)
-    return rows[starts], out, n
+    into[rows[starts]] += out
 
 
 class Softmax:
@@ -262,15 +263,19 @@ class Softmax:
 
     def learn(self, rows: list[np.ndarray], error: np.ndarray, sums: np.ndarray, touched: np.ndarray, rate: float) -> None:
         """One step along the gradient; ``sums`` of its squares set the length of the step in each weight."""
+        gradient = np.zeros_like(self.table)
         for column in rows:
-            hit, gradient, n = added_rows(column, error)
-            squares = sums.take(hit, axis=0) + gradient * gradient
-            sums[hit] = squares
-            gradient /= np.sqrt(squares)
-            gradient *= -rate
-            gradient += self.table.take(hit, axis=0)
-            self.table[hit] = gradient
-            touched[hit] += n
+            if column[0] == ROWS and (column == ROWS).all():  # one bias for all
+                gradient[ROWS] += error.sum(0)
+            else:
+                add_rows(column, error, gradient)
+            touched += np.bincount(column, minlength=len(touched))
+        squares = gradient * gradient
+        sums += squares
+        np.sqrt(sums, out=squares)
+        gradient /= squares
+        gradient *= rate
+        self.table -= gradient
 
 
 def softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -306,18 +311,22 @@ class Model:
     def tables(self) -> list[np.ndarray]:
         return [self.outer.table, self.inner.table]
 
+    @property
+    def width(self) -> int:
+        return max(t.shape[1] for t in self.tables)
+
     def batches(self, tokens: Tokens) -> Iterator[tuple]:
         """Per batch its places, classes, class features, which tokens are in the head, slots and slot features."""
         lexicon = self.lexicon
         classes = tokens.by_id(lexicon.classes, lexicon.tail_class[tokens.suffixes])
         for at in range(0, len(tokens.ids), BATCH):
             part = slice(at, at + BATCH)
-            a, b, c = (tokens.before(back, part) for back in (1, 2, 3))
+            a, b = tokens.before(1, part), tokens.before(2, part)
             own = classes[part]
-            outer = [np.full(len(own), ROWS, np.uint16), bucket(1, a), bucket(2, a, b), bucket(3, b), bucket(4, c)]
+            outer = [np.full(len(own), ROWS, np.uint16), bucket(1, a), bucket(2, a, b), bucket(3, b)]
             head = np.flatnonzero(tokens.ids[part] < lexicon.head)
             group = own[head].astype(np.uint64)
-            inner = [(ROWS + own[head]).astype(np.uint16), bucket(5, a[head], group), bucket(6, b[head], group)]
+            inner = [(ROWS + own[head]).astype(np.uint16), bucket(4, a[head], group), bucket(5, b[head], group)]
             yield part, own, outer, head, lexicon.slots[tokens.ids[part][head]], inner
 
     def log_features(self, tokens: Tokens) -> np.ndarray:
@@ -440,15 +449,15 @@ def neighbours(sent, text: str = "_text"):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, sums = sent.value, np.zeros((HEAD + SUFFIXES) * NEAR)
         lexicon.prepare()
-        suffix = np.array([suffix_of(w) for w in lexicon.words], np.int64)
-        row = np.where(np.arange(len(suffix)) < lexicon.head, np.arange(len(suffix)), HEAD + suffix)
+        numbers = np.arange(len(lexicon.words))
+        row = np.where(numbers < lexicon.head, numbers, HEAD + lexicon.suffixes)
         for batch in batches:
             for piece in pieces(batch, text):
                 for tokens in lexicon.encode(texts_of(piece, text)):
                     rows = tokens.by_id(row, HEAD + tokens.suffixes) * NEAR
-                    for beside, own in ((tokens.stream[tokens.places - 1], rows), (tokens.ids[1:], rows[:-1])):
-                        near = beside < min(NEAR, len(lexicon.words))
-                        sums += np.bincount(own[near] + beside[near], minlength=len(sums))
+                    beside = np.concatenate([tokens.stream[tokens.places - 1], tokens.ids[1:]])
+                    near = np.flatnonzero(beside < min(NEAR, len(lexicon.words)))
+                    sums += np.bincount(np.concatenate([rows, rows[:-1]])[near] + beside[near], minlength=len(sums))
         sums = sums.reshape(-1, NEAR)
         some = np.flatnonzero(sums.any(1))
         if len(some):  # shares as half floats, with the total as weight
@@ -480,7 +489,7 @@ def classify(lexicon: Lexicon, counts: DataFrame, beside: np.ndarray) -> None:
             F.sum("c").alias("c"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") == 1).alias("once"),
             F.count_if(F.col("c") == 2).alias("twice")).collect():
         table[r.suffix] = r.c, r.n, r.once, r.twice
-    suffixes = np.array([suffix_of(w) for w in lexicon.words], np.int64)
+    suffixes = lexicon.suffixes
     for i in head:  # the head is not in the tail
         c = lexicon.counts[i]
         table[suffixes[i]] -= c, 1, c == 1, c == 2
@@ -505,7 +514,7 @@ def one_round(sent, rate: float):
         offset = 0
         for table, start, n in zip(model.tables, starts, touched, strict=True):
             hit = np.flatnonzero(n)
-            wide = np.zeros((len(hit), SLOTS), np.float16)
+            wide = np.zeros((len(hit), model.width), np.float16)
             wide[:, :table.shape[1]] = table[hit] - start[hit]
             for at in range(0, len(hit), 4096):
                 yield vectors(offset + hit[at:at + 4096], n[hit[at:at + 4096]], wide[at:at + 4096])
@@ -539,11 +548,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, ex
     for turn in range(rounds if lexicon.tokens else 0):
         part = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(rounds)) == turn).select("_text")
         sent = spark.sparkContext.broadcast(model)
-        n, sums = added(part.mapInArrow(one_round(sent, rate / (1 + turn)), VECTORS), SLOTS, sum(map(len, model.tables)))
+        n, sums = added(part.mapInArrow(one_round(sent, rate / (1 + turn)), VECTORS), model.width, sum(map(len, model.tables)))
         sent.unpersist()
         mean = sums / np.maximum(n, 1)[:, None]
         model.outer.table += mean[:ROWS + 1, :model.outer.table.shape[1]].astype(np.float32)
-        model.inner.table += mean[ROWS + 1:].astype(np.float32)
+        model.inner.table += mean[ROWS + 1:, :SLOTS].astype(np.float32)
     return Trained(model, counts)
 
 
