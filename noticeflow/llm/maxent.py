@@ -35,7 +35,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,8 +78,8 @@ def slices(raw: bytes, limit: int = BATCH_BYTES) -> Iterator[bytes]:
     yield raw[at:] if at else raw
 
 
-def units(texts: Iterable[str], limit: int = BATCH_BYTES) -> Iterator[list[tuple[int, list[bytes], bool, bool]]]:
-    """Groups of (text, words, is its first slice, is its last) with about ``limit`` bytes together."""
+def units(texts: Iterable[str], limit: int = BATCH_BYTES) -> Iterator[list[tuple[int, bytes, bool, bool]]]:
+    """Groups of (text, slice, is its first, is its last) with about ``limit`` bytes together; A-Z in lower case."""
     group, size = [], 0
     for i, text in enumerate(texts):
         parts = list(slices(text.encode().lower(), limit))
@@ -88,7 +87,7 @@ def units(texts: Iterable[str], limit: int = BATCH_BYTES) -> Iterator[list[tuple
             if group and size + len(part) > limit:
                 yield group
                 group, size = [], 0
-            group.append((i, part.split(), n == 0, n == len(parts) - 1))
+            group.append((i, part, n == 0, n == len(parts) - 1))
             size += len(part)
     if group:
         yield group
@@ -105,8 +104,8 @@ def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "_text"):
             for group in units(texts_of(piece, "_text")):
-                for _, words, _, last in group:
-                    counts.update(words)
+                for _, part, _, last in group:
+                    counts.update(part.split())
                     counts[END] += last
                 if len(counts) > COUNTER_WORDS:
                     yield out()
@@ -115,23 +114,66 @@ def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class Numbers(dict):
-    """Word to number: END is 0, known words 1 to n; then the start of a text, and words met on
-    the way, which ``forget`` takes out again."""
+_IS_SPACE = np.isin(np.arange(256), list(SPACE))
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+ODD = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * ODD[3]
+    x = (x ^ x >> np.uint64(29)) * ODD[0]
+    return x ^ x >> np.uint64(32)
 
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words))))
-        self.start, self.met = len(words), []
 
-    def __missing__(self, word: bytes) -> int:
-        self.met.append(word)
-        self[word] = n = self.start + len(self.met)
-        return n
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the words of a text that begins and ends with a space."""
+    space = _IS_SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    return edges[::2], edges[1::2] - edges[::2]
 
-    def forget(self) -> None:
-        for word in self.met:
-            del self[word]
-        self.met = []
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64 bits for each word: its length and its bytes, eight at a time, mixed one after the other."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    out = mixed(lengths.astype(np.uint64) * ODD[1])
+    live, at, left = np.arange(len(starts)), starts, lengths
+    while len(live):
+        chunk = eights[at] & _MASKS[np.minimum(left, 8)]
+        out[live] = mixed(out[live] ^ chunk)
+        on = left > 8
+        live, at, left = live[on], at[on] + 8, left[on] - 8
+    return out
+
+
+class HashIndex:
+    """Numbers of known words by their hash: an open table four times as large as they are many."""
+
+    def __init__(self, words: list[bytes]):
+        lengths = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        self.hashes = word_hashes(data, np.cumsum(lengths) - lengths, lengths)
+        self.mask = np.uint64((4 << max(len(words), 1).bit_length()) - 1)
+        self.table = np.full(int(self.mask) + 1, -1, np.int32)
+        at, pending = (self.hashes & self.mask).astype(np.int64), np.arange(len(words))
+        while len(pending):
+            own = at[pending]
+            free = self.table[own] < 0
+            self.table[own[free]] = pending[free]
+            pending = pending[self.table[own] != pending]
+            at[pending] = at[pending] + 1 & int(self.mask)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 for an unknown one."""
+        out = np.full(len(hashes), -1, np.int64)
+        at, live = (hashes & self.mask).astype(np.int64), np.arange(len(hashes))
+        while len(live):
+            there = self.table[at]
+            same = (there >= 0) & (self.hashes[there] == hashes[live])
+            out[live[same]] = there[same]
+            on = (there >= 0) & ~same
+            live, at = live[on], at[on] + 1 & int(self.mask)
+        return out
 
 
 @dataclass
@@ -157,11 +199,11 @@ class Lexicon:
         self.suffixes = np.array([suffix_of(w) for w in self.words], np.int64)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("numbers", "base", "share")} | {"prepared": False}
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "base", "share")} | {"prepared": False}
 
     def prepare(self) -> None:
         if not self.prepared:
-            self.numbers, self.base, self.share = Numbers(self.words), None, None
+            self.index, self.base, self.share = HashIndex(self.words), None, None
             self.prepared = True
 
     def log_base(self, counts: np.ndarray) -> np.ndarray:
@@ -181,10 +223,21 @@ class Lexicon:
     def encode(self, texts: list[str]) -> Iterator[Tokens]:
         """The tokens of the texts in groups of bounded size."""
         self.prepare()
-        start, number, carry = self.numbers.start, self.numbers.__getitem__, None
+        start, carry = len(self.words), None
         for group in units(texts):
-            text, words, first, last = (list(x) for x in zip(*group, strict=True))
-            sizes = np.array([len(w) for w in words])
+            text, raw, first, last = (list(x) for x in zip(*group, strict=True))
+            blob = b" " + b" ".join(raw) + b" "
+            data = np.frombuffer(blob, np.uint8)
+            words, widths = word_bounds(data)
+            hashes = word_hashes(data, words, widths)
+            ids = self.index.numbers(hashes)
+            unknown = np.flatnonzero(ids < 0)
+            _, at, which = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            ids[unknown] = start + 1 + which
+            met = [key_of(blob[a:a + n]) for a, n in zip(words[unknown[at]].tolist(), widths[unknown[at]].tolist(), strict=True)]
+
+            offsets = np.cumsum([0, *(len(r) + 1 for r in raw)])
+            sizes = np.diff(np.searchsorted(words, offsets + 1))
             lengths = sizes + BACK + np.array(last)
             begins = np.cumsum(lengths) - lengths
             stream = np.zeros(int(lengths.sum()), np.int64)  # 0 is the end of a text
@@ -195,11 +248,9 @@ class Lexicon:
             is_word[(begins + lengths - 1)[np.array(last)]] = False
             if not first[0] and carry is not None:
                 stream[:BACK] = carry
-            stream[is_word] = np.fromiter(map(number, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+            stream[is_word] = ids
             if not last[-1]:  # the next slice goes on after this one's last words; its new words have other numbers
                 carry = np.where(stream[-BACK:] <= start, stream[-BACK:], start)
-            met = [key_of(w) for w in self.numbers.met]
-            self.numbers.forget()
             yield Tokens(self, stream, np.flatnonzero(inside), np.repeat(np.array(text), lengths)[inside], met)
 
 
@@ -209,7 +260,7 @@ class Tokens:
     def __init__(self, lexicon: Lexicon, stream: np.ndarray, places: np.ndarray, text: np.ndarray, met: list[bytes]):
         self.stream, self.places, self.text, self.met = stream, places, text, met
         self.ids = stream[places]
-        self.first_met = lexicon.numbers.start + 1
+        self.first_met = len(lexicon.words) + 1
         self.suffixes = np.array([suffix_of(w) for w in met], np.int64)
         self.codes = np.concatenate([lexicon.codes, np.array([zlib.crc32(w) for w in met], np.uint64)])
 
@@ -221,16 +272,13 @@ class Tokens:
         return np.concatenate([known, known[:1], met])[self.ids]
 
 
-ODD = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-
-
 def bucket(kind: int, *values: np.ndarray) -> np.ndarray:
     """Row of a hashed feature."""
-    mixed = np.full(1, kind, np.uint64)
+    out = np.full(1, kind, np.uint64)
     for value, odd in zip(values, ODD, strict=False):
-        mixed = (mixed ^ (value * odd)) * ODD[3]
-        mixed ^= mixed >> np.uint64(31)
-    return ((mixed * ODD[0]) >> np.uint64(64 - BITS)).astype(np.uint16)
+        out = (out ^ (value * odd)) * ODD[3]
+        out ^= out >> np.uint64(31)
+    return ((out * ODD[0]) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
 def add_rows(rows: np.ndarray, values: np.ndarray, into: np.ndarray) -> None:
@@ -278,13 +326,24 @@ class Softmax:
         self.table -= gradient
 
 
-def softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithms of the sums that they were divided by (in place)."""
-    logits -= logits.max(1, keepdims=True)
-    out = np.exp(logits)
-    total = out.sum(1, keepdims=True)
-    out /= total
-    return out, np.log(total[:, 0])
+def powers(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the logits and their sum in each row. Rows out of range are first moved (in place) so
+    that their greatest logit is 0; others need not be, as that changes no probability."""
+    with np.errstate(over="ignore"):
+        out = np.exp(logits)
+        total = out @ np.ones(out.shape[1], out.dtype)
+    odd = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
+    if len(odd):
+        logits[odd] -= logits[odd].max(1, keepdims=True)
+        out[odd] = np.exp(logits[odd])
+        total[odd] = out[odd].sum(1)
+    return out, total
+
+
+def softmax(logits: np.ndarray) -> np.ndarray:
+    out, total = powers(logits)
+    out /= total[:, None]
+    return out
 
 
 class Model:
@@ -334,22 +393,25 @@ class Model:
         out = np.empty(len(tokens.ids))
         for part, own, outer, head, slots, inner in self.batches(tokens):
             logits = self.outer.logits(outer)
-            _, total = softmax(logits)
-            log = logits[np.arange(len(own)), own].astype(np.float64) - total
+            _, total = powers(logits)
+            log = logits[np.arange(len(own)), own].astype(np.float64) - np.log(total)
             if len(head):
-                logits = self.inner.logits(inner) + self.closed[own[head]]
-                _, total = softmax(logits)
-                log[head] += logits[np.arange(len(head)), slots] - total
+                logits = self.inner.logits(inner)
+                logits += self.closed.take(own[head], axis=0)
+                _, total = powers(logits)
+                log[head] += logits[np.arange(len(head)), slots] - np.log(total)
             out[part] = log
         return out
 
     def learn(self, tokens: Tokens, sums: list[np.ndarray], touched: list[np.ndarray], rate: float) -> None:
         for _, own, outer, head, slots, inner in self.batches(tokens):
-            error, _ = softmax(self.outer.logits(outer))
+            error = softmax(self.outer.logits(outer))
             error[np.arange(len(own)), own] -= 1
             self.outer.learn(outer, error, sums[0], touched[0], rate)
             if len(head):
-                error, _ = softmax(self.inner.logits(inner) + self.closed[own[head]])
+                logits = self.inner.logits(inner)
+                logits += self.closed.take(own[head], axis=0)
+                error = softmax(logits)
                 error[np.arange(len(head)), slots] -= 1
                 self.inner.learn(inner, error, sums[1], touched[1], rate)
 

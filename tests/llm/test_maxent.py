@@ -159,7 +159,7 @@ def test_a_step_follows_the_gradient():
         up[i, j] += 1e-4
         down[i, j] -= 1e-4
         slope[i, j] = (loss(up) - loss(down)) / 2e-4
-    error, _ = mx.softmax(soft.logits(rows))
+    error = mx.softmax(soft.logits(rows))
     error[np.arange(50), target] -= 1
     sums, touched = np.ones_like(soft.table), np.zeros(10)
     soft.learn(rows, error, sums, touched, 0.1)
@@ -167,6 +167,12 @@ def test_a_step_follows_the_gradient():
     assert touched.tolist() == np.bincount(np.concatenate(rows), minlength=10).tolist()
 
 
+def test_rows_out_of_range():
+    far = np.array([[900, 899, -900], [-900, -901, -902], [0, 1, 2]], np.float32)
+    want = np.exp(far.astype(float) - far.max(1, keepdims=True).astype(float))
+    assert np.allclose(mx.softmax(far.copy()), want / want.sum(1, keepdims=True), atol=1e-6)
+
+
 def test_sums_by_row():
     r = np.random.default_rng(5)
     for n, kinds in ((1, 1), (300, 5), (300, 200), (64, 64)):
@@ -178,6 +184,23 @@ def test_sums_by_row():
         assert np.allclose(want, into, atol=1e-4)
 
 
+def test_words_and_their_numbers():
+    r = random.Random(7)
+    text = " " + "".join(r.choice("ab\x00 \n\x0b\x85é") for _ in range(5000)) + " " + "w" * 70 + " " + "w" * 71 + "\t"
+    raw = text.encode()
+    data = np.frombuffer(raw, np.uint8)
+    starts, lengths = mx.word_bounds(data)
+    words = [raw[a:a + n] for a, n in zip(starts, lengths)]
+    assert words == raw.split()
+    hashes = mx.word_hashes(data, starts, lengths)
+    by_word = dict(zip(words, hashes.tolist()))
+    assert len(set(by_word.values())) == len(by_word) and [by_word[w] for w in words] == hashes.tolist()
+    known = sorted(by_word)[::2]
+    index = mx.HashIndex([mx.END, *known])
+    assert index.numbers(hashes).tolist() == [known.index(w) + 1 if w in known else -1 for w in words]
+    assert mx.HashIndex([mx.END]).numbers(hashes).max() == -1
+
+
 def test_slices_keep_words_and_contexts(monkeypatch):
     r = random.Random(8)
     text = "".join(r.choice("ab \n\x85é") for _ in range(3000))
@@ -188,7 +211,7 @@ def test_slices_keep_words_and_contexts(monkeypatch):
     whole = mx.Lexicon([mx.END, *words], np.ones(len(words) + 1), 10, 5, 3)
     (one,) = whole.encode([text])
     parts = [g for unit in [mx.units] for g in unit([text], 60)]
-    assert sum(len(w) for g in parts for _, w, _, _ in g) == len(raw.split())
+    assert sum(len(x.split()) for g in parts for _, x, _, _ in g) == len(raw.split())
     monkeypatch.setattr(mx.units, "__defaults__", (60,))
     many = list(whole.encode(["a b", text, "", "b"]))
     assert len(many) > 10
