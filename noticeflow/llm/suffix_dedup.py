@@ -8,22 +8,23 @@ strings end up side by side.
 Buckets. Of the 32-byte grams of a string, the one with the smallest hash (the leftmost of
 equals) is its anchor. Starts in a row with one anchor, in one half of the string, form a
 segment; they all contain the same 216 bytes beside the anchor, whose hash is the bucket's
-group. Equal strings always have the same group. A group with one segment is done: nothing in
-it repeats. Segments of equal content are counted, not sorted: twice the same content means
-that every start in it repeats. Only groups with several contents are sorted, one copy of
-each content.
+group. Equal strings always have the same group; a collision only puts more into a bucket. A group
+with one segment is done: nothing in it repeats. Segments of equal content, told by 16 bytes of
+BLAKE2b over all of it, are counted, not sorted: twice the same content means that every start
+in it repeats. Only groups with several contents are sorted, one copy of each content.
 
 Sorting a bucket. Suffixes at the positions of a difference cover modulo 31 are ranked first,
 by 32 bytes and then by doubling, to a depth of over ``LENGTH``. The starts are sorted by their
 first 32 bytes. For any two starts the cover has a shift below 31 that takes both to ranked
 positions, so a tie is settled by two ranks however long it is. Neighbours in this order are
 compared over all ``LENGTH`` bytes. Memory is bounded by the bucket, ``BUCKET_BYTES``. A group of
-more than ``HOT`` contents, which may not fit a task, is split by single starts instead: two
-independent hashes of their ``LENGTH`` bytes are counted by Spark.
+more than ``HOT`` contents, which may not fit a task, is split by single starts instead: 16 bytes
+of BLAKE2b over their ``LENGTH`` bytes are counted by Spark.
 
 Edge cases. Null counts as empty; texts under ``LENGTH`` bytes lose nothing. Texts that are
 equal are one text with several rows. Rows that repeat an id give a row each, null ids too. An
-empty table gives no rows; extra columns are not read.
+empty table gives no rows; extra columns are not read. A text is worked on whole; one of more than
+``LONGEST`` bytes is an error, not cut.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm.common import by_pieces, drop_staged, stage
 from noticeflow.llm.membership import bitmap, probe
-from noticeflow.llm.ngram_join import POWERS, Powers, mixed, runs
+from noticeflow.llm.ngram_join import POWERS, mixed, runs
 
 LENGTH = 400
 GRAM = 32
@@ -50,7 +51,7 @@ PLACE = np.uint64((1 << 30) - 1)
 BUCKET_BYTES = 4 << 20
 HOT = 4096
 PERIOD, COVER = 31, np.array([1, 5, 11, 24, 25, 27])
-SECOND = Powers(0x9E3779B97F4A7C15 | 5)
+LONGEST = 1 << 30
 
 
 def shifts() -> np.ndarray:
@@ -80,6 +81,10 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n - width + 1], left[width - 1:n])
 
 
+def content_hash(data: memoryview) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """Segments of the texts data[bounds[i]:bounds[i + 1]]: text, group, content, start (in
     the text), number of starts."""
@@ -99,8 +104,9 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     common = np.where(second, place - HALF, place)
     group = mixed(POWERS.ranges(data, common, np.where(second, place + GRAM, place + LENGTH - HALF + 1)) * np.uint64(2)
                   + second.astype(np.uint64))
-    content = SECOND.ranges(data, first, end - 1 + LENGTH)
-    return text[first], group.view(np.int64), content.view(np.int64), first - bounds[text[first]], end - first
+    view = memoryview(data)
+    content = np.array([content_hash(view[a:b]) for a, b in zip(first.tolist(), (end - 1 + LENGTH).tolist(), strict=True)], "V16")
+    return text[first], group.view(np.int64), content, first - bounds[text[first]], end - first
 
 
 def find_segments(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -108,13 +114,17 @@ def find_segments(batch: pa.RecordBatch) -> pa.RecordBatch:
     text that repeats a word over and over has few rows."""
     raw = [t.encode() for t in batch.column("text").to_pylist()]
     sizes = np.array([len(r) for r in raw])
+    if sizes.max(initial=0) > LONGEST:
+        raise ValueError(f"a text of {sizes.max()} bytes; at most {LONGEST} can be searched for repeats")
     counts = np.zeros(len(raw), np.int64)
-    group = content = start = n = first = np.zeros(0, np.int64)
+    group = start = n = first = np.zeros(0, np.int64)
+    content = np.zeros(0, "V16")
     long = np.flatnonzero(sizes >= LENGTH)
     if len(long):
         bounds = np.concatenate([[0], np.cumsum(sizes[long])])
         text, group, content, start, n = segments(np.frombuffer(b"".join(raw[i] for i in long.tolist()), np.uint8), bounds)
-        order = np.lexsort((start, content, text))
+        halves = content.view(np.int64).reshape(-1, 2)
+        order = np.lexsort((start, halves[:, 0], halves[:, 1], text))
         text, group, content, start, n = (x[order] for x in (text, group, content, start, n))
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (content[1:] != content[:-1])
@@ -122,7 +132,7 @@ def find_segments(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts[long] = np.bincount(text[first], minlength=len(long))
     starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(start)).astype(np.int32)), pa.array(start.astype(np.int32)))
     rows = pa.StructArray.from_arrays(
-        [pa.array(group[first]), pa.array(content[first]), pa.array(n[first].astype(np.int32)), starts],
+        [pa.array(group[first]), pa.array(content[first].tolist(), pa.binary()), pa.array(n[first].astype(np.int32)), starts],
         ["group", "content", "n", "starts"])
     ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     return pa.RecordBatch.from_arrays(
@@ -226,7 +236,7 @@ def cut_segments(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     rows = [(s["group"], s["content"], s["n"], raw[s["start"]:s["start"] + s["n"] - 1 + LENGTH])
             for raw, wanted in zip((t.encode() for t in batch.column("text").to_pylist()),
                                    batch.column("wanted").to_pylist(), strict=True) for s in wanted]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                       ["group", "content", "n", "bytes"])
 
@@ -247,7 +257,7 @@ def sort_buckets(batches):
         flags = repeated_starts(np.frombuffer(b"".join(b[3] for b in bucket), np.uint8), base + within)
         rows = [(b[0], b[1], x, y) for b, own in zip(bucket, np.split(flags, np.cumsum(counts)[:-1]), strict=True)
                 if own.any() for x, y in stretches(own)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                           ["group", "content", "first", "last"])
 
@@ -263,15 +273,13 @@ def sort_buckets(batches):
 
 
 def single_starts(batches):
-    """Two hashes of every start's string, for groups too large to sort in a task."""
+    """A hash of every start's string, for groups too large to sort in a task."""
     for batch in batches:
         for g, c, n, raw in zip(*(batch.column(x).to_pylist() for x in ("group", "content", "n", "bytes")), strict=True):
-            data, at = np.frombuffer(raw, np.uint8), np.arange(n)
+            view = memoryview(raw)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(POWERS.ranges(data, at, at + LENGTH).view(np.int64)),
-                 pa.array(SECOND.ranges(data, at, at + LENGTH).view(np.int64)),
-                 pa.array(np.full(n, g)), pa.array(np.full(n, c)), pa.array(at.astype(np.int32))],
-                ["h1", "h2", "group", "content", "first"])
+                [pa.array([content_hash(view[at:at + LENGTH]) for at in range(n)], pa.binary()), pa.array(np.full(n, g)),
+                 pa.array([c] * n, pa.binary()), pa.array(np.arange(n, dtype=np.int32))], ["string", "group", "content", "first"])
 
 
 def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -304,7 +312,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = base.schema["doc_id"].dataType.simpleString()
     found = stage(base.select("doc_id", "key", "text").mapInArrow(
         by_pieces(find_segments, "text"),
-        f"doc_id {kind}, key binary, n_bytes long, segments array<struct<group:long,content:long,n:int,starts:array<int>>>"), "segments")
+        f"doc_id {kind}, key binary, n_bytes long, segments array<struct<group:long,content:binary,n:int,starts:array<int>>>"), "segments")
     rows = found.select("key", F.explode("segments").alias("s")).select("key", "s.*", F.size("s.starts").alias("_times"))
     shared = stage(rows.groupBy("group").agg(F.sum("_times").alias("_all")).filter("_all > 1").select("group"), "groups")
     kept = stage(rows.join(shared, "group").groupBy("key", "group", "content", "n", "starts").agg(
@@ -323,17 +331,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def cut(part: DataFrame) -> DataFrame:
         lists = part.groupBy("key").agg(F.collect_list("segment").alias("wanted"))
         return texts.join(lists, "key").select("text", "wanted").mapInArrow(
-            by_pieces(cut_segments, "text"), "group long, content long, n int, bytes binary")
+            by_pieces(cut_segments, "text"), "group long, content binary, n int, bytes binary")
 
     ordered = cut(wanted.filter("not is_hot")).repartition("group").sortWithinPartitions("group").mapInArrow(
-        sort_buckets, "group long, content long, first int, last int")
+        sort_buckets, "group long, content binary, first int, last int")
     hits = contents.filter("times > 1").select("group", "content", F.lit(0).alias("first"), F.col("at.n").alias("last"))
     hits = hits.unionByName(ordered)
     if several.filter(F.col("variants") > hot).limit(1).count():
         starts = stage(cut(wanted.filter("is_hot")).mapInArrow(
-            single_starts, "h1 long, h2 long, group long, content long, first int"), "starts")
-        twice = stage(starts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1"), "twice")
-        hits = hits.unionByName(starts.join(twice, ["h1", "h2"]).select(
+            single_starts, "string binary, group long, content binary, first int"), "starts")
+        twice = stage(starts.groupBy("string").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1"), "twice")
+        hits = hits.unionByName(starts.join(twice, "string").select(
             "group", "content", "first", (F.col("first") + 1).alias("last")))
     hits = stage(hits, "hits")
     spans = kept.join(hits, ["group", "content"]).select("key", "first", "last", F.explode("starts").alias("start")).groupBy("key").agg(F.collect_set(F.struct(
