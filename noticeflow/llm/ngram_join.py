@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -96,18 +97,26 @@ class Powers:
 POWERS = Powers()
 
 
+def word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 def shingles(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the five-grams of all texts (each a non-empty list of words), and the place of
-    each text's first."""
-    data = np.frombuffer((" ".join(" ".join(t) for t in texts) + " ").encode(), np.uint8)
-    ends = np.flatnonzero(data == 32)
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    each text's first. Words are hashed with BLAKE2b, once each, and their hashes mixed one after the
+    other, so that no two five-grams that differ are made equal by the form of the hash."""
+    codes = {w: word_hash(w) for w in set().union(*texts)}
+    data = np.fromiter(map(codes.__getitem__, chain.from_iterable(texts)), np.uint64)
     counts = np.array([len(t) for t in texts])
     own = np.maximum(counts - SHINGLE + 1, 1)
     first = np.concatenate([[0], np.cumsum(own)])[:-1]
     word = np.repeat(np.cumsum(counts) - counts, own) + np.arange(own.sum()) - np.repeat(first, own)
-    last = word + np.repeat(np.minimum(counts, SHINGLE), own) - 1
-    return POWERS.ranges(data, starts[word], ends[last]), first
+    span = np.repeat(np.minimum(counts, SHINGLE), own)
+    out = span.astype(np.uint64)
+    for k in range(SHINGLE):
+        inside = np.flatnonzero(k < span)
+        out[inside] = mixed(out[inside] * MIX + data[word[inside] + k])
+    return out, first
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -7,12 +7,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from noticeflow.llm import suffix_dedup as sd
 from noticeflow.llm.components import components
 from noticeflow.llm.exact_dedup import exact_dedup
-from noticeflow.llm.ngram_join import ngram_join, prefix_length, words
+from noticeflow.llm.ngram_join import ngram_join, prefix_length, shingles, words
 
 SCHEMA = "doc_id long, text string, _norm string, label string, count long"
 
@@ -87,6 +88,41 @@ def test_repeated_strings(spark, hot):
     assert found == sorted(((i, *w) for i, w in zip(ids, span_loop(texts))), key=key)
 
 
+def thue_morse(n):
+    """Letters whose sum over powers of any odd number is, from 2^10 on, that of the other letters modulo 2^64."""
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_crafted_contents(spark):
+    """Contents that a polynomial hash modulo 2^64 takes for equal are not."""
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert sd.content_hash(memoryview(word.encode())) != sd.content_hash(memoryview(other.encode()))
+    one, two = (shingles([[w]])[0][0] for w in (word, other))
+    assert one != two
+    r = random.Random(12)
+    start, end = prose(r, 60), prose(r, 60)
+    texts = [start + word + end, start + other + end, word[:500], other[:500]]
+    for hot in (sd.HOT, 1):
+        got = sd.suffix_dedup(table(spark, list(enumerate(texts))), hot=hot).orderBy("doc_id").collect()
+        assert [(r.n_bytes, r.n_removed, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in got] == span_loop(texts)
+    near = sorted(tuple(x) for x in ngram_join(table(spark, [(1, word), (2, other)])).collect())
+    assert near == [(1, 1, 1, 0, True), (2, 2, 1, 0, True)]
+
+
+def test_a_very_long_text(spark, monkeypatch):
+    """A text of 3 MB with a passage that another has too; no other string of it repeats."""
+    r = random.Random(5)
+    passage = "".join(r.choices("abcdefghij", k=1000))
+    long = "".join(r.choices("klmnopqrst", k=3_000_000))
+    rows = [(1, long[:2_000_000] + passage + long[2_000_000:]), (2, "u" + passage + "v")]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in sd.suffix_dedup(table(spark, rows)).collect()}
+    assert got == {1: [(2_000_000, 2_001_000)], 2: [(1, 1001)]}
+    monkeypatch.setattr(sd, "LONGEST", 1000)
+    with pytest.raises(ValueError, match="at most 1000"):
+        sd.find_segments(pa.RecordBatch.from_pydict({"doc_id": [2], "key": [b"k"], "text": [rows[1][1]]}))
+
+
 def test_repeated_strings_of_nothing(spark):
     assert sd.suffix_dedup(table(spark, [])).collect() == []
 
