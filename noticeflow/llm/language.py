@@ -213,7 +213,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ids = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
     hashed = F.xxhash64("_id", F.lit(5))
     sizes = ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
-    ids = ids.join(sizes, "_lang").filter(among_lowest(hashed, sample_rows, F.col("_n")))
+    ids = ids.join(F.broadcast(sizes), "_lang").filter(among_lowest(hashed, sample_rows, F.col("_n")))
     order = Window.partitionBy("_lang").orderBy(hashed, "_id")
     ids = ids.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample_rows).select("_id").distinct()
     sample = rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).join(
