@@ -24,12 +24,11 @@ def bitmap(keys: DataFrame, name: str, *cols: str) -> DataFrame:
 
 
 def probe(df: DataFrame, bits: DataFrame, name: str, *cols: str) -> DataFrame:
-    """Add the boolean column ``name``: the row's bit is set."""
+    """Add the boolean column ``name``, which ``df`` lacks: the row's bit is set. Its other columns may have any name."""
     slot = _slot(*cols)
-    joined = df.withColumn("_block", F.bitmap_bucket_number(slot)).withColumn(
-        "_place", F.bitmap_bit_position(slot)).join(
-        F.broadcast(bits), F.col("_block") == F.col(f"{name}_block"), "left")
-    bit = F.expr(f"shiftright(cast(conv(hex(substring({name}_bits, cast(_place div 8 as int) + 1, 1)),"
-                 " 16, 10) as int), cast(_place % 8 as int)) & 1 = 1")
-    return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop(
-        "_block", "_place", f"{name}_block", f"{name}_bits")
+    slots = df.withColumn(name, F.struct(F.bitmap_bucket_number(slot).alias("block"), F.bitmap_bit_position(slot).alias("place")))
+    held = bits.select(F.struct(F.col(f"{name}_block").alias("block"), F.col(f"{name}_bits").alias("bits")).alias(f"{name}_held"))
+    joined = slots.join(F.broadcast(held), F.col(f"{name}.block") == F.col(f"{name}_held.block"), "left")
+    bit = F.expr(f"shiftright(cast(conv(hex(substring(`{name}_held`.bits, cast(`{name}`.place div 8 as int) + 1, 1)),"
+                 f" 16, 10) as int), cast(`{name}`.place % 8 as int)) & 1 = 1")
+    return joined.withColumn(name, F.coalesce(bit, F.lit(False))).select(*df.columns, name)

@@ -1,6 +1,7 @@
 """The pipeline as a whole, on the smallest tables, against plain loops for each decision."""
 
 import hashlib
+import random
 import re
 
 import corpus_pipeline
@@ -18,7 +19,7 @@ DIR = "/root/testdata/sf0.001"
 
 def test_registered():
     numbers = {int(name[2:].split("_")[0]) for name in REGISTRY}
-    assert numbers == set(range(1, 11)) and len(REGISTRY) == 10
+    assert numbers == set(range(1, 14)) and len(REGISTRY) == 13
     assert {*REGISTRY, "pipeline"} <= set(entry.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "ngram_join", "decontaminate", "bpe"]
 
@@ -65,3 +66,25 @@ def test_null_and_repeated_ids_have_fates_of_their_own(spark):
     clean = corpus_pipeline.drop_leaks(spark, after, DIR)
     assert clean.columns == df.columns
     assert key(clean.collect()) == sorted((r for r in best if r[1] not in (near, leak)), key=str)
+
+
+def test_empty_table_long_text_and_clashing_columns(spark):
+    """Every stage on columns with the names that stages use inside, on nothing, and on a text of 3 MB."""
+    r = random.Random(3)
+    long = " ".join(f"{r.choice(['stone', 'river', 'cloud'])}{r.randint(0, 10**6)}" for _ in range(250_000))
+    near = long.replace(long.split()[1000], "other", 1)
+    names = ["_row", "_meta", "_block", "_place", "_gone", "_quality", "_gone_bits", "_gone_held", "_dropped", "_GONE_block"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(1, long, *names), (2, near, *names), (3, None, *names), (4, long + " ", *names), (5, "short words here", *names)]
+    df = spark.createDataFrame(rows, schema)
+    scored = corpus_pipeline.drop_poor_text(spark, df, DIR)
+    assert scored.columns == df.columns and {r.doc_id for r in scored.collect()} <= {1, 2, 3, 4, 5}
+    exact = corpus_pipeline.drop_exact_copies(spark, df, DIR)
+    assert sorted(r.doc_id for r in exact.collect()) == [2, 3, 4, 5]
+    after = corpus_pipeline.drop_leaks(spark, corpus_pipeline.drop_near_copies(spark, exact, DIR), DIR)
+    got = {r.doc_id: r for r in after.collect()}
+    assert sorted(got) == [2, 3, 5] and after.columns == df.columns
+    assert tuple(got[2]) == rows[1]
+    assert {r.doc_id for r in corpus_pipeline.tokenize(spark, after, DIR).collect()} == {2, 3, 5}
+    for _, work in corpus_pipeline.STAGES:
+        assert work(spark, spark.createDataFrame([], schema), DIR).collect() == []
