@@ -251,10 +251,11 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(vocabulary: Vocabulary) -> Encoder:
+def encoder(vocabulary: Vocabulary, cache_entries: int = CACHE_ENTRIES) -> Encoder:
     """The worker's encoder; its cache outlives a task."""
     if vocabulary.digest not in _ENCODERS:
         _ENCODERS[vocabulary.digest] = Encoder(vocabulary)
+    _ENCODERS[vocabulary.digest].cache_entries = cache_entries
     return _ENCODERS[vocabulary.digest]
 
 

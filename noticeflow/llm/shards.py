@@ -1,20 +1,22 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed strides.
 
-Every text is encoded, closed by the end token and cut into sequences of ``SEQUENCE`` ids (16
-bits each; the last is filled up with end tokens). A sequence has an index, counted through the
-scan's tasks, and a slot: a keyed Feistel permutation of the numbers below the smallest even
+Every text is encoded and closed by the end token. Each task of the scan puts its texts end to end and
+cuts the stream into sequences of ``SEQUENCE`` ids (16 bits each), so that only its last one is filled
+up with end tokens; a sequence knows which tokens of which texts it has. It has an index, counted
+through the scan's tasks, and a slot: a keyed Feistel permutation of the numbers below the smallest even
 power of two that holds all n sequences, walked on from results of n or more (cycle-walking)
 until one is below n. So slots are a permutation of 0 .. n - 1 that can be computed, and
 inverted, for any index alone. A shard is a range of ``SHARD_RECORDS`` slots; its records have one
 size, so the record of a slot starts at (slot % SHARD_RECORDS) * stride in shard slot //
 SHARD_RECORDS, and reading can start or resume at any slot.
 
-Encoded texts are written once as a table; only one number per task (how many sequences it has)
-is summed centrally. Each task numbers its own rows in the scan's order, so a task that is run
-again gives the same numbers. The order depends on the files and their splits, the key and n.
+Sequences are written once as a table; only one number per task (how many it has) is summed
+centrally, a row for each task of the scan, of which 10^5 are a few MB. Each task numbers its own rows in
+the scan's order, so a task that is run again gives the same numbers. The order depends on the files
+and their splits, the key and n.
 
-Edge cases. Null and empty texts are one sequence of end tokens. Repeated rows and null ids
-are sequences like any other. An empty table gives no rows. Extra columns are not read.
+Edge cases. Null and empty texts are one end token. Repeated rows and null ids are texts like any
+other. An empty table gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm.bpe import encoder, shared
-from noticeflow.llm.common import by_pieces, drop_staged, stage, texts_of
+from noticeflow.llm.common import drop_staged, pieces, stage, texts_of
 
 SEQUENCE = 512
 SHARD_RECORDS = 8192
 END_TOKEN = "<|endoftext|>"
 ROUNDS = 6
+#: Pieces of text whose ids a worker keeps; nothing else here needs memory that grows.
+CACHE_ENTRIES = 600_000
 #: Shards that one task writes, where there are more than shuffle partitions.
 TASK_SHARDS = 16
 
@@ -69,77 +73,110 @@ class Feistel:
         return out.astype(np.int64)
 
 
-def encoded(docs: DataFrame, path: str, id_col: str, text_col: str, sequence: int) -> DataFrame:
-    """doc_id, part (task), first (sequences before it in the task), n_tokens, ids (filled up)."""
+class Packer:
+    """Texts of a task end to end, cut into sequences."""
+
+    def __init__(self, sequence: int, end: int, kind: pa.DataType):
+        self.sequence, self.end = sequence, end
+        self.docs = pa.array([], kind)
+        self.ids = np.zeros(0, "<u2")
+        # Of each text in the stream: how many tokens of it are there, and how many went before.
+        self.sizes = self.before = np.zeros(0, np.int64)
+        self.index = 0
+
+    def add(self, docs: pa.Array, raw: list[bytes]) -> None:
+        stop = np.array([self.end], "<u2")
+        parts = [x for ids in raw for x in (np.frombuffer(ids, "<u4").astype("<u2"), stop)]
+        self.ids = np.concatenate([self.ids, *parts])
+        self.docs = pa.concat_arrays([self.docs, docs])
+        self.sizes = np.concatenate([self.sizes, [len(ids) // 4 + 1 for ids in raw]]).astype(np.int64)
+        self.before = np.concatenate([self.before, np.zeros(len(raw), np.int64)])
+
+    def take(self, part: int, rest: bool = False) -> pa.RecordBatch:
+        """The whole sequences of the stream; with ``rest`` also what is left, filled up."""
+        size = self.sequence
+        count = -(-len(self.ids) // size) if rest else len(self.ids) // size
+        used = min(count * size, len(self.ids))
+        data = np.concatenate([self.ids[:used], np.full(count * size - used, self.end, "<u2")]).tobytes()
+        # Pieces of texts: cut at the bounds of texts and of sequences.
+        ends = np.cumsum(self.sizes)
+        starts = ends - self.sizes
+        cuts = np.unique(np.concatenate([starts[starts < used], np.arange(0, used, size)])) if used else np.zeros(0, np.int64)
+        text = np.searchsorted(ends, cuts, "right")
+        lengths = np.diff(np.append(cuts, used))
+        docs = pa.StructArray.from_arrays(
+            [self.docs.take(pa.array(text)), pa.array(self.before[text] + cuts - starts[text]), pa.array(lengths)],
+            ["doc_id", "from_token", "n_tokens"])
+        bounds = np.append(np.searchsorted(cuts, np.arange(count) * size), len(cuts))
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([part] * count, pa.int32()), pa.array(self.index + np.arange(count), pa.int64()),
+             pa.array(np.minimum(size, used - np.arange(count) * size), pa.int32()),
+             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), docs),
+             pa.array([data[at:at + 2 * size] for at in range(0, len(data), 2 * size)], pa.binary())],
+            ["part", "index", "n_tokens", "docs", "record"])
+        left = np.searchsorted(ends, used, "right")
+        gone = used - starts[left:left + 1]
+        self.ids, self.docs, self.index = self.ids[used:], self.docs.slice(left), self.index + count
+        self.sizes, self.before = self.sizes[left:].copy(), self.before[left:].copy()
+        self.sizes[:1] -= gone
+        self.before[:1] += gone
+        return out
+
+
+def sequences(docs: DataFrame, path: str, id_col: str, text_col: str, sequence: int) -> DataFrame:
+    """part (task), index (in the task), n_tokens (without filling), docs, record."""
     vocabulary = shared(docs.sparkSession, path)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        part, first = TaskContext.get().partitionId(), 0
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal first
-            end = np.uint16(vocabulary.value.specials[END_TOKEN])
-            ids, starts, sizes = [], [], []
-            for raw in encoder(vocabulary.value).encode(texts_of(batch, "text")):
-                own = np.frombuffer(raw, "<u4")
-                count = len(own) // sequence + 1
-                full = np.full(count * sequence, end, "<u2")
-                full[:len(own)] = own
-                ids.append(full.tobytes())
-                starts.append(first)
-                sizes.append(len(own) + 1)
-                first += count
-            return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "part", "first", "n_tokens", "ids"])
-
-        yield from by_pieces(work, "text")(batches)
+        part, packer, encode = TaskContext.get().partitionId(), None, encoder(vocabulary.value, CACHE_ENTRIES).encode
+        for batch in batches:
+            if packer is None:
+                packer = Packer(sequence, vocabulary.value.specials[END_TOKEN], batch.schema.field("doc_id").type)
+            for piece in pieces(batch, "text"):
+                packer.add(piece.column("doc_id"), encode(texts_of(piece, "text")))
+                yield packer.take(part)
+        if packer is not None:
+            yield packer.take(part, rest=True)
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, part int, first long, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"part int, index long, n_tokens int, docs array<struct<doc_id: {kind}, "
+                                "from_token: bigint, n_tokens: bigint>>, record binary")
 
 
 class Sequences:
-    """The encoded texts, staged, and the order of their sequences."""
+    """The sequences, staged, and their order."""
 
     def __init__(self, docs: DataFrame, path: str, id_col: str, text_col: str, key: int, sequence: int, shard_records: int):
-        spark, self.stride, self.sequence, self.shard_records = docs.sparkSession, 2 * sequence, sequence, shard_records
-        self.texts = stage(encoded(docs, path, id_col, text_col, sequence), "sequences", compression="zstd")
-        count = (F.floor((F.col("n_tokens") - 1) / sequence) + 1).cast("long")
-        parts = sorted(self.texts.groupBy("part").agg(F.max(F.col("first") + count).alias("n")).collect())
+        spark, self.stride, self.shard_records = docs.sparkSession, 2 * sequence, shard_records
+        self.staged = stage(sequences(docs, path, id_col, text_col, sequence), "sequences", compression="zstd")
+        parts = sorted(self.staged.groupBy("part").agg(F.max("index").alias("last")).collect())
         bases, self.total = [], 0
-        for part, n in parts:  # one row per task of the scan
+        for part, last in parts:
             bases.append((part, self.total))
-            self.total += n
-        self.key, self.count, self.bases = key, count, spark.createDataFrame(bases, "part int, base long")
+            self.total += last + 1
+        self.key, self.bases = key, spark.createDataFrame(bases, "part int, base long")
 
     def rows(self, *wanted: str) -> DataFrame:
-        """Those of shard, slot, byte_offset, doc_id, seq_no, n_tokens, record that are wanted, a row for each sequence."""
+        """Those of shard, slot, byte_offset, n_tokens, docs, record that are wanted, a row for each sequence."""
         order, stride = Feistel(self.total, self.key), self.stride
 
         @F.pandas_udf("long")
         def slot_of(index: pd.Series) -> pd.Series:
             return pd.Series(order.walk(index.to_numpy()))
 
-        # Cut before the slots are computed, so that a row of the numbering holds one record only.
-        cut = F.transform(F.sequence(F.lit(0).cast("long"), self.count - 1), lambda i: F.struct(i.alias("seq_no"), *[
-            F.substring(F.col("ids"), (i * stride + 1).cast("int"), F.lit(stride)).alias("record")] * ("record" in wanted)))
-        each = self.texts.join(F.broadcast(self.bases), "part").select(
-            "doc_id", (F.col("base") + F.col("first")).alias("_from"), "n_tokens", F.explode(cut).alias("s"))
-        rows = each.select("doc_id", "n_tokens", "s.*", slot_of(F.col("_from") + F.col("s.seq_no")).alias("slot"))
-        return rows.withColumn(
-            "n_tokens", F.least(F.col("n_tokens") - F.col("seq_no") * self.sequence, F.lit(self.sequence)).cast("int")).withColumns({
-                "shard": F.floor(F.col("slot") / self.shard_records), "byte_offset": F.col("slot") % self.shard_records * stride,
-            }).select(*wanted)
+        rows = self.staged.join(F.broadcast(self.bases), "part").withColumn("slot", slot_of(F.col("base") + F.col("index")))
+        return rows.withColumns({"shard": F.floor(F.col("slot") / self.shard_records),
+                                 "byte_offset": F.col("slot") % self.shard_records * stride}).select(*wanted)
 
 
 def training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
                    sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
-    """A row for each sequence, dealt to partitions by shard and sorted by slot: shard, slot,
-    byte_offset, doc_id, seq_no, n_tokens (without filling), record (the ids, little-endian)."""
+    """A row for each sequence, dealt to partitions by shard and sorted by slot: shard, slot, byte_offset,
+    n_tokens (without filling), docs (which tokens of which texts: doc_id, from_token, n_tokens; the end
+    token is the text's last), record (the ids, little-endian)."""
     found = Sequences(docs, path, id_col, text_col, key, sequence, shard_records)
-    return found.rows("shard", "slot", "byte_offset", "doc_id", "seq_no", "n_tokens", "record").repartition(
+    return found.rows("shard", "slot", "byte_offset", "n_tokens", "docs", "record").repartition(
         "shard").sortWithinPartitions("shard", "slot")
 
 
@@ -200,16 +237,16 @@ def digests(spark: SparkSession, path: str, stride: int, shard_records: int) ->
 
 def write_order(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
                 sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
-    """Write the shards to ``out``. A row for each sequence: shard, slot, byte_offset, doc_id, seq_no, n_tokens, and
-    record_sha256 of what the file of the shard has there (null: nothing; a record too many has no doc_id)."""
+    """Write the shards to ``out``. A row for each sequence: shard, slot, byte_offset, n_tokens, docs, and
+    record_sha256 of what the file of the shard has there (null: nothing; a record too many has no docs)."""
     found = Sequences(docs, path, id_col, text_col, key, sequence, shard_records)
     write_shards(found.rows("shard", "slot", "record"), out, found.total, shard_records)
-    index = stage(found.rows("slot", "doc_id", "seq_no", "n_tokens"), "order", compression="zstd")
-    drop_staged(found.texts)
+    index = stage(found.rows("slot", "n_tokens", "docs"), "order", compression="zstd")
+    drop_staged(found.staged)
     both = index.join(digests(docs.sparkSession, out, 2 * sequence, shard_records), "slot", "full")
     return both.select(F.floor(F.col("slot") / shard_records).alias("shard"), "slot",
                        (F.col("slot") % shard_records * 2 * sequence).alias("byte_offset"),
-                       "doc_id", "seq_no", "n_tokens", "record_sha256")
+                       "n_tokens", "docs", "record_sha256")
 
 
 def read_shard(spark: SparkSession, path: str, shard: int, record_bytes: int, start: int = 0,

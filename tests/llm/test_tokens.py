@@ -122,37 +122,72 @@ def test_permutation(n):
         assert abs(np.corrcoef(np.arange(n), slots)[0, 1]) < 0.15
 
 
-def test_training_order(spark, tmp_path):
-    rows = [(i, t) for i, t in enumerate([*ODD, None, "long text of words " * 500, "a b c"])] + [(None, "z"), (2, ODD[2])]
-    df = shards.training_order(docs(spark, rows), VOCABULARY, key=5, sequence=16, shard_records=32)
+def packed(rows, sequence):
+    """Texts end to end, as one task packs them: (n_tokens, docs, ids) of each sequence."""
+    stream = [(i, n, x) for i, t in rows for n, x in enumerate(library_ids(t or "") + [50256])]
+    out = []
+    for at in range(0, len(stream), sequence):
+        part = stream[at:at + sequence]
+        docs = []
+        for k, (i, n, _) in enumerate(part):
+            if not k or n == 0:
+                docs.append([i, n, 0])
+            docs[-1][2] += 1
+        out.append((len(part), [tuple(d) for d in docs], [x for *_, x in part] + [50256] * (sequence - len(part))))
+    return out
+
+
+ROWS = [*enumerate([*ODD, None, "long text of words " * 500, "a b c"]), (None, "z"), (2, ODD[2]), (None, None)]
+
+
+def flat(r):
+    return r.n_tokens, [tuple(d) for d in r.docs], np.frombuffer(bytes(r.record), "<u2").tolist()
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_training_order(spark, tmp_path, tasks):
+    df = shards.training_order(docs(spark, ROWS).coalesce(1) if tasks == 1 else docs(spark, ROWS).repartition(tasks), VOCABULARY,
+                               key=5, sequence=16, shard_records=32)
     got = df.collect()
     assert sorted(r.slot for r in got) == list(range(len(got)))
     assert all((r.shard, r.byte_offset) == (r.slot // 32, r.slot % 32 * 32) and len(r.record) == 32 for r in got)
-    once = [r for r in got if r.doc_id not in (2, None)]
-    for i, text in rows[:-2]:
-        if i == 2:
+    if tasks == 1:
+        assert sorted(map(repr, map(flat, got))) == sorted(map(repr, packed(ROWS, 16)))
+    # Each text in whole, from the sequences that name it.
+    assert sum(r.n_tokens < 16 for r in got) <= tasks
+    for i, text in ROWS:
+        if i in (2, None):
             continue
-        own = sorted((r for r in once if r.doc_id == i), key=lambda r: r.seq_no)
-        ids = np.concatenate([np.frombuffer(bytes(r.record), "<u2") for r in own])
-        assert ids.tolist()[:sum(r.n_tokens for r in own)] == library_ids(text or "") + [50256]
-        assert set(ids[sum(r.n_tokens for r in own):].tolist()) <= {50256}
+        own = []
+        for r in got:
+            at = 0
+            for d in r.docs:
+                own += [(d.from_token, flat(r)[2][at:at + d.n_tokens])] * (d.doc_id == i)
+                at += d.n_tokens
+        assert [x for _, ids in sorted(own) for x in ids] == library_ids(text or "") + [50256]
     shards.write_shards(df, str(tmp_path / "out"))
     by_slot = {r.slot: bytes(r.record) for r in got}
     for shard in sorted({r.shard for r in got}):
         for start in (0, 3):
             found = shards.read_shard(spark, str(tmp_path / "out"), shard, 32, start)
             assert [x.tobytes() for x in found] == [by_slot[s] for s in range(shard * 32 + start, min(shard * 32 + 32, len(got)))]
-    assert sorted(df.select("slot", "doc_id").collect()) == sorted((r.slot, r.doc_id) for r in got) if None not in {
-        r.doc_id for r in got} else True
     assert shards.training_order(docs(spark, []), VOCABULARY).collect() == []
 
 
+def test_packing_does_not_depend_on_pieces(spark, monkeypatch):
+    rows = [(i, "some words here " * (i % 7)) for i in range(60)]
+    whole = [flat(r) for r in shards.training_order(docs(spark, rows).coalesce(1), VOCABULARY, sequence=8).sort("slot").collect()]
+    monkeypatch.setattr(shards.pieces, "__defaults__", (1,))
+    parts = [flat(r) for r in shards.training_order(docs(spark, rows).coalesce(1), VOCABULARY, sequence=8).sort("slot").collect()]
+    assert whole == parts and sorted(map(repr, whole)) == sorted(map(repr, packed(rows, 8)))
+
+
 def test_written_order(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate([*ODD, None, "long text of words " * 500])] + [(None, "z")]
     out = str(tmp_path / "out")
     got = shards.write_order(docs(spark, rows), VOCABULARY, out, key=5, sequence=16, shard_records=32).collect()
     want = shards.training_order(docs(spark, rows), VOCABULARY, key=5, sequence=16, shard_records=32).collect()
-    cut = lambda r: (r.shard, r.slot, r.byte_offset, r.doc_id, r.seq_no, r.n_tokens)
+    cut = lambda r: (r.shard, r.slot, r.byte_offset, r.n_tokens, repr(r.docs))
     assert {(*cut(r), r.record_sha256) for r in got} == {(*cut(r), hashlib.sha256(r.record).hexdigest()) for r in want}
     assert len(got) == len(want) and len({r.shard for r in got}) > 3
     for r in got:  # a reader that goes to the offset finds the record
@@ -172,4 +207,4 @@ def test_query_writes_shards(spark):
     [out] = set(Path(staging_root(spark)).glob("noticeflow-shards-*")) - before
     size = {int(f.parent.name[6:]): f.stat().st_size for f in out.glob("shard=*/part-*")}
     assert sum(n // 1024 for n in size.values()) == len(got)
-    assert all(r.record_sha256 and r.doc_id is not None and r.byte_offset + 1024 <= size[r.shard] for r in got)
+    assert all(r.record_sha256 and r.docs and r.byte_offset + 1024 <= size[r.shard] for r in got)
