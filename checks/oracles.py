@@ -115,7 +115,7 @@ SQL: dict[str, str] = {
         + " FROM obits", "obits"),
     "person_dedup": with_marks("SELECT id, duplicate_of FROM marked"),
     "dupe_groups": with_relations(
-        """SELECT DISTINCT person[1] AS fn, person[2] AS ln, person[3] AS ct, person[4] AS st, size AS cnt FROM (
+        """SELECT DISTINCT person[1] AS given, person[2] AS family, person[3] AS town, person[4] AS region, size AS cnt FROM (
   SELECT person, count(*) OVER (PARTITION BY person) AS size FROM (
     SELECT list_transform([first_name, last_name, city, state], lambda x: lower(coalesce(x, ''))) AS person
     FROM obits WHERE duplicate_of IS NULL) WHERE person[1] <> '' AND person[2] <> '')
@@ -446,3 +446,21 @@ FROM (SELECT id, city, id % 2 = 0 OR id % 5 = 0 OR coalesce(city, '') = '' AS la
 SQL["report_page_beyond"] = with_relations(
     f"""SELECT * EXCLUDE (sort_at) FROM (SELECT {_SHOWN}, {_AT} AS sort_at FROM obits WHERE duplicate_of IS NULL)
 ORDER BY death_date DESC, sort_at DESC NULLS LAST, id ASC LIMIT 50 OFFSET 2250""", "obits")
+
+
+# --- days of a store --------------------------------------------------------------------------
+
+_THREE_DAYS = with_relations("", "obits").rstrip() + f""",
+day0 AS (SELECT {COLS} FROM obits WHERE id % 3 = 0), {marked('day0', 'after0')},
+day1 AS (SELECT {COLS} FROM after0 UNION ALL SELECT {COLS} FROM obits WHERE id % 3 = 1), {marked('day1', 'after1')},
+day2 AS (SELECT {COLS} FROM after1 UNION ALL SELECT {COLS} FROM obits WHERE id % 3 = 2), {marked('day2', 'after2')}
+"""
+SQL |= {
+    "failed_repeat": SQL["repeat_batch"],
+    "enrich_archive": SQL["enrich_merge"],
+    "dedup_delta": _THREE_DAYS + "SELECT id, duplicate_of FROM after2",
+    "compacted_store": _THREE_DAYS + f"SELECT {COLS} FROM after2",
+    "stored_links": with_relations(
+        f"""SELECT site_id, count(*) AS known_rows FROM candidates
+WHERE url <> '' AND lower(url) IN {_STORED_KEYS} GROUP BY site_id""", *_RUN),
+}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from noticeflow.functions.dates import (
@@ -16,9 +18,11 @@ from noticeflow.functions.urls import absolutise, with_listing_url
 from noticeflow.operators import backfill, dedup, detail, ingest, listing, report
 from noticeflow.operators.keyed import keep_first
 from noticeflow.plans import market_build
+from noticeflow.plans.archive import PageArchive
 from noticeflow.plans.backfill_run import run_backfill, run_city_backfill
-from noticeflow.plans.daily import marked_count as count_marked, run_day
-from noticeflow.plans.store import Store
+from noticeflow.plans.compaction import compact, vacuum
+from noticeflow.plans.daily import mark, marked_count as count_marked, run_day
+from noticeflow.plans.store import NUMBERED, Store
 from noticeflow.schemas import LISTING_PAGES, MARKET, OBITS, RECORD_FIELDS
 from noticeflow.session import stage, staging_root
 from noticeflow.sources import markets as market_io
@@ -322,10 +326,29 @@ def _run(spark, d):
     return candidates, stored, sites
 
 
+def _known_links(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The candidates, and which of their links two days have stored, by the table of link keys."""
+    candidates, stored, _ = _run(spark, d)
+    store = _fresh_store(spark, "links")
+    for batch in (0, 1):
+        store.load(stored.where(F.col("id") % 2 == batch).select(*OBITS.names), batch)
+    return candidates, store.snapshot().stored_among(ingest.wanted_links(candidates))
+
+
 @query
 def new_urls(spark, d):
-    candidates, stored, _ = _run(spark, d)
-    return ingest.new_links(candidates, stored).select("site_id", "pos", "url")
+    """The verdict reads the keys of the stored links, not the records."""
+    candidates, known = _known_links(spark, d)
+    return ingest.new_links(candidates, stage(known, "known")).select("site_id", "pos", "url")
+
+
+@query
+def stored_links(spark, d):
+    """A run's one look at the store, by number of rows that each known link has."""
+    candidates, known = _known_links(spark, d)
+    known = known.distinct()
+    rows = candidates.select(ingest.link_key(F.col("url")).alias(ingest.LINK_KEY), "site_id").join(known, ingest.LINK_KEY)
+    return rows.groupBy("site_id").agg(F.count("*").alias("known_rows"))
 
 
 @query
@@ -374,6 +397,27 @@ def enrich_merge(spark, d):
     return detail.enrich(records, detail_pages(obits)).drop("url")
 
 
+@query
+def enrich_archive(spark, d):
+    """The same from an archive of three days. Each link has a page on one or two of them, an older page
+    is empty, and one of the days is stored twice."""
+    obits = load(spark, d, "obits")[0]
+    thin = obits.withColumn("obit_text", F.when(F.col("priority") != "4-NOT SPECIFIED", "").otherwise(F.col("obit_text")))
+    pages = detail_pages(obits.withColumn("legacy_url", F.concat("legacy_url", F.lit("#"), F.col("id").cast("string"))))
+    pages = stage(pages.select(F.substring_index("url", "#", 1).alias("url"), "html", (
+        F.substring_index("url", "#", -1).cast("bigint") % 2).alias("late")), "pages")
+    empty = pages.select("url", F.lit("<html></html>").alias("html"))
+    archive = PageArchive(spark, f"{staging_root(spark)}/pages-{uuid.uuid4().hex}")
+    first, second = AS_OF.date() - dt.timedelta(days=1), AS_OF.date()
+    archive.store_day(empty, first - dt.timedelta(days=9))
+    archive.store_day(empty, second)
+    archive.store_day(pages.where("late = 0"), first)
+    archive.store_day(pages.where("late = 1"), second)
+    records = thin.select("id", F.col("legacy_url").alias("url"), *RECORD_FIELDS[1:])
+    wanted = records.where(detail.thin()).select("url")
+    return detail.with_pages(records, archive.newest(wanted)).drop("url")
+
+
 # --- backfills ------------------------------------------------------------------------------
 
 @query
@@ -557,6 +601,54 @@ def repeat_batch(spark, d):
     raise AssertionError("an older batch was run")
 
 
+class _Dying(Store):
+    """A store whose run dies when the log is written: by then records and links of the attempt are there."""
+
+    def append_log(self, log, batch):
+        stuck = F.assert_true(F.col("obits_found") < 0, F.lit("the task is lost"))
+        super().append_log(log.withColumn("errors", F.coalesce(stuck.cast("string"), F.col("errors"))), batch)
+
+
+@query
+def failed_repeat(spark, d):
+    """A finished batch is run again with other pages, and the repeat dies half-way: the batch stays."""
+    pages, details, markets = (stage(x, "run-input") for x in _run_inputs(spark, d))
+    store = _fresh_store(spark, "failed")
+    run_day(store, _share(pages, 2, 0), details, markets, AS_OF, 0, BASE_URL)
+    run_day(store, pages, details, markets, AS_OF, 1, BASE_URL)
+    try:
+        run_day(_Dying(spark, store.root), _share(pages, 3, 1), details, markets, AS_OF, 1, BASE_URL)
+    except PySparkException:
+        return _appended(store)
+    raise AssertionError("the repeat was to die")
+
+
+def _three_days(spark, d, label: str, between: Callable[[Store], object] = lambda store: None) -> Store:
+    """Records of three days, each stored and marked against what came before."""
+    store, obits = _fresh_store(spark, label), _obits(spark, d)
+    for batch in range(3):
+        store.take(batch)
+        store.append_records(obits.where(F.col("id") % 3 == batch), batch)
+        mark(store, batch)
+        store.complete(NUMBERED, batch, batch)
+        between(store)
+    return store
+
+
+@query
+def dedup_delta(spark, d):
+    """Marks of three days, each from the table of people and the day alone."""
+    return _three_days(spark, d, "delta").obits().select("id", "duplicate_of")
+
+
+@query
+def compacted_store(spark, d):
+    """Three days with a compaction after each; the last one is not folded yet."""
+    store = _three_days(spark, d, "folded", compact)
+    vacuum(store)
+    return store.obits().select(*OBITS.names)
+
+
 @query
 def marked_count(spark, d):
     pages, details, markets = _run_inputs(spark, d)
@@ -573,7 +665,7 @@ def backfill_store(spark, d):
     obits = _obits(spark, d).join(gaps, "id").withColumns(
         {"site_id": F.col("_site"), "state": F.col("_state"), "county": F.col("_county")}).select(*OBITS.names)
     store = _fresh_store(spark, "fill")
-    store.append_records(obits, 0)
+    store.load(obits, 0)
     run_backfill(store, 0)
     return store.obits().select("id", "birth_date", "death_date", "state", "county")
 
@@ -584,7 +676,7 @@ def city_backfill_run(spark, d):
     pages, _, markets = _run_inputs(spark, d)
     obits = _obits(spark, d)
     store = _fresh_store(spark, "city")
-    store.append_records(obits.withColumn("city", F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 5 == 0, None)
+    store.load(obits.withColumn("city", F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 5 == 0, None)
                                           .otherwise(F.col("city"))), 0)
     excluded = F.when(F.col("market_seq") % 4 == 0, F.concat(F.lit("il-"), "site_id")).otherwise(F.col("site_id"))
     run_city_backfill(store, 0, pages.withColumn("site_id", F.when(

@@ -7,18 +7,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import ci_key, or_blank
 from .keyed import HOT_ROWS, attach
 
-KEYS = ["fn", "ln", "ct", "st"]
+KEYS = ["given", "family", "town", "region"]
+#: What orders the records of a person, beside the id.
+RANK = ["undated", "shortness", "seen"]
 
 
 def person_keys(accent: bool = False) -> dict[str, Column]:
     return {
-        "fn": ci_key(F.col("first_name"), accent),
-        "ln": ci_key(F.col("last_name"), accent),
-        "ct": ci_key(or_blank(F.col("city")), accent),
-        "st": ci_key(or_blank(F.col("state")), accent),
+        "given": ci_key(F.col("first_name"), accent),
+        "family": ci_key(F.col("last_name"), accent),
+        "town": ci_key(or_blank(F.col("city")), accent),
+        "region": ci_key(or_blank(F.col("state")), accent),
     }
 
 
+def person() -> Column:
+    """The keys of a person as one value of 16 bytes: the start of a SHA-256 over them and their lengths."""
+    keys = [F.concat(F.char_length(c).cast("string"), F.lit(":"), c) for c in person_keys().values()]
+    return F.unhex(F.substring(F.sha2(F.concat(*keys), 256), 1, 32))
+
+
 def takes_part() -> Column:
     """Named rows not marked so far."""
     return F.coalesce(
@@ -35,23 +43,42 @@ def text_length(obits: DataFrame) -> Column:
     return F.char_length(or_blank(F.col("obit_text")))
 
 
+def _ranks(obits: DataFrame) -> list[Column]:
+    """Dated before undated, then the longest text, then the earliest; a missing time is the earliest."""
+    seen = F.coalesce("scraped_at", F.lit("0001-01-01").cast("timestamp_ntz"))
+    return [F.col("death_date").isNull().alias("undated"), (-text_length(obits)).alias("shortness"), seen.alias("seen")]
+
+
 def _ranked(obits: DataFrame, accent: bool) -> DataFrame:
     """The narrow columns the choice of a primary needs."""
     return obits.where(takes_part()).select(
-        "id", "scraped_at", F.col("death_date").isNull().alias("undated"),
-        (-text_length(obits)).alias("shortness"),
-        *[c.alias(k) for k, c in person_keys(accent).items()],
-    )
+        "id", *_ranks(obits), *[c.alias(k) for k, c in person_keys(accent).items()])
+
+
+def ranked_people(obits: DataFrame) -> DataFrame:
+    """The same with the person as one value."""
+    return obits.where(takes_part()).select(person().alias("person"), "id", *_ranks(obits))
+
+
+def live(changes: DataFrame, every: bool = False) -> DataFrame:
+    """The records that entered and have not left, of rows that say what entered (op 1) and left (-1);
+    with ``every`` all rows that do not cancel out, with their op. No shuffle where the rows lie by person."""
+    rest = changes.groupBy("person", "id", *RANK).agg(F.sum("op").cast("int").alias("op"))
+    return rest.where("op <> 0") if every else rest.where("op > 0").drop("op")
+
+
+def _groups(narrow: DataFrame, keys: list[str]) -> DataFrame:
+    """Per person the row count and the best row: first by rank, then the lowest id. A plain
+    aggregate, so each task first reduces its own rows to one per person."""
+    best = F.min(F.struct(*RANK, "id"))
+    return narrow.groupBy(*keys).agg(F.count("*").alias("cnt"), best["id"].alias("primary_id"))
 
 
-def _groups(narrow: DataFrame) -> DataFrame:
-    """Per person the row count and the best row: dated before undated, then longest
-    text, then earliest, then lowest id. A plain aggregate, so each task first reduces its
-    own rows to one per person."""
-    best = F.min(F.struct("undated", "shortness",
-                          F.coalesce("scraped_at", F.lit("0001-01-01").cast("timestamp_ntz"))
-                          .alias("seen"), "id"))
-    return narrow.groupBy(*KEYS).agg(F.count("*").alias("cnt"), best["id"].alias("primary_id"))
+def marks_among(narrow: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``id, duplicate_of`` of all but the best row of each person."""
+    groups = _groups(narrow, keys).where("cnt > 1")
+    members = attach(narrow.select("id", *keys), groups, keys, weight="cnt", spread=F.col("id"), hot_rows=hot_rows)
+    return members.where("id <> primary_id").select("id", F.col("primary_id").alias("duplicate_of"))
 
 
 def duplicate_groups(obits: DataFrame, accent: bool = False) -> DataFrame:
@@ -65,12 +92,7 @@ def duplicate_marks(
     obits: DataFrame, accent: bool = False, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``id, duplicate_of`` of the rows to mark now."""
-    narrow = _ranked(obits, accent)
-    groups = _groups(narrow).where("cnt > 1")
-    members = attach(narrow.select("id", *KEYS), groups, KEYS, weight="cnt",
-                     spread=F.col("id"), hot_rows=hot_rows)
-    return members.where("id <> primary_id").select(
-        "id", F.col("primary_id").alias("duplicate_of"))
+    return marks_among(_ranked(obits, accent), KEYS, hot_rows)
 
 
 def mark_duplicates(
@@ -84,7 +106,7 @@ def mark_duplicates(
     part = takes_part()
     keyed = obits.withColumns({
         f"_{k}": F.when(part, c) for k, c in person_keys(accent).items()})
-    groups = _groups(_ranked(obits, accent)).where("cnt > 1")
+    groups = _groups(_ranked(obits, accent), KEYS).where("cnt > 1")
     keys = [f"_{k}" for k in KEYS]
     for k in KEYS:
         groups = groups.withColumnRenamed(k, f"_{k}")

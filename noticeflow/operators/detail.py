@@ -64,6 +64,11 @@ def merge_details(records: DataFrame, details: DataFrame) -> DataFrame:
     return joined.withColumns(kept).select(*records.columns)
 
 
+def thin() -> Column:
+    """Records that came without text."""
+    return F.coalesce(F.col("obit_text"), F.lit("")) == ""
+
+
 def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Complete records that came without text from their detail pages.
 
@@ -71,9 +76,13 @@ def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     for unseen, thin records. ``records`` has one row per link. Of several pages of a link
     the latest by ``fetched_at`` counts, where the pages have it; then a hash decides.
     """
-    thin = F.coalesce(F.col("obit_text"), F.lit("")) == ""
-    wanted = records.where(thin)
+    wanted = records.where(thin())
     fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp_ntz")
     needed = pages.select("url", "html", fetched.alias("_fetched")).join(wanted.select("url"), "url", "left_semi")
     single = keep_first(needed, [F.col("url")], [F.col("_fetched").desc_nulls_last(), F.xxhash64("html")])
-    return merge_details(wanted, extract_details(single.drop("_fetched"))).unionByName(records.where(~thin))
+    return with_pages(records, single.drop("_fetched"))
+
+
+def with_pages(records: DataFrame, pages: DataFrame) -> DataFrame:
+    """The same from the one page (url, html) of each wanted link."""
+    return merge_details(records.where(thin()), extract_details(pages.select("url", "html"))).unionByName(records.where(~thin()))

@@ -17,6 +17,8 @@ from ..schemas import OBITS, RUN_LOG, WIDTHS
 from .keyed import HOT_ROWS, attach, keep_first, number_rows
 
 _LINK_WIDTH = WIDTHS["legacy_url"]
+#: Column of a table of stored links.
+LINK_KEY = "link_key"
 
 
 def stored_key(url: Column) -> Column:
@@ -24,20 +26,32 @@ def stored_key(url: Column) -> Column:
     return ci_key(F.substring(url, 1, _LINK_WIDTH))
 
 
+def link_key(url: Column) -> Column:
+    """The same in 16 bytes: the start of its SHA-256."""
+    return F.unhex(F.substring(F.sha2(stored_key(url), 256), 1, 32))
+
+
 def _keyed(candidates: DataFrame) -> DataFrame:
     """Usable candidates with their key. An over-long link never equals a stored one, so
     the stored check does not catch it, but its cut form still meets the unique key."""
     return candidates.where(F.col("url") != "").withColumns({
-        "_key": stored_key(F.col("url")),
+        "_key": link_key(F.col("url")),
         "_long": F.char_length("url") > _LINK_WIDTH,
     })
 
 
 def _stored_among(stored: DataFrame, keys: DataFrame) -> DataFrame:
-    """Stored keys that occur among ``keys``. The store is far larger than a run, so it
-    is first cut down by the run's keys; where those are few Spark broadcasts them."""
-    return stored.select(stored_key(F.col("legacy_url")).alias("_key")) \
-        .join(keys.select("_key").distinct(), "_key", "left_semi")
+    """Stored keys that occur among ``keys``. ``stored`` is a record table or a table of link keys. It is
+    far larger than a run, so it is first cut down by the run's keys; where those are few Spark
+    broadcasts them, and a bucketed table of keys is not shuffled."""
+    own = F.col(LINK_KEY) if LINK_KEY in stored.columns else link_key(F.col("legacy_url"))
+    return stored.select(own.alias("_key")).join(keys.select("_key").distinct(), "_key", "left_semi")
+
+
+def wanted_links(candidates: DataFrame) -> DataFrame:
+    """Keys of the candidates' links, to be looked up in a table of link keys. Those that it has stand for
+    the store in the functions below, so that a run looks at the store once."""
+    return _keyed(candidates).select(F.col("_key").alias(LINK_KEY))
 
 
 def new_links(

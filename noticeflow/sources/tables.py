@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import or_blank
@@ -23,13 +23,21 @@ def write_obits(obits: DataFrame, path: str, mode: str = "errorifexists") -> Non
     state; the state itself stays in the rows. Rows are spread by state and a hash of the id, so a state with much of the table is
     written by several tasks, and each task writes few states.
     """
+    cluster_by_state(obits).write.mode(mode).partitionBy("state_part").parquet(path)
+
+
+def state_part(state: Column) -> Column:
+    """Folder of a state: in upper case; blank and missing states share one."""
+    return F.when(state != "", F.upper(state)).otherwise("none")
+
+
+def cluster_by_state(obits: DataFrame) -> DataFrame:
+    """Rows with their folder, spread for writing and newest first in a task."""
     parts = int(obits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slice_ = F.pmod(F.xxhash64("id"), F.lit(max(1, parts // 8)))
-    (
-        obits.withColumn("state_part", F.when(F.col("state") != "", F.upper("state")).otherwise("none"))
-        .repartition(parts, "state_part", slice_)
+    return (
+        obits.withColumn("state_part", state_part(F.col("state"))).repartition(parts, "state_part", slice_)
         .sortWithinPartitions("state_part", F.col("published_date").desc())
-        .write.mode(mode).partitionBy("state_part").parquet(path)
     )
 
 

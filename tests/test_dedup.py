@@ -77,7 +77,7 @@ def test_random_rows_with_a_hot_person(spark, hot_rows):
 
 def test_groups(spark):
     df = spark.createDataFrame([row(1), row(2, first="JOHN"), row(3, last="Kay")], SCHEMA)
-    assert [(r.fn, r.ln, r.ct, r.st, r.cnt) for r in duplicate_groups(df).collect()] == [
+    assert [(r.given, r.family, r.town, r.region, r.cnt) for r in duplicate_groups(df).collect()] == [
         ("john", "smith", "columbus", "oh", 2)]
 
 
