@@ -26,6 +26,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ SEQUENCE = 512
 SHARD_RECORDS = 8192
 END_TOKEN = "<|endoftext|>"
 ROUNDS = 6
+#: Records that a task deals out at a time.
+BLOCK_ROWS = 16_384
 #: Pieces of text whose ids a worker keeps; nothing else here needs memory that grows.
 CACHE_ENTRIES = 600_000
 #: Shards that one task writes, where there are more than shuffle partitions.
@@ -170,6 +173,55 @@ class Sequences:
                                  "byte_offset": F.col("slot") % self.shard_records * stride}).select(*wanted)
 
 
+    def write(self, path: str) -> None:
+        """Write one file per shard. Records go to the task of their range of shards in compressed blocks,
+        each with its slots; a task has at most ``TASK_SHARDS`` shards, or a few if there are few in all."""
+        order, stride, shard_records = Feistel(self.total, self.key), self.stride, self.shard_records
+        shards = max(1, -(-self.total // shard_records))
+        least = int(self.staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(shards, max(least, -(-shards // TASK_SHARDS)))
+
+        def pack(batches):
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                    yield packed(held)
+                    held = []
+            if held:
+                yield packed(held)
+
+        def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            slots = order.walk(np.concatenate([b.column("index").to_numpy() for b in held]))
+            rows = np.frombuffer(b"".join(x for b in held for x in b.column("record").to_pylist()), np.uint8).reshape(-1, stride)
+            by_slot = np.argsort(slots)
+            slots, zip_up = slots[by_slot], zstandard.ZstdCompressor(level=1).compress
+            target = slots // shard_records * tasks // shards
+            cuts = np.flatnonzero(np.diff(target, prepend=-1, append=tasks))
+            parts = [(int(target[a]), slots[a:b].tobytes(), zip_up(rows[by_slot[a:b]].tobytes())) for a, b in zip(cuts, cuts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+                zip(*parts, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["target", "slots", "block"])
+
+        def unpack(batches):
+            slots, rows, unzip = [], [], zstandard.ZstdDecompressor().decompress
+            for batch in batches:
+                slots += [np.frombuffer(x, np.int64) for x in batch.column("slots").to_pylist()]
+                rows += [np.frombuffer(unzip(x), np.uint8).reshape(-1, stride) for x in batch.column("block").to_pylist()]
+            if not slots:
+                return
+            slot, data = np.concatenate(slots), np.concatenate(rows)
+            by_slot = np.argsort(slot)
+            shard = slot[by_slot] // shard_records
+            cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
+            for a, b in zip(cuts, cuts[1:]):
+                yield whole(int(shard[a]), [data[by_slot[a:b]].tobytes()])
+
+        rows = self.staged.join(F.broadcast(self.bases), "part").select((F.col("base") + F.col("index")).alias("index"), "record")
+        dealt = rows.mapInArrow(pack, "target int, slots binary, block binary").repartitionById(tasks, "target")
+        blobs = dealt.select("slots", "block").mapInArrow(unpack, "shard long, value binary")
+        write_blobs(blobs, path)
+
+
 def training_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
                    sequence: int = SEQUENCE, shard_records: int = SHARD_RECORDS) -> DataFrame:
     """A row for each sequence, dealt to partitions by shard and sorted by slot: shard, slot, byte_offset,
@@ -203,9 +255,8 @@ def whole(shard: int, held: list[bytes]) -> pa.RecordBatch:
 
 
 def write_shards(rows: DataFrame, path: str, total: int | None = None, shard_records: int = SHARD_RECORDS) -> None:
-    """Write one file per shard. With the number of records, the shards are dealt to ranges of
-    slots as numbered, without a sample; else by a range of the rows given. Spark's text writer
-    puts the bytes as they are; it also commits whole tasks only."""
+    """Write one file per shard of any rows in this form. With the number of records, the shards are dealt
+    to ranges of slots as numbered, without a sample; else by a range of the rows given."""
     wanted = rows.select("shard", "slot", "record")
     if total is None:
         ranges = wanted.repartitionByRange("shard")
@@ -215,6 +266,11 @@ def write_shards(rows: DataFrame, path: str, total: int | None = None, shard_rec
         tasks = min(shards, max(least, -(-shards // TASK_SHARDS)))
         ranges = wanted.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
     blobs = ranges.sortWithinPartitions("shard", "slot").select("shard", "record").mapInArrow(joined, "shard long, value binary")
+    write_blobs(blobs, path)
+
+
+def write_blobs(blobs: DataFrame, path: str) -> None:
+    """Spark's text writer puts the bytes as they are; it also commits whole tasks only."""
     blobs.select("shard", F.col("value").cast("string")).write.partitionBy("shard").option("compression", "none").text(path)
 
 
@@ -240,7 +296,7 @@ def write_order(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", te
     """Write the shards to ``out``. A row for each sequence: shard, slot, byte_offset, n_tokens, docs, and
     record_sha256 of what the file of the shard has there (null: nothing; a record too many has no docs)."""
     found = Sequences(docs, path, id_col, text_col, key, sequence, shard_records)
-    write_shards(found.rows("shard", "slot", "record"), out, found.total, shard_records)
+    found.write(out)
     index = stage(found.rows("slot", "n_tokens", "docs"), "order", compression="zstd")
     drop_staged(found.staged)
     both = index.join(digests(docs.sparkSession, out, 2 * sequence, shard_records), "slot", "full")
