@@ -57,9 +57,9 @@ SELECT o_orderkey AS id,
   'X Y ' || CASE o_orderkey % 14
     WHEN 0 THEN 'passed away peacefully on ' || {long_d}
     WHEN 1 THEN 'passed quietly on ' || {long_d}
-    WHEN 2 THEN 'passed on to her heavenly reward on ' || {long_d}
-    WHEN 3 THEN 'passed from this life on ' || {long_d}
-    WHEN 4 THEN 'went home to be with the Lord on ' || {long_d}
+    WHEN 2 THEN 'passed on to some calm shore on ' || {long_d}
+    WHEN 3 THEN 'passed from our street at noon on ' || {long_d}
+    WHEN 4 THEN 'went home to be with old friends on ' || {long_d}
     WHEN 5 THEN 'entered eternal rest on ' || {long_d}
     WHEN 6 THEN 'died ' || {long_d}
     WHEN 7 THEN 'met death on ' || {long_d}

@@ -325,6 +325,7 @@ _AT_PAGE = f"""id // {PAGE_SPAN} AS page_id,
   cast(row_number() OVER (PARTITION BY id // {PAGE_SPAN} ORDER BY id) - 1 AS integer) AS pos"""
 _BOTH = "trim(first_name || ' ' || last_name)"
 _FULL = f"CASE WHEN deceased_name <> '' THEN deceased_name ELSE {_BOTH} END"
+_LISTED = "trim(concat_ws(' ', first_name, middle_name, last_name, name_suffix))"
 _TAGGED = "'Dr. ' || last_name || 'Sr.'"
 _HAS_RANGE = "priority = '1-URGENT' AND birth_date IS NOT NULL AND death_date IS NOT NULL"
 _HAS_META = "priority <> '1-URGENT' AND death_date IS NOT NULL"
@@ -361,9 +362,11 @@ FROM obits""", "obits"),
   cast(NULL AS date) AS death_date, cast(NULL AS date) AS birth_date,
   cast(NULL AS varchar) AS funeral_home, '' AS city, '' AS state FROM obits""", "obits"),
     "extract_cascade": with_relations(
-        """SELECT kind, (SELECT count(*) FROM obits) AS records, 0::bigint AS pages_without,
-  0::bigint AS errors FROM (VALUES ('json'), ('state'), ('links')) k(kind)
-UNION ALL SELECT 'crawled', 0, (SELECT count(*) FROM pages), 0""", "obits"),
+        f"""SELECT 'json' AS kind, {_AT_PAGE}, legacy_url AS url, {_FULL} AS deceased_name,
+  cast(NULL AS varchar) AS error FROM obits
+UNION ALL SELECT 'state', {_AT_PAGE}, legacy_url, {_BOTH}, NULL FROM obits
+UNION ALL SELECT 'links', {_AT_PAGE}, legacy_url, {_LISTED}, NULL FROM obits
+UNION ALL SELECT 'crawled', page_id, NULL, NULL, NULL, NULL FROM pages""", "obits"),
     "extract_alt_path": with_relations(
         f"""SELECT {_AT_PAGE}, legacy_url AS url, {_FULL} AS deceased_name,
   cast(NULL AS varchar) AS error FROM obits WHERE id // {PAGE_SPAN} % 5 <> 0
@@ -382,10 +385,8 @@ UNION ALL SELECT DISTINCT id // {PAGE_SPAN}, cast(NULL AS integer), NULL, NULL,
         f"""SELECT legacy_url AS url, CASE WHEN {_HAS_META} THEN published_date END AS published,
   CASE WHEN {_HAS_META} OR ({_HAS_RANGE}) THEN death_date END AS death
 FROM obits WHERE status <> 'O'""", "obits"),
-    "link_dedup": """SELECT page_id, cast(min(i) - 1 AS integer) AS pos, href FROM (
-  SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) AS i FROM (
-    SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages))
-WHERE href <> '' GROUP BY page_id, href""",
+    "link_dedup": with_relations(
+        f"SELECT {_AT_PAGE}, legacy_url AS url, {_LISTED} AS deceased_name FROM obits", "obits"),
     "enrich_merge": with_relations(
         f"""SELECT id, CASE WHEN {_SEEN} THEN {_TAGGED} ELSE deceased_name END AS deceased_name,
   CASE WHEN {_SEEN} THEN 'Dr.' ELSE first_name END AS first_name,

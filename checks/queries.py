@@ -476,15 +476,12 @@ for _name, _kind in (("extract_json", "json"), ("extract_state_json", "state"),
 
 @query
 def extract_cascade(spark, d):
-    """All layouts at once, and pages that hold none."""
+    """Records of all layouts at once, and pages that hold none."""
     obits, pages = load(spark, d, "obits", "pages")
     made = [payload_pages(obits, k).withColumn("kind", F.lit(k)) for k in ("json", "state", "links")]
     crawled = pages.select("page_id", "html", F.lit("crawled").alias("kind"))
     every = made[0].unionByName(made[1]).unionByName(made[2]).unionByName(crawled)
-    return listing.extract_records(every, BASE_URL).groupBy("kind").agg(
-        F.count_if(F.col("pos").isNotNull()).alias("records"),
-        F.count_if(F.col("pos").isNull()).alias("pages_without"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"))
+    return listing.extract_records(every, BASE_URL).select("kind", "page_id", "pos", "url", "deceased_name", "error")
 
 
 @query
@@ -524,11 +521,10 @@ def page_dates(spark, d):
 
 @query
 def link_dedup(spark, d):
-    """Links of the crawled pages, the first of equal addresses per page."""
-    pages = load(spark, d, "pages")[0]
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    links = pages.select("page_id", F.posexplode(hrefs).alias("pos", "href")).where("href <> ''")
-    return keep_first(links, [F.col("page_id"), F.col("href")], [F.col("pos")])
+    """Record links of pages that list every link two or three times: the first of equal addresses per page."""
+    pages = payload_pages(load(spark, d, "obits")[0], "links")
+    twice = pages.withColumn("html", F.concat("html", F.replace("html", F.lit("<h3> "), F.lit("<h3>Again "))))
+    return listing.extract_records(twice, BASE_URL).select("page_id", "pos", "url", "deceased_name")
 
 
 # --- runs -----------------------------------------------------------------------------------

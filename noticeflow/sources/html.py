@@ -243,12 +243,16 @@ _FIELDS_TYPE = _struct(name=_S, funeral_home=_S, text=_S, date_texts=_TEXTS,
                        metas=T.ArrayType(_struct(key=_S, content=_S)))
 
 
+#: A tag up to a character reference in it; a > inside quotes does not end the tag.
+_TAG_WITH_REFERENCE = r"""<[^>"'&]*+(?:"[^"&]*+"[^>"'&]*+|'[^'&]*+'[^>"'&]*+)*+(?:&|"[^"]*+&|'[^']*+&|"[^"]*&|'[^']*&)"""
+
+
 def may_have_links(page: Column) -> Column:
     """False where no link rule can fit: none of the rules' words occurs, and no tag has a
     character reference that could hide one. Such pages need not be sent to Python."""
     lower = F.lower(page)
     marks = [value for _, _, _, value in LINKS[:3]] + [LINK_LIST[3]]
-    return reduce(or_, [F.contains(lower, F.lit(m)) for m in marks]) | page.rlike("<[^>]*&")
+    return reduce(or_, [F.contains(lower, F.lit(m)) for m in marks]) | page.rlike(_TAG_WITH_REFERENCE)
 
 
 @F.pandas_udf(_LINKS_TYPE)

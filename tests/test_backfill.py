@@ -4,8 +4,8 @@ import datetime as dt
 
 from noticeflow.operators import backfill
 
-DAY, BORN = dt.date(2020, 5, 1), dt.date(1940, 1, 5)
-TEXT = "She died May 1, 2020. Born January 5, 1940."
+DAY, BORN = dt.date(2017, 9, 23), dt.date(1951, 4, 18)
+TEXT = f"He died {DAY:%B %-d, %Y}. Born {BORN:%B %-d, %Y}."
 
 
 def test_dates_fill_independently(spark):

@@ -67,11 +67,21 @@ def test_link_rules(spark, page, names):
     assert rows, "a page without records still has a row"
 
 
+#: The rule's words stand behind character references, and a quoted > before them.
+HIDDEN = '<a title="x>y" href="&#47;us&#47;obituaries&#47;name&#47;z">Ann Lee</a>'
+
+
+def test_a_link_that_references_hide(spark):
+    assert [r.deceased_name for r in records(spark, HIDDEN) if r.pos is not None] == ["Ann Lee"]
+
+
 def test_pages_without_a_rules_word_are_not_read(spark):
     pages = ["<a href='/obituary/2'>Out</a>", "<p>text</p>", LINKS, "<a href='/us/obituaries&#x2f;name/1'>A</a>",
-             "<A CLASS='Obit-Card' href=x>B</A>", "a & b", ""]
+             "<A CLASS='Obit-Card' href=x>B</A>", "a & b", "", "<p title='a>b'>it's & <b id=c>more</b></p>", HIDDEN,
+             "<p title=\"open <a href='&#47;x'>"]
     df = spark.createDataFrame([(p,) for p in pages], "html string")
-    assert [r[0] for r in df.select(may_have_links(F.col("html"))).collect()] == [False, False, True, True, True, False, False]
+    assert [r[0] for r in df.select(may_have_links(F.col("html"))).collect()] == [
+        False, False, True, True, True, False, False, False, True, True]
 
 
 def test_layout_order_and_payload_choice(spark):
