@@ -259,6 +259,11 @@ def encoder(vocabulary: Vocabulary, cache_entries: int = CACHE_ENTRIES) -> Encod
     return _ENCODERS[vocabulary.digest]
 
 
+def forget() -> None:
+    """Drop the worker's encoders with their caches, where later work of a job needs the memory."""
+    _ENCODERS.clear()
+
+
 def shared(spark: SparkSession, path: str):
     """The vocabulary for all executors: a table of fixed size read from ``path``."""
     return spark.sparkContext.broadcast(load_vocabulary(path))

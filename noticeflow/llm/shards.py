@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm.bpe import encoder, shared
+from noticeflow.llm.bpe import encoder, forget, shared
 from noticeflow.llm.common import drop_staged, pieces, stage, texts_of
 
 SEQUENCE = 512
@@ -39,9 +39,9 @@ SHARD_RECORDS = 8192
 END_TOKEN = "<|endoftext|>"
 ROUNDS = 6
 #: Records that a task deals out at a time.
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 8192
 #: Pieces of text whose ids a worker keeps; nothing else here needs memory that grows.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 #: Shards that one task writes, where there are more than shuffle partitions.
 TASK_SHARDS = 16
 
@@ -182,6 +182,7 @@ class Sequences:
         tasks = min(shards, max(least, -(-shards // TASK_SHARDS)))
 
         def pack(batches):
+            forget()
             held: list[pa.RecordBatch] = []
             for batch in batches:
                 held.append(batch)
