@@ -1,4 +1,5 @@
-"""Oracle SQL for the registered queries, written independently of the library."""
+"""Oracle SQL for the registered queries. Its logic is written independently of the library; the fixed
+values (state and county tables, column lists) are the library's, and tests state samples of them."""
 
 from __future__ import annotations
 
@@ -461,6 +462,11 @@ SQL |= {
     "enrich_archive": SQL["enrich_merge"],
     "dedup_delta": _THREE_DAYS + "SELECT id, duplicate_of FROM after2",
     "compacted_store": _THREE_DAYS + f"SELECT {COLS} FROM after2",
+    "report_state": _THREE_DAYS + """SELECT r.request, id, state FROM after2 JOIN (VALUES ('eu', 'EU', ''), ('AM', 'AM', ''),
+  ('none', 'ZZ', ''), ('any', '', 'nation_1'), ('both', 'AS', '')) r(request, wanted, town)
+ON (wanted = '' OR state = wanted) AND (town = '' OR lower(city) LIKE '%nation_1%')
+  AND (request <> 'both' OR lower(funeral_home) LIKE '%build%home%')
+WHERE duplicate_of IS NULL""",
     "stored_links": with_relations(
         f"""SELECT site_id, count(*) AS known_rows FROM candidates
 WHERE url <> '' AND lower(url) IN {_STORED_KEYS} GROUP BY site_id""", *_RUN),

@@ -20,6 +20,7 @@ from noticeflow.operators.keyed import keep_first
 from noticeflow.plans import market_build
 from noticeflow.plans.archive import PageArchive
 from noticeflow.plans.backfill_run import run_backfill, run_city_backfill
+from noticeflow.plans.bucketed import BucketTable
 from noticeflow.plans.compaction import compact, vacuum
 from noticeflow.plans.daily import mark, marked_count as count_marked, run_day
 from noticeflow.plans.store import NUMBERED, Store
@@ -338,7 +339,10 @@ def _known_links(spark, d) -> tuple[DataFrame, DataFrame]:
 @query
 def new_urls(spark, d):
     """The verdict reads the keys of the stored links, not the records."""
-    candidates, known = _known_links(spark, d)
+    candidates, stored, _ = _run(spark, d)
+    index = BucketTable(spark, f"{staging_root(spark)}/links-{uuid.uuid4().hex}", f"{ingest.LINK_KEY} BINARY", ingest.LINK_KEY, 16)
+    index.append(stored.select(ingest.link_key(F.col("legacy_url")).alias(ingest.LINK_KEY)), 1)
+    known = index.among([1], ingest.wanted_links(candidates)).select(ingest.LINK_KEY)
     return ingest.new_links(candidates, stage(known, "known")).select("site_id", "pos", "url")
 
 
@@ -645,6 +649,19 @@ def compacted_store(spark, d):
     return store.obits().select(*OBITS.names)
 
 
+@query
+def report_state(spark, d):
+    """Requests with a state over a store of a generation and a newer day; each reads the folders of its state."""
+    store = _three_days(spark, d, "states", compact)
+    requests = {"eu": {"state": "eu"}, "AM": {"state": " AM "}, "none": {"state": "zz"}, "any": {"city": "nation_1"},
+                "both": {"state": "As", "funeral_home": "build%Home"}}
+    out = None
+    for name, args in requests.items():
+        part = store.report(**args).select(F.lit(name).alias("request"), "id", "state")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def marked_count(spark, d):
     pages, details, markets = _run_inputs(spark, d)

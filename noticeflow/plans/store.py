@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import RANK, live, ranked_people
 from ..operators.ingest import LINK_KEY, link_key
+from ..operators.report import report_filter
 from ..schemas import OBITS, RUN_LOG
-from ..sources.tables import with_text_length
+from ..sources.tables import NO_STATE, state_part, with_text_length
 from .bucketed import BucketTable
 from .manifest import GENERATION, SETTINGS, Entry, Manifest
 
@@ -167,12 +168,21 @@ class Snapshot:
     def _has(self, name: str) -> bool:
         return any(name in e.tables for e in self.batches.values())
 
-    def joined(self, marks_before: int | None = None) -> DataFrame:
+    def _folded_records(self, state: str | None = None) -> DataFrame:
+        """Records of the generation; with a state only the folders that may have it. Where a later fill may
+        give a record its state, the folder of those without one is among them."""
+        rows = self._folded("obits", T.StructType([*FOLDED.fields, T.StructField("state_part", T.StringType())]))
+        if (state or "").strip():
+            folders = [state_part(F.lit(state.strip())), *([F.lit(NO_STATE)] if self._has("fills") else [])]
+            rows = rows.where(F.col("state_part").isin(*folders))
+        return rows.select(*FOLDED.names)
+
+    def joined(self, marks_before: int | None = None, state: str | None = None) -> DataFrame:
         """Records with their marks and fills, which are narrow and have one row per id, and with
-        the batches that stored and marked them."""
+        the batches that stored and marked them. With a state: of the folded ones those that may have it."""
         rows = self._read("obits", _STORED).withColumn(_MARKED.name, F.lit(None).cast("bigint"))
         if self.generation is not None:
-            rows = self._folded("obits", FOLDED).select(*FOLDED.names).unionByName(rows)
+            rows = self._folded_records(state).unionByName(rows)
         if self._has("marks"):
             marks = self.marks(marks_before).select(
                 "id", F.col("duplicate_of").alias("_mark"), F.col(_MARKED.name).alias("_by"))
@@ -186,6 +196,11 @@ class Snapshot:
     def obits(self, marks_before: int | None = None) -> DataFrame:
         return self.joined(marks_before).drop(_BATCH.name, _MARKED.name)
 
+    def report(self, **filters) -> DataFrame:
+        """Records that a report request matches; a state in it says which folders are read."""
+        rows = self.joined(state=filters.get("state")).drop(_BATCH.name, _MARKED.name)
+        return report_filter(rows, **filters)
+
     def log(self) -> DataFrame:
         new = self._read("run_log", RUN_LOG)
         if self.generation is None:
@@ -289,6 +304,9 @@ class Store:
     def obits(self) -> DataFrame:
         return self.snapshot().obits()
 
+    def report(self, **filters) -> DataFrame:
+        return self.snapshot().report(**filters)
+
     def log(self, own: int | None = None) -> DataFrame:
         return self.snapshot(own).log()
 

@@ -26,9 +26,13 @@ def write_obits(obits: DataFrame, path: str, mode: str = "errorifexists") -> Non
     cluster_by_state(obits).write.mode(mode).partitionBy("state_part").parquet(path)
 
 
+#: Folder of blank and missing states.
+NO_STATE = "none"
+
+
 def state_part(state: Column) -> Column:
-    """Folder of a state: in upper case; blank and missing states share one."""
-    return F.when(state != "", F.upper(state)).otherwise("none")
+    """Folder of a state: its upper case, so that a request in any case finds it."""
+    return F.when(state != "", F.upper(state)).otherwise(NO_STATE)
 
 
 def cluster_by_state(obits: DataFrame) -> DataFrame:

@@ -213,6 +213,34 @@ def test_generations(spark, markets, details, tmp_path):  # noqa: F811
     assert set(by_url(store)) == {"/1", "/2", "/3", "/4", "/thin", "/9"} and store.log().count() == 15
 
 
+def test_a_state_names_the_folders_that_are_read(spark, tmp_path):
+    """Also where states are blank or missing, or given by a fill after the fold."""
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    states = ["OH", "oh", "", None, "PA", None]
+    rows = [(i, "Jo", f"N{i}", "C", states[i % 6], None, "t") for i in range(1, 31)]
+    store_day(spark, store, rows[:24], 0)
+    store_day(spark, store, rows[24:], 1)
+    compact(store)
+
+    def ids(**request):
+        return sorted(r.id for r in store.report(**request).collect())
+
+    def plan(**request):
+        return store.report(**request)._jdf.queryExecution().executedPlan().toString()
+
+    assert ids(state="oh") == ids(state=" OH ") == [i for i in range(1, 31) if i % 6 < 2]
+    assert ids() == list(range(1, 31)) and ids(state="zz") == []
+    pruned = re.compile(r"PartitionFilters: \[[^\]]*state_part")
+    assert pruned.search(plan(state="Oh")) and not pruned.search(plan())
+    folders = {f.split("state_part=")[1].split("/")[0] for f in store.report(state="oh").inputFiles() if "state_part=" in f}
+    assert {"OH"} <= folders <= {"OH", "PA", "none"}
+    batch, _ = store.claim("backfill", 7)
+    fills = spark.createDataFrame([(3, "PA"), (5, "PA")], "id long, state string")
+    store.append_fills(fills.withColumns({c: F.lit(None).cast(OBITS[c].dataType) for c in FILLED if c != "state"}).select("id", *FILLED), batch)
+    store.complete("backfill", 7, batch)
+    assert ids(state="pa") == sorted([3, 5, *(i for i in range(1, 31) if i % 6 == 4)])
+
+
 def test_a_folded_epoch_stays_complete(spark, markets, details, tmp_path):  # noqa: F811
     from noticeflow.plans.daily import run_epoch
     store = Store(spark, str(tmp_path / "store"), buckets=2)
