@@ -196,7 +196,7 @@ class Sequences:
             slots = order.walk(np.concatenate([b.column("index").to_numpy() for b in held]))
             rows = np.frombuffer(b"".join(x for b in held for x in b.column("record").to_pylist()), np.uint8).reshape(-1, stride)
             by_slot = np.argsort(slots)
-            slots, zip_up = slots[by_slot], zstandard.ZstdCompressor(level=1).compress
+            slots, zip_up = slots[by_slot], zstandard.ZstdCompressor(level=4).compress
             target = slots // shard_records * tasks // shards
             cuts = np.flatnonzero(np.diff(target, prepend=-1, append=tasks))
             parts = [(int(target[a]), slots[a:b].tobytes(), zip_up(rows[by_slot[a:b]].tobytes())) for a, b in zip(cuts, cuts[1:])]
@@ -282,14 +282,14 @@ def digests(spark: SparkSession, path: str, stride: int, shard_records: int) ->
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
                 data = memoryview(content.as_buffer())
                 n = len(data) // stride
-                sums = [hashlib.sha256(data[at:at + stride]).hexdigest() for at in range(0, n * stride, stride)]
+                sums = [hashlib.sha256(data[at:at + stride]).digest() for at in range(0, n * stride, stride)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(n) + shard * shard_records, pa.int64()), pa.array(sums, pa.string())], ["slot", "record_sha256"])
+                    [pa.array(np.arange(n) + shard * shard_records, pa.int64()), pa.array(sums, pa.binary())], ["slot", "record_sha256"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
     shard = F.regexp_extract("path", r"/shard=(\d+)/[^/]*$", 1).cast("long")
     # Whole files go to Python once; cut by an expression, a file would be copied for each record.
-    return files.select(shard.alias("shard"), "content").mapInArrow(work, "slot long, record_sha256 string")
+    return files.select(shard.alias("shard"), "content").mapInArrow(work, "slot long, record_sha256 binary")
 
 
 def write_order(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", text_col: str = "text", *, key: int = 0,
@@ -303,7 +303,7 @@ def write_order(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", te
     both = index.join(digests(docs.sparkSession, out, 2 * sequence, shard_records), "slot", "full")
     return both.select(F.floor(F.col("slot") / shard_records).alias("shard"), "slot",
                        (F.col("slot") % shard_records * 2 * sequence).alias("byte_offset"),
-                       "n_tokens", "docs", "record_sha256")
+                       "n_tokens", "docs", F.lower(F.hex("record_sha256")).alias("record_sha256"))
 
 
 def read_shard(spark: SparkSession, path: str, shard: int, record_bytes: int, start: int = 0,
