@@ -262,3 +262,17 @@ def test_manifest_versions(spark, tmp_path):
     assert Store(spark, store.root, buckets=99).snapshot().buckets == 3
     numbers = [e.attempt for e in store.entries() if e.source == NUMBERED]
     assert len(set(numbers)) == 6
+
+
+def test_many_marks_are_not_broadcast(spark, tmp_path, monkeypatch, capsys):
+    """A reader joins many marks by a shuffle, few by a broadcast, with the same rows."""
+    store = Store(spark, str(tmp_path))
+    store_day(spark, store, [(i, "Ann", "Lee", "Rome", "oh", None, "x") for i in range(1, 5)], 0)
+    few, planned = store.report(state="OH"), []
+    monkeypatch.setattr("noticeflow.operators.keyed.BROADCAST_ROWS", 2)
+    many = store.report(state="OH")
+    for df in (few, many):
+        assert [r.id for r in df.collect()] == [1]
+        df.explain()
+        planned.append(capsys.readouterr().out)
+    assert "BroadcastHashJoin" in planned[0] and "BroadcastHashJoin" not in planned[1]
