@@ -1,6 +1,7 @@
 """Listing layouts and detail pages."""
 
 import datetime as dt
+import html
 import json
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from noticeflow.operators.detail import enrich, extract_details
 from noticeflow.operators.listing import extract_records
 from noticeflow.schemas import RECORD_FIELDS
-from noticeflow.sources.html import may_have_links
+from noticeflow.sources.html import has_unusual_reference, may_have_links, usual_unescaped
 
 from .samples import BASE, PAD, detail_sample, link_people, listing, listing_people, script, state_page, state_people
 
@@ -196,3 +197,20 @@ def test_large_pages(spark):
     rows = records(spark, tag, links)
     assert sum(r.page_id == 0 for r in rows) == 30
     assert sum(r.page_id == 1 for r in rows) == 20_000
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    """Arrow batches are bounded by their rows, which for pages is gigabytes; plain functions get 100 rows."""
+    pages = spark.range(3).selectExpr("id AS page_id", "'<a class=\"obit-card\" href=\"/x\"><h3>A &eacute; B</h3></a>' AS html")
+    for df in (extract_records(pages, "https://x"), extract_details(pages)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_usual_references_are_replaced_as_by_html(spark):
+    texts = ["A &amp; B", "&amp;lt; &amp;amp; &lt;b&gt;", "&", "a & b &; &<", "&#39;&#x27;&apos;&nbsp;&quot;", "&lt", "&eacute;", "&#233;",
+             "&amp", "&ampx;", "x &\n", "&\r", "&&amp;&", "&notit;", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", has_unusual_reference(F.col("t")).alias("other"), usual_unescaped(F.col("t")).alias("u")).collect()
+    assert [r.u for r in rows if not r.other] == [None if r.t is None else html.unescape(r.t) for r in rows if not r.other]
+    assert [r.t for r in rows if r.other] == [t for t in texts if t in ("&lt", "&eacute;", "&#233;", "&amp", "&ampx;", "&\r", "&notit;")]
