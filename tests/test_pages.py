@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeflow.operators.detail import enrich, extract_details
-from noticeflow.operators.listing import extract_records
+from noticeflow.operators.listing import extract_records, page_items, script_payloads
 from noticeflow.schemas import RECORD_FIELDS
 from noticeflow.sources.html import has_unusual_reference, may_have_links, usual_unescaped
 
@@ -214,3 +214,30 @@ def test_usual_references_are_replaced_as_by_html(spark):
         "t", has_unusual_reference(F.col("t")).alias("other"), usual_unescaped(F.col("t")).alias("u")).collect()
     assert [r.u for r in rows if not r.other] == [None if r.t is None else html.unescape(r.t) for r in rows if not r.other]
     assert [r.t for r in rows if r.other] == [t for t in texts if t in ("&lt", "&eacute;", "&#233;", "&amp", "&ampx;", "&\r", "&notit;")]
+
+
+def test_costly_steps_of_payloads_are_bounded(spark):
+    """The state object is searched once, and a script's body is not searched by a pattern of its own."""
+    pages = spark.createDataFrame([("<p>",)], "html string").repartition(1)
+    plan = page_items(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("__INITIAL_STATE__") == 1
+    assert "(.*)</script$" not in plan
+
+
+def test_bodies_of_scripts(spark):
+    """Spaces of all kinds around a body and its comment marks, quoted > in attributes, characters beyond ASCII."""
+    body = '{"obituaryList":{"obituaries":[{"personId":1,"name":{"fullName":"Zoë 😀 &amp; &lt;b&gt;"}}]}}' + " " * 60 + "　"
+    attrs = ['type="application/json"', "data-é='>😀' TYPE=application/json", 'x=">" type=\'application/json\' y']
+    htmls = [f"<html><SCRIPT {a}>\x1c <!-- {body}-->\xa0</Script></html>" for a in attrs]
+    htmls += [f'<script type="Application/json">{body}</script>', f"<!-- <script {attrs[0]}>{body}</script> -->"]
+    found = spark.createDataFrame(list(enumerate(htmls)), "i int, html string").select("i", script_payloads(F.col("html")).alias("p"))
+    kept = body.rstrip()
+    got = {r.i: list(r.p or []) for r in found.collect()}
+    assert [got[i] for i in range(5)] == [[kept]] * 3 + [[]] * 2
+
+
+def test_text_of_silent_elements_is_left_out(spark):
+    page = ("<h1>A<template>no<b class=x>no</b></template><style>no</style> &amp; B</h1><div class=obit-body>one"
+            "<rt>no<p>no</rt>two<script>no</script></div>three")
+    got = extract_details(spark.createDataFrame([(page,)], "html string")).first()
+    assert (got.name, got.text) == ("A& B", "one two")
