@@ -36,8 +36,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LONG_WORD = 64
 #: Characters that the split pattern joins to one word when they follow letters.
 MARKS = ".,;:!?"
-#: Pieces (and, beside them, words) that a worker keeps; when full, the cache starts anew.
-CACHE_ENTRIES = 250_000
+#: Pieces that a worker keeps, words of letters among them; when full, the cache starts anew.
+CACHE_ENTRIES = 265_000
 NO_RANK = np.int32(2**31 - 1)
 
 
@@ -176,25 +176,38 @@ class Encoder:
     def learn_words(self, words: set[str]) -> None:
         """Merge whole words (with their leading space, if any) and keep their ids."""
         by_size: dict[int, list[bytes]] = {}
-        for w in words - self.words.keys():
-            raw = w.encode()
-            by_size.setdefault(len(raw), []).append(raw)
+        for w in words:
+            if self.word_ids(w) is None:
+                raw = w.encode()
+                by_size.setdefault(len(raw), []).append(raw)
         for size, group in by_size.items():
             ids = [self.merge_long(w) for w in group] if size > LONG_WORD else self.merge_rows(group)
-            self.words.update(zip([w.decode() for w in group], ids, strict=True))
+            for raw, x in zip(group, ids, strict=True):
+                w = raw.decode()
+                if w[0] == " " and w[1:].isalpha():
+                    self.known[w[1:]] = x
+                else:
+                    self.words[w] = x
+
+    def word_ids(self, word: str) -> bytes | None:
+        """Ids of a known word. Letters after a space are also a piece, and are kept as that only."""
+        if word[0] == " " and word[1:].isalpha():
+            return self.known.get(word[1:])
+        return self.words.get(word)
 
     def learn(self, pieces: set[str]) -> None:
         """Keep the ids of pieces that follow a space. Letters, also with marks after them,
         need no search for the pattern."""
         cuts: dict[str, list[str]] = {}
+        words: set[str] = set()
         for p in pieces:
-            core = p if p.isalpha() else p.rstrip(MARKS)
-            if core.isalpha():
-                cuts[p] = [" " + core] if len(core) == len(p) else [" " + core, p[len(core):]]
-            else:
-                cuts[p] = self.pattern.findall(" " + p)
-        self.learn_words({w for c in cuts.values() for w in c})
-        get = self.words.__getitem__
+            if p.isalpha():
+                words.add(" " + p)
+                continue
+            core = p.rstrip(MARKS)
+            cuts[p] = [" " + core, p[len(core):]] if core.isalpha() else self.pattern.findall(" " + p)
+        self.learn_words(words.union(*cuts.values()))
+        get = self.word_ids
         self.known.update((p, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for p, c in cuts.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -235,7 +248,7 @@ class Encoder:
         self.learn(set().union(*missing))
         self.learn_words(first_words)
         for values, at, cut in starts:
-            values[at] = b"".join(map(self.words.__getitem__, cut))
+            values[at] = b"".join(map(self.word_ids, cut))
         for values, misses in zip(found, missing, strict=True):
             at = -1
             for p in misses:

@@ -53,6 +53,16 @@ def docs(spark, rows):
     return spark.createDataFrame([(i, t, "z", 1) for i, t in rows], "doc_id long, text string, ids string, n_tokens int")
 
 
+def test_words_of_letters_are_kept_once(encoder):
+    """As a piece; the same word with marks after it, or later in a text, reads it from there."""
+    own = bpe.Encoder(encoder.v)
+    texts = ["Zürich zebra,", "zebra zebra, 12 über", "über, x-y Zürich. zebra"]
+    assert own.encode(texts) == bpe.Encoder(encoder.v).encode(texts[::-1])[::-1]
+    assert own.encode(texts) == [np.array(library_ids(t), "<u4").tobytes() for t in texts]
+    assert {"zebra", "über", "Zürich"} <= own.known.keys()
+    assert not {" zebra", " über", " Zürich"} & own.words.keys()
+
+
 def test_round_trip_and_columns(spark):
     rows = [*enumerate(ODD), (3, ODD[3]), (None, "no id"), (50, None)]
     got = bpe.round_trip(docs(spark, rows), VOCABULARY).collect()
