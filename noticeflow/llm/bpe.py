@@ -2,12 +2,13 @@
 
 A text is cut at its special tokens, then at every space that a non-space follows (no token
 of the split pattern crosses such a place), so that most of it is looked up as
-space-separated pieces in a bounded cache. Unknown pieces are cut by the pattern, and all
-unknown words of a batch are merged together: a word is a row of part ids, beside it the row
-of ranks of adjacent parts. Each round finds the smallest rank of every row (the leftmost of
-equals), deletes that boundary by moving the rest of both rows up by one place, and looks up
-anew only the two ranks beside the merge. Rows that have no rank left leave the array. Words
-over ``LONG_WORD`` bytes use a heap of ranks instead, as repeated scans would be quadratic.
+space-separated pieces in a bounded cache. The unknown pieces of a batch are cut by the pattern
+in one go, and its unknown words are merged together: a word is a column of part ids, beside it
+the column of ranks of adjacent parts. Each round finds the smallest rank of every word (the
+leftmost of equals), deletes that boundary by moving the rest of both columns up by one place,
+and looks up anew only the two ranks beside the merge. Words that have no rank left leave the
+array. Words over ``LONG_WORD`` bytes use a heap of ranks instead, as repeated scans would be
+quadratic.
 
 Edge cases. Null counts as empty and gives no ids. Special tokens in a text become their own
 id. Ids may repeat; every row gives one row. Extra columns are not read.
@@ -21,6 +22,7 @@ import heapq
 import json
 import re
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +36,15 @@ from noticeflow.llm.common import by_pieces, texts_of
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of a word up to which ranks are kept in an array that is scanned.
 LONG_WORD = 64
-#: Characters that the split pattern joins to one word when they follow letters.
-MARKS = ".,;:!?"
+#: A rank and its place in a word of at most ``LONG_WORD`` bytes are one number: these are the place's bits.
+PLACE_BITS = 6
+#: Slots of the hash table of pairs, as a power of two.
+PAIR_BITS = 18
+#: Words are merged together with those up to this many bytes shorter.
+SIZE_STEP = 4
 #: Pieces that a worker keeps, words of letters among them; when full, the cache starts anew.
 CACHE_ENTRIES = 265_000
-NO_RANK = np.int32(2**31 - 1)
+NO_RANK = np.int32(2**24)
 
 
 def byte_symbols() -> list[str]:
@@ -85,12 +91,14 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 
 class Known(dict):
-    """Ids by piece; a piece that is not there is noted and gives None."""
+    """Ids by piece; a piece that is not there is noted and gives an array of bytes to be filled."""
 
     missed: list[str]
 
-    def __missing__(self, piece: str) -> None:
+    def __missing__(self, piece: str) -> bytearray:
         self.missed.append(piece)
+        self[piece] = hole = bytearray()
+        return hole
 
 
 class Encoder:
@@ -104,43 +112,66 @@ class Encoder:
             if vocabulary.specials else None
         self.odd_space = re.compile(r" (?!\S)")
         self.cut = re.compile(r" (?=\S)")
+        # Of each slot: one of its pairs, and whether there are more.
+        slots = self.slot_of(vocabulary.pair_keys)
+        self.pair_at = np.zeros(1 << PAIR_BITS, np.int32)
+        self.pair_at[slots] = np.arange(len(slots))
+        self.crowded = np.bincount(slots, minlength=1 << PAIR_BITS) > 1
+        every = vocabulary.byte_ids.astype(np.int32)
+        self.byte_ranks = self.ranks_of(np.repeat(every, 256), np.tile(every, 256))
+
+    def slot_of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).view(np.int64)
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.v.pair_keys):
+            return np.full(left.shape, NO_RANK)
         key = left.astype(np.int64) << 20 | right
-        at = np.searchsorted(self.v.pair_keys, key)
-        at[at == len(self.v.pair_keys)] = 0
-        return np.where(self.v.pair_keys[at] == key, self.v.pair_ranks[at], NO_RANK)
+        slot = self.slot_of(key)
+        at = self.pair_at.take(slot)
+        there = self.v.pair_keys.take(at) == key
+        other = np.flatnonzero(~there & self.crowded.take(slot))
+        if len(other):
+            at[other] = np.minimum(np.searchsorted(self.v.pair_keys, key[other]), len(self.v.pair_keys) - 1)
+            there[other] = self.v.pair_keys[at[other]] == key[other]
+        return np.where(there, self.v.pair_ranks.take(at), NO_RANK)
 
     def merge_rows(self, words: list[bytes]) -> list[bytes]:
-        """Ids (little-endian, 32 bits) of words of one length."""
-        size = len(words[0])
-        ids = self.v.byte_ids[np.frombuffer(b"".join(words), np.uint8).reshape(-1, size)]
+        """Ids (little-endian, 32 bits) of words of at most ``LONG_WORD`` bytes, shorter ones padded."""
+        count = np.fromiter(map(len, words), np.int64, len(words))
+        size = int(count.max())
+        letters = np.ascontiguousarray(np.array(words, f"S{size}").view(np.uint8).reshape(len(words), size).T)
+        ids = self.v.byte_ids[letters]
         out: list[bytes] = [b""] * len(words)
-        where = np.arange(len(words))
-        ranks = self.ranks_of(ids[:, :-1], ids[:, 1:]) if size > 1 else np.empty((len(words), 0), np.int32)
+        where, place = np.arange(len(words)), np.arange(size, dtype=np.int32)[:, None]
+        none = NO_RANK << PLACE_BITS
+        ranks = self.byte_ranks[letters[:-1].astype(np.int32) << 8 | letters[1:]] << PLACE_BITS
+        ranks = np.where(place[:-1] < count - 1, ranks, none) | place[:-1]
         while True:
-            width = ranks.shape[1]
-            best = ranks.argmin(axis=1) if width else np.zeros(len(ids), np.int64)
-            low = ranks[np.arange(len(ids)), best] if width else np.full(len(ids), NO_RANK)
-            done = low == NO_RANK
+            width = len(ranks)
+            low = ranks.min(axis=0, initial=none)
+            done = low >= none
             if done.any():
-                flat, step = np.ascontiguousarray(ids[done], dtype="<u4").tobytes(), 4 * (width + 1)
-                for k, w in enumerate(where[done].tolist()):
-                    out[w] = flat[k * step:(k + 1) * step]
-                go = ~done
-                ids, ranks, where, best, low = ids[go], ranks[go], where[go], best[go], low[go]
-            if not len(ids):
+                flat, step = np.ascontiguousarray(ids.compress(done, axis=1).T, dtype="<u4").tobytes(), 4 * (width + 1)
+                for k, (w, c) in enumerate(zip(where[done].tolist(), count[done].tolist(), strict=True)):
+                    out[w] = flat[k * step:k * step + 4 * c]
+                go = np.flatnonzero(~done)
+                ids, ranks, where, low, count = ids.take(go, axis=1), ranks.take(go, axis=1), where[go], low[go], count[go]
+            n = len(where)
+            if not n:
                 return out
-            row, col = np.arange(len(ids)), np.arange(width)
-            at = best[:, None]
-            ids[row, best] = self.v.merged[low]
-            ids = np.where(col <= at, ids[:, :-1], ids[:, 1:])
-            ranks = np.where(col[:-1] < at, ranks[:, :-1], ranks[:, 1:])
+            count, place, best = count - 1, place[:width], low & ((1 << PLACE_BITS) - 1)
+            # Places in the arrays as they are in memory.
+            at = best * np.int64(n) + np.arange(n)
+            ids.reshape(-1)[at] = self.v.merged[low >> PLACE_BITS]
+            ids = np.where(place <= best, ids[:-1], ids[1:])
+            ranks = np.where(place[:-1] < best, ranks[:-1], ranks[1:] - 1)
             if width > 1:
-                left = best > 0
-                ranks[row[left], best[left] - 1] = self.ranks_of(ids[row[left], best[left] - 1], ids[row[left], best[left]])
-                right = best < width - 1
-                ranks[row[right], best[right]] = self.ranks_of(ids[row[right], best[right]], ids[row[right], best[right] + 1])
+                left, right = np.flatnonzero(best > 0), np.flatnonzero(best < count - 1)
+                at = np.concatenate([at[left] - n, at[right]])
+                there = np.concatenate([best[left] - 1, best[right]])
+                parts = ids.reshape(-1)
+                ranks.reshape(-1)[at] = self.ranks_of(parts.take(at), parts.take(at + n)) << PLACE_BITS | there
 
     def merge_long(self, word: bytes) -> bytes:
         ids = self.v.byte_ids[np.frombuffer(word, np.uint8)].tolist()
@@ -173,42 +204,54 @@ class Encoder:
             push(i)
         return np.array([x for x in ids if x >= 0], dtype="<u4").tobytes()
 
-    def learn_words(self, words: set[str]) -> None:
-        """Merge whole words (with their leading space, if any) and keep their ids."""
-        by_size: dict[int, list[bytes]] = {}
-        for w in words:
-            if self.word_ids(w) is None:
-                raw = w.encode()
-                by_size.setdefault(len(raw), []).append(raw)
-        for size, group in by_size.items():
-            ids = [self.merge_long(w) for w in group] if size > LONG_WORD else self.merge_rows(group)
-            for raw, x in zip(group, ids, strict=True):
-                w = raw.decode()
-                if w[0] == " " and w[1:].isalpha():
-                    self.known[w[1:]] = x
-                else:
-                    self.words[w] = x
-
-    def word_ids(self, word: str) -> bytes | None:
-        """Ids of a known word. Letters after a space are also a piece, and are kept as that only."""
-        if word[0] == " " and word[1:].isalpha():
-            return self.known.get(word[1:])
-        return self.words.get(word)
-
-    def learn(self, pieces: set[str]) -> None:
-        """Keep the ids of pieces that follow a space. Letters, also with marks after them,
-        need no search for the pattern."""
-        cuts: dict[str, list[str]] = {}
-        words: set[str] = set()
-        for p in pieces:
-            if p.isalpha():
-                words.add(" " + p)
-                continue
-            core = p.rstrip(MARKS)
-            cuts[p] = [" " + core, p[len(core):]] if core.isalpha() else self.pattern.findall(" " + p)
-        self.learn_words(words.union(*cuts.values()))
-        get = self.word_ids
-        self.known.update((p, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for p, c in cuts.items())
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
+        kinds = -(-np.fromiter(map(len, words), np.int64, len(words)) // SIZE_STEP)
+        out: list[bytes] = [b""] * len(words)
+        for kind in np.unique(kinds).tolist():
+            places = np.flatnonzero(kinds == kind).tolist()
+            group = [words[k] for k in places]
+            ids = [self.merge_long(w) for w in group] if kind * SIZE_STEP > LONG_WORD else self.merge_rows(group)
+            for k, x in zip(places, ids, strict=True):
+                out[k] = x
+        return out
+
+    def learn(self, pieces: list[str], first: list[str]) -> dict[str, bytes]:
+        """Keep the ids of pieces that follow a space, and give those of other words. A piece of letters is
+        one word, which is kept as a piece only. The others are cut by the pattern, all at once: no word crosses
+        a space before a non-space, and without other spaces, a word that begins with one begins a piece."""
+        known = self.known
+        plain = list(map(str.isalpha, pieces))
+        letters = list(compress(pieces, plain))
+        others = [p for p, x in zip(pieces, plain, strict=True) if not x and " " not in p]
+        odd = [p for p in pieces if " " in p]
+        cut = self.pattern.findall(" " + " ".join(others)) if others else []
+        odd_cut = [self.pattern.findall(" " + p) for p in odd]
+        words = set(cut).union(first, *odd_cut)
+        after = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        cores, other = [w[1:] for w in after], list(words.difference(after))
+        fresh = [*letters, *(p for p in cores if p not in known)]
+        new = [w for w in other if w not in self.words]
+        ids = self.merge([b" " + p.encode() for p in fresh] + [w.encode() for w in new])
+        self.fill(letters, ids[:len(letters)])
+        known.update(zip(fresh[len(letters):], ids[len(letters):]))
+        self.words.update(zip(new, ids[len(fresh):], strict=True))
+        own = dict(zip(after, map(known.__getitem__, cores), strict=True))
+        own.update(zip(other, map(self.words.__getitem__, other), strict=True))
+        parts = list(map(own.__getitem__, cut))
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        begins = np.fromiter(map(str.startswith, cut, repeat(" ")), bool, len(cut))
+        flat = b"".join(parts)
+        bounds = [*np.append(0, ends)[:-1][begins].tolist(), len(flat)]
+        self.fill(others, [flat[a:b] for a, b in zip(bounds, bounds[1:])])
+        self.fill(odd, [b"".join(map(own.__getitem__, c)) for c in odd_cut])
+        return own
+
+    def fill(self, pieces: list[str], ids: list[bytes]) -> None:
+        """The ids of missed pieces, also where they are already in use."""
+        for hole, x in zip(map(self.known.__getitem__, pieces), ids, strict=True):
+            hole += x
+        self.known.update(zip(pieces, ids))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -216,6 +259,9 @@ class Encoder:
         gc.disable()  # nothing here is cyclic; collections would walk the whole cache
         try:
             return self._encode(texts)
+        except BaseException:
+            self.known.clear()  # some of it may not be filled
+            raise
         finally:
             if was_on:
                 gc.enable()
@@ -224,13 +270,11 @@ class Encoder:
         if len(self.known) > self.cache_entries:
             self.known.clear()
             self.words.clear()
-        found: list[list[bytes | None]] = []
-        missing: list[list[str]] = []
-        starts: list[tuple[list[bytes | None], int, list[str]]] = []
-        first_words: set[str] = set()
+        self.known.missed = missed = []
+        found: list[list[bytes | bytearray]] = []
+        starts: list[tuple[list[bytes | bytearray], int, list[str]]] = []
         for text in texts:
-            values: list[bytes | None] = []
-            self.known.missed = misses = []
+            values: list[bytes | bytearray] = []
             segments = self.special.split(text) if self.special and self.special.search(text) else [text]
             for s in segments:
                 if len(segments) > 1 and s in self.v.specials:
@@ -238,22 +282,13 @@ class Encoder:
                 elif s:
                     parts = self.cut.split(s) if self.odd_space.search(s) else s.split(" ")
                     if parts[0]:
-                        cut = self.pattern.findall(parts[0])
-                        first_words.update(cut)
-                        starts.append((values, len(values), cut))
+                        starts.append((values, len(values), self.pattern.findall(parts[0])))
                         values.append(b"")
                     values += map(self.known.__getitem__, parts[1:])
             found.append(values)
-            missing.append(misses)
-        self.learn(set().union(*missing))
-        self.learn_words(first_words)
-        for values, at, cut in starts:
-            values[at] = b"".join(map(self.word_ids, cut))
-        for values, misses in zip(found, missing, strict=True):
-            at = -1
-            for p in misses:
-                at = values.index(None, at + 1)
-                values[at] = self.known[p]
+        ids = self.learn(missed, [w for *_, words in starts for w in words])
+        for values, at, words in starts:
+            values[at] = b"".join(map(ids.__getitem__, words))
         return [b"".join(values) for values in found]
 
     def decode(self, ids: bytes) -> str:

@@ -63,6 +63,50 @@ def test_words_of_letters_are_kept_once(encoder):
     assert not {" zebra", " über", " Zürich"} & own.words.keys()
 
 
+def test_unknown_words_are_learned_together(encoder):
+    """One search cuts all unknown pieces, and words of up to four lengths are merged at once."""
+    own, r = bpe.Encoder(encoder.v), random.Random(3)
+    calls = {"findall": 0, "merge_rows": 0}
+
+    class Counted:
+        def findall(self, text, found=own.pattern):
+            calls["findall"] += 1
+            return found.findall(text)
+
+    def merge_rows(words, merge=own.merge_rows):
+        calls["merge_rows"] += 1
+        return merge(words)
+
+    own.pattern, own.merge_rows = Counted(), merge_rows
+    some = lambda: "".join(r.choices("theraioné", k=r.randint(1, 30)))
+    texts = [" " + " ".join(f"{some()}{mark}" for mark in r.choices(["", ",", "!?", ".\n" + some(), "$$$", "-7\x00"], k=40)) for _ in range(50)]
+    assert own.encode(texts) == [np.array(library_ids(t), "<u4").tobytes() for t in texts]
+    assert calls["findall"] <= 1 and calls["merge_rows"] <= bpe.LONG_WORD // bpe.SIZE_STEP
+
+
+def test_words_of_many_lengths(encoder):
+    r = random.Random(4)
+    words = ["".join(r.choices("theraino\x00é", k=r.randint(2, 90))).encode() for _ in range(300)]
+    assert encoder.merge(words) == [encoder.merge_long(w) for w in words]
+    assert encoder.merge([]) == []
+
+
+def test_pairs_that_share_a_slot(encoder):
+    """The hash table gives every pair its rank, and others none."""
+    keys, ranks = encoder.v.pair_keys, encoder.v.pair_ranks
+    assert encoder.crowded.any()
+    assert (encoder.ranks_of(keys >> 20, keys & (1 << 20) - 1) == ranks).all()
+    none = np.setdiff1d(keys ^ 1, keys)
+    assert len(none) and (encoder.ranks_of(none >> 20, none & (1 << 20) - 1) == bpe.NO_RANK).all()
+
+
+def test_failed_texts_leave_nothing_half_known(encoder):
+    own = bpe.Encoder(encoder.v)
+    with pytest.raises(UnicodeEncodeError):
+        own.encode(["a zebra, \ud800"])
+    assert own.encode(["a zebra, x"]) == [np.array(library_ids("a zebra, x"), "<u4").tobytes()]
+
+
 def test_round_trip_and_columns(spark):
     rows = [*enumerate(ODD), (3, ODD[3]), (None, "no id"), (50, None)]
     got = bpe.round_trip(docs(spark, rows), VOCABULARY).collect()
