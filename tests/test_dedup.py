@@ -139,3 +139,16 @@ def test_number_rows(spark):
     got = number_rows(df, ["b", "a"], "seq", F.lit(10).cast("bigint")).orderBy("seq").collect()
     assert [r.seq for r in got] == list(range(10, 5010))
     assert [(r.b, r.a) for r in got] == sorted((b, a) for a, b in rows)
+
+
+def test_number_rows_are_sorted_where_they_are_cut(spark):
+    """Places come from the cut itself: the numbered rows are neither shuffled nor sorted again. Equal, null and empty ranges."""
+    rows = [(None if i % 7 == 0 else i % 40, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(6)
+    numbered = number_rows(df, ["a"], "seq", F.lit(1).cast("bigint"))
+    got = numbered.orderBy("seq").collect()
+    assert [r.seq for r in got] == list(range(1, 901)) and sorted(r.b for r in got) == list(range(900))
+    assert [r.a for r in got] == sorted((a for a, _ in rows), key=lambda a: (a is not None, a or 0))
+    assert numbered.columns == ["a", "b", "seq"]
+    assert "row_number" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert number_rows(df.where("b < 0"), ["a"], "seq", F.lit(0)).count() == 0

@@ -8,6 +8,7 @@ from noticeflow import session
 from noticeflow.plans.daily import ingest, marked_count, run_day, run_epoch
 from noticeflow.plans.store import Store
 from noticeflow.schemas import DETAIL_PAGES, LISTING_PAGES, MARKET_ROW
+from noticeflow.streaming import page_stream as page_stream_module
 from noticeflow.streaming.page_stream import ingest_stream, page_stream
 
 from .samples import BASE, detail_sample, listing
@@ -116,6 +117,24 @@ def test_stream_equals_batches(spark, markets, details, tmp_path):
     assert run().keys() == second.keys()
 
 
+def test_stream_writes_a_micro_batch_s_sources_once(spark, markets, details, tmp_path, monkeypatch):
+    """The log and the listings use them several times; each use would read all pages again."""
+    given = []
+
+    def spy(store, df, details, seen, *args):
+        given.append((sorted(r.site_id for r in seen.collect()), seen.inputFiles()))
+        return run_epoch(store, df, details, seen, *args)
+
+    monkeypatch.setattr(page_stream_module, "run_epoch", spy)
+    folder = str(tmp_path / "arriving")
+    pages(spark, DAY1, **FIRST).coalesce(1).write.parquet(folder)
+    store = Store(spark, str(tmp_path / "store"))
+    ingest_stream(page_stream(spark, folder), store, lambda: details, markets, DAY1, BASE, str(tmp_path / "progress")).awaitTermination()
+    assert len(given) == 1 and given[0][0] == ["a", "b", "bad", "c"]
+    assert given[0][1] and all("/noticeflow-sources-" in f for f in given[0][1])
+    assert sorted(by_url(store)) == ["/1", "/2", "/thin"]
+
+
 def test_pages_of_two_days_in_one_run(spark, markets, details, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     both = pages(spark, DAY2, a=listing([item("Late Name", "/1")])).unionByName(
